@@ -33,7 +33,12 @@ from tallyline.operators.joins import (  # noqa: E402
 from tallyline.operators.rules import FLAGS, RULES, Rule  # noqa: E402
 from tallyline.operators.staging import STAGES, stage  # noqa: E402
 from tallyline.plans.build import build_marts  # noqa: E402
-from tallyline.plans.quality import ACCEPTED_VALUES, quality_report, table_set  # noqa: E402
+from tallyline.plans.quality import (  # noqa: E402
+    ACCEPTED_VALUES,
+    ORDER_MART,
+    quality_report,
+    table_set,
+)
 from tallyline.plans.reconcile import (  # noqa: E402
     apply_rule,
     join_orders_to_merchants,
@@ -238,16 +243,16 @@ def queries() -> dict[str, Query]:
         "check_not_null": _from_stored_mart(_report("not_null")),
         "check_unique": _from_staged(
             lambda staged, stats: quality_report(
-                table_set(staged, mart := reconcile(staged, stats), mart), ("unique",)
+                {**staged.tables(), ORDER_MART: reconcile(staged, stats)}, ("unique",)
             )
         ),
         "check_accepted_values": _from_stored_mart(_report("accepted_values")),
         "check_relationships": _from_stored_mart(_report("relationships")),
         "check_error_count": _from_mart(
-            lambda mart: quality_report({"fct_payment_reconciliation": mart}, ("error_count",))
+            lambda mart: quality_report({ORDER_MART: mart}, ("error_count",))
         ),
         "check_status": _from_mart(
-            lambda mart: quality_report({"fct_payment_reconciliation": mart}, ("status",))
+            lambda mart: quality_report({ORDER_MART: mart}, ("status",))
         ),
         "quality_report": _from_stored_mart(_report()),
         "rebuild_warehouse": _rebuild,

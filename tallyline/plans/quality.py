@@ -63,11 +63,7 @@ ROW_CHECKS = ("not_null", "accepted_values", "error_count", "status")
 
 
 def table_set(staged: Inputs, mart: DataFrame, errors: DataFrame) -> dict[str, DataFrame]:
-    return {
-        **{f"stg_{name}": table for name, table in staged.items()},
-        ORDER_MART: mart,
-        ERROR_MART: errors,
-    }
+    return {**staged.tables(), ORDER_MART: mart, ERROR_MART: errors}
 
 
 def _row_conditions(name: str, kinds: Iterable[str]) -> list[tuple[str, str, Column]]:

@@ -95,3 +95,7 @@ class Inputs:
 
     def items(self):
         return [(name, getattr(self, name)) for name in RAW_COLUMNS]
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Under the names that staged tables are stored by."""
+        return {f"stg_{name}": table for name, table in self.items()}

@@ -5,106 +5,80 @@ Which anomaly a row carries follows from its key, so a SQL oracle can derive the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.rules import FLAGS, verdict
-from tallyline.schemas import RAW_COLUMNS, RATE, Inputs
-
-K = "o_orderkey"
-C = "c_custkey"
+from tallyline.schemas import RAW_COLUMNS, Inputs
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _hit(key: str, modulus: int, rest: int) -> Column:
-    return F.col(key) % modulus == rest
-
-
-def _name(prefix: str, key: str, suffix: str = "") -> Column:
-    return F.concat(F.lit(prefix), F.col(key).cast("string"), F.lit(suffix))
-
-
 def _merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = (F.lit(25) + (F.col(C) % 5) * 5).cast("decimal(9,0)")
-    rate = (steps * F.lit("0.001").cast("decimal(9,9)")).cast(RATE)
+    rate = "cast((25 + c_custkey % 5 * 5) as decimal(9,0)) * cast('0.001' as decimal(9,9))"
     return (
         _table(spark, sf_dir, "customer")
-        .where(F.col(C) % 97 != 13)
-        .select(
-            C,
-            _name(" M", C).alias("merchant_id"),
-            F.concat("c_name", F.lit(" ")).alias("merchant_name"),
-            F.when(~_hit(C, 89, 7), rate).alias("fee_rate"),
+        .where("c_custkey % 97 != 13")
+        .selectExpr(
+            "c_custkey as c",
+            "' M' || c_custkey as merchant_id",
+            "c_name || ' ' as merchant_name",
+            f"if(c_custkey % 89 = 7, null, cast({rate} as decimal(18,9))) as fee_rate",
         )
     )
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").select(
-        K,
-        F.col("o_custkey").alias(C),
-        _name("O", K).alias("order_id"),
-        _name("M", "o_custkey", " ").alias("merchant_id"),
-        F.floor("o_totalprice").cast("bigint").alias("order_amount"),
-        F.col("o_orderdate").alias("ordered_at"),
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as k",
+        "o_custkey as c",
+        "'O' || o_orderkey as order_id",
+        "'M' || o_custkey || ' ' as merchant_id",
+        "cast(floor(o_totalprice) as bigint) as order_amount",
+        "o_orderdate as ordered_at",
     )
 
 
 def _payments(orders: DataFrame) -> DataFrame:
-    day, minute = F.expr("interval '1' day"), F.expr("interval '1' minute")
-    base = F.col("order_amount") - F.when(_hit(K, 103, 11), 500).otherwise(0)
     return (
-        orders.where(F.col(K) % 101 != 5)
-        .withColumn("base", base)
-        .select(
-            K,
-            C,
+        orders.where("k % 101 != 5")
+        .selectExpr("*", "order_amount - if(k % 103 = 11, 500, 0) as base")
+        .selectExpr(
+            "k",
+            "c",
             "merchant_id",
             "ordered_at",
             "base",
-            _name("P", K).alias("payment_id"),
+            "'P' || k as payment_id",
             "order_id",
-            F.when(_hit(K, 167, 71), "n/a")
-            .otherwise(F.col("base").cast("string"))
-            .alias("payment_amount"),
-            F.when(_hit(K, 107, 17), "failed")
-            .when(_hit(K, 2, 0), " success ")
-            .otherwise("SUCCESS")
-            .alias("payment_status"),
-            F.when(_hit(K, 107, 17), " ")
-            .otherwise(_name("B", K))
-            .alias("settlement_batch_id"),
-            F.when(_hit(K, 127, 31), None)
-            .when(_hit(K, 109, 19), F.col("ordered_at") - day)
-            .otherwise(F.col("ordered_at") + minute)
-            .alias("paid_at"),
+            "if(k % 167 = 71, 'n/a', cast(base as string)) as payment_amount",
+            "case when k % 107 = 17 then 'failed' when k % 2 = 0 then ' success ' else 'SUCCESS' "
+            "end as payment_status",
+            "if(k % 107 = 17, ' ', 'B' || k) as settlement_batch_id",
+            "case when k % 127 = 31 then null when k % 109 = 19 then ordered_at - interval 1 day "
+            "else ordered_at + interval 1 minute end as paid_at",
         )
     )
 
 
 def _settlements(payments: DataFrame, merchants: DataFrame) -> DataFrame:
-    fee = F.round(F.col("base").cast("decimal(19,0)") * F.col("fee_rate")).cast("bigint")
+    fee = "cast(round(cast(base as decimal(19,0)) * fee_rate) as bigint)"
     return (
-        payments.where((F.col(K) % 113 != 23) & (F.col(K) % 107 != 17))
-        .join(merchants.select(C, "fee_rate"), C, "left")
-        .withColumn("fee0", F.coalesce(fee, F.lit(0)))
-        .select(
-            _name("S", K).alias("settlement_id"),
-            _name(" B", K).alias("settlement_batch_id"),
-            F.when(_hit(K, 131, 37), "M-X").otherwise(F.col("merchant_id")).alias("merchant_id"),
-            (F.col("base") + F.when(_hit(K, 137, 41), 250).otherwise(0)).alias("gross_amount"),
-            (F.col("fee0") + F.when(_hit(K, 139, 43), 1).otherwise(0)).alias("fee_amount"),
-            (F.col("base") - F.col("fee0") - F.when(_hit(K, 149, 47), 100).otherwise(0)).alias(
-                "net_amount"
-            ),
-            F.when(_hit(K, 151, 53), "pending").otherwise("completed ").alias("settlement_status"),
-            F.when(_hit(K, 163, 61), None)
-            .when(_hit(K, 157, 59), F.col("ordered_at") - F.expr("interval '2' day"))
-            .otherwise(F.col("ordered_at") + F.expr("interval '3' day"))
-            .alias("settled_at"),
+        payments.where("k % 113 != 23 and k % 107 != 17")
+        .join(merchants.select("c", "fee_rate"), "c", "left")
+        .selectExpr("*", f"coalesce({fee}, 0) as fee0")
+        .selectExpr(
+            "'S' || k as settlement_id",
+            "' B' || k as settlement_batch_id",
+            "if(k % 131 = 37, 'M-X', merchant_id) as merchant_id",
+            "base + if(k % 137 = 41, 250, 0) as gross_amount",
+            "fee0 + if(k % 139 = 43, 1, 0) as fee_amount",
+            "base - fee0 - if(k % 149 = 47, 100, 0) as net_amount",
+            "if(k % 151 = 53, 'pending', 'completed ') as settlement_status",
+            "case when k % 163 = 61 then null when k % 157 = 59 then ordered_at - interval 2 day "
+            "else ordered_at + interval 3 day end as settled_at",
         )
     )
 
@@ -129,44 +103,40 @@ def expected_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     To show that a comparison notices a difference, the expected status of orders with
     key % 211 = 100 is turned round and orders with key % 223 = 7 get an id that does not exist.
     """
-    paid = (F.col(K) % 101 != 5) & (F.col(K) % 107 != 17)
-    settled = paid & (F.col(K) % 113 != 23)
-    listed = F.col("o_custkey") % 97 != 13
-    rated = listed & (F.col("o_custkey") % 89 != 7)
-    readable = F.col(K) % 167 != 71
-    unpaid_time = _hit(K, 127, 31)
+    keys = _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as k",
+        "o_orderkey % 101 != 5 and o_orderkey % 107 != 17 as paid",
+        "o_custkey % 97 != 13 as listed",
+        "o_custkey % 89 != 7 as rated",
+        "o_orderkey % 167 != 71 as readable",
+    )
     flags = {
-        "is_payment_missing": ~paid,
-        "is_merchant_missing": ~listed,
-        "is_fee_rate_missing": listed & ~rated,
-        "is_order_payment_amount_mismatch": paid & (_hit(K, 103, 11) | ~readable),
-        "is_settlement_missing": paid & ~settled,
-        "is_settlement_not_completed": settled & _hit(K, 151, 53),
-        "is_merchant_mismatch": settled & _hit(K, 131, 37),
-        "is_gross_amount_mismatch": settled & (_hit(K, 137, 41) | ~readable),
-        "is_fee_amount_mismatch": settled & rated & readable & _hit(K, 139, 43),
-        "is_net_amount_mismatch": settled & rated & readable & _hit(K, 149, 47),
-        "is_payment_datetime_invalid": paid & (unpaid_time | _hit(K, 109, 19)),
-        "is_settlement_datetime_invalid": settled
-        & (unpaid_time | _hit(K, 163, 61) | _hit(K, 157, 59)),
+        "is_payment_missing": "not paid",
+        "is_merchant_missing": "not listed",
+        "is_fee_rate_missing": "listed and not rated",
+        "is_order_payment_amount_mismatch": "paid and (k % 103 = 11 or not readable)",
+        "is_settlement_missing": "paid and not settled",
+        "is_settlement_not_completed": "settled and k % 151 = 53",
+        "is_merchant_mismatch": "settled and k % 131 = 37",
+        "is_gross_amount_mismatch": "settled and (k % 137 = 41 or not readable)",
+        "is_fee_amount_mismatch": "settled and listed and rated and readable and k % 139 = 43",
+        "is_net_amount_mismatch": "settled and listed and rated and readable and k % 149 = 47",
+        "is_payment_datetime_invalid": "paid and (k % 127 = 31 or k % 109 = 19)",
+        "is_settlement_datetime_invalid":
+            "settled and (k % 127 = 31 or k % 163 = 61 or k % 157 = 59)",
     }
-    named = {f"expected_{code}": flags[code] for code in FLAGS}
-    count = F.lit(0).cast("bigint")
-    for name in named:
-        count = count + F.col(name).cast("bigint")
-    status = verdict(F.col("expected_error_count"))
-    flipped = F.when(status == "ERROR", "MATCHED").otherwise("ERROR")
+    total = " + ".join(f"cast(expected_{code} as bigint)" for code in FLAGS)
     return (
-        _table(spark, sf_dir, "orders")
-        .withColumns(named)
-        .withColumn("expected_error_count", count)
-        .select(
-            F.when(_hit(K, 223, 7), _name("X", K)).otherwise(_name("O", K)).alias("order_id"),
-            *named,
+        keys.selectExpr("*", "paid and k % 113 != 23 as settled")
+        .selectExpr("k", *[f"{flags[code]} as expected_{code}" for code in FLAGS])
+        .selectExpr("*", f"{total} as expected_error_count")
+        .withColumn("status", verdict(F.col("expected_error_count")))
+        .selectExpr(
+            "if(k % 223 = 7, 'X', 'O') || k as order_id",
+            *[f"expected_{code}" for code in FLAGS],
             "expected_error_count",
-            F.when(_hit(K, 211, 100), flipped).otherwise(status).alias(
-                "expected_reconciliation_status"
-            ),
+            "case when k % 211 != 100 then status when status = 'ERROR' then 'MATCHED' "
+            "else 'ERROR' end as expected_reconciliation_status",
         )
     )
 
@@ -175,85 +145,69 @@ def messy_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """All text, with duplicates, orphans, shared batches, null keys and values that do not cast.
 
     Payments come from lineitem, so an order has several, and all of them share one batch.
+    Values are padded with spaces, tabs and wide spaces.
     """
-    tab, wide_space = "\t", "　"
-    customer = _table(spark, sf_dir, "customer")
-    step = (F.lit(25) + (F.col(C) % 5) * 5).cast("string")
-    merchant = customer.select(
-        C,
-        _name(tab + "M", C).alias("merchant_id"),
-        F.concat(F.lit(wide_space), F.col("c_name")).alias("merchant_name"),
-        F.when(_hit(C, 89, 7), "3%").otherwise(F.concat(F.lit("0.0"), step)).alias("fee_rate"),
+    tab, wide = "char(9)", "'\u3000'"
+    merchant = _table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as c",
+        f"{tab} || 'M' || c_custkey as merchant_id",
+        f"{wide} || c_name as merchant_name",
+        "if(c_custkey % 89 = 7, '3%', '0.0' || (25 + c_custkey % 5 * 5)) as fee_rate",
     )
-    merchants = merchant.where(F.col(C) % 41 != 5).unionByName(merchant.where(_hit(C, 30, 4)))
+    merchants = merchant.where("c % 41 != 5").unionByName(merchant.where("c % 30 = 4"))
 
-    price = F.floor("o_totalprice").cast("bigint")
-    order = _table(spark, sf_dir, "orders").select(
-        F.col(K).alias("k"),
-        F.when(F.col(K) % 40 != 3, _name("O", K, wide_space)).alias("order_id"),
-        F.when(F.col(K) % 45 != 8, _name("M", "o_custkey", tab)).alias("merchant_id"),
-        F.when(_hit(K, 53, 2), "abc").otherwise(price.cast("string")).alias("order_amount"),
-        F.when(_hit(K, 59, 1), "soon")
-        .when(_hit(K, 61, 1), "10:30")
-        .otherwise(F.col("o_orderdate").cast("string"))
-        .alias("ordered_at"),
-        price.alias("price"),
-        F.col("o_custkey").alias("c"),
-        F.col("o_orderdate").alias("day"),
+    order = (
+        _table(spark, sf_dir, "orders")
+        .selectExpr(
+            "o_orderkey as k",
+            "o_custkey as c",
+            "cast(floor(o_totalprice) as bigint) as price",
+            "o_orderdate as day",
+        )
+        .selectExpr(
+            "*",
+            f"if(k % 40 != 3, 'O' || k || {wide}, null) as order_id",
+            f"if(k % 45 != 8, 'M' || c || {tab}, null) as merchant_id",
+            "if(k % 53 = 2, 'abc', cast(price as string)) as order_amount",
+            "case when k % 59 = 1 then 'soon' when k % 61 = 1 then '10:30' "
+            "else cast(day as string) end as ordered_at",
+        )
     )
-    orders = order.unionByName(order.where(_hit("k", 60, 7)))
+    orders = order.unionByName(order.where("k % 60 = 7"))
 
-    settlement = order.select(
+    settlement = order.selectExpr(
         "k",
-        F.when(F.col("k") % 67 != 8, _name("S", "k")).alias("settlement_id"),
-        F.when(F.col("k") % 71 != 9, _name("B", "k", " ")).alias("settlement_batch_id"),
-        _name("M", "c", " ").alias("merchant_id"),
-        F.col("price").cast("string").alias("gross_amount"),
-        (F.col("price") % 1000).cast("string").alias("fee_amount"),
-        F.when(_hit("k", 73, 4), "")
-        .otherwise((F.col("price") - F.col("price") % 1000).cast("string"))
-        .alias("net_amount"),
-        F.when(_hit("k", 4, 0), "completed")
-        .when(_hit("k", 4, 1), "COMPLETED ")
-        .when(_hit("k", 4, 2), " pending")
-        .alias("settlement_status"),
-        F.when(F.col("k") % 79 != 6, (F.col("day") + F.expr("interval '30' day")).cast("string"))
-        .alias("settled_at"),
+        "if(k % 67 != 8, 'S' || k, null) as settlement_id",
+        "if(k % 71 != 9, 'B' || k || ' ', null) as settlement_batch_id",
+        "'M' || c || ' ' as merchant_id",
+        "cast(price as string) as gross_amount",
+        "cast(price % 1000 as string) as fee_amount",
+        "if(k % 73 = 4, '', cast(price - price % 1000 as string)) as net_amount",
+        "case k % 4 when 0 then 'completed' when 1 then 'COMPLETED ' when 2 then ' pending' end "
+        "as settlement_status",
+        "if(k % 79 != 6, cast(day + interval 30 day as string), null) as settled_at",
     )
-    settlements = settlement.unionByName(settlement.where(_hit("k", 50, 0)))
-
-    line = _table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("k"),
-        (F.col("l_orderkey") + F.col("l_linenumber")).alias("s"),
-        "l_linenumber",
-        F.floor("l_extendedprice").cast("bigint").cast("string").alias("amount"),
-        F.col("l_shipdate").cast("string").alias("day"),
+    settlements = settlement.unionByName(settlement.where("k % 50 = 0"))
+
+    payments = (
+        _table(spark, sf_dir, "lineitem")
+        .selectExpr("*", "l_orderkey as k", "l_orderkey + l_linenumber as s")
+        .selectExpr(
+            "if(s % 61 != 5, 'P' || k || '-' || l_linenumber, null) as payment_id",
+            "case when s % 43 = 1 then null when s % 47 = 3 then 'X' || k "
+            f"else ' O' || k || {tab} end as order_id",
+            "if(s % 37 = 2, 'n/a', cast(cast(floor(l_extendedprice) as bigint) as string)) "
+            "as payment_amount",
+            f"case s % 6 when 0 then 'failed' when 1 then {wide} || 'success ' when 2 then "
+            "'SUCCESS' when 3 then 'Success' when 4 then 'refunded' end as payment_status",
+            f"case when s % 31 = 6 then null when s % 29 = 4 then {tab} || ' ' "
+            "else ' B' || k end as settlement_batch_id",
+            "if(s % 83 = 2, '2026-13-45', cast(l_shipdate as string)) as paid_at",
+        )
     )
-    payments = line.select(
-        F.when(F.col("s") % 61 != 5, _name("P", "k", "-"))
-        .otherwise(None)
-        .alias("stem"),
-        F.when(_hit("s", 43, 1), None)
-        .when(_hit("s", 47, 3), _name("X", "k"))
-        .otherwise(_name(" O", "k", tab))
-        .alias("order_id"),
-        F.when(_hit("s", 37, 2), "n/a").otherwise(F.col("amount")).alias("payment_amount"),
-        F.when(_hit("s", 6, 0), "failed")
-        .when(_hit("s", 6, 1), wide_space + "success ")
-        .when(_hit("s", 6, 2), "SUCCESS")
-        .when(_hit("s", 6, 3), "Success")
-        .when(_hit("s", 6, 4), "refunded")
-        .alias("payment_status"),
-        F.when(_hit("s", 31, 6), None)
-        .when(_hit("s", 29, 4), tab + " ")
-        .otherwise(_name(" B", "k"))
-        .alias("settlement_batch_id"),
-        F.when(_hit("s", 83, 2), "2026-13-45").otherwise(F.col("day")).alias("paid_at"),
-        F.col("l_linenumber").cast("string").alias("number"),
-    ).withColumn("payment_id", F.concat("stem", "number"))
     return Inputs(
         merchants=merchants.select(RAW_COLUMNS["merchants"]),
         orders=orders.select(RAW_COLUMNS["orders"]),
-        payments=payments.select(RAW_COLUMNS["payments"]),
+        payments=payments,
         settlements=settlements.select(RAW_COLUMNS["settlements"]),
     )
