@@ -7,46 +7,24 @@ from pyspark.sql import functions as F
 
 from tallyline.schemas import RATE
 
-# Every character with the Unicode White_Space property. SQL trim() alone strips U+0020 only.
-WHITESPACE = "".join(
-    map(
-        chr,
-        [
-            *range(0x0009, 0x000E),
-            0x0020,
-            0x0085,
-            0x00A0,
-            0x1680,
-            *range(0x2000, 0x200B),
-            0x2028,
-            0x2029,
-            0x202F,
-            0x205F,
-            0x3000,
-        ],
-    )
-)
+# Characters with the Unicode White_Space property. SQL trim() strips U+0020 only.
+WHITESPACE = r"[\s\x{85}\p{Z}]"
+
+# The look-behind starts a match at the head of a run only, so long runs inside a text stay linear.
+SURROUNDING_WHITESPACE = f"^{WHITESPACE}+|(?<!{WHITESPACE}){WHITESPACE}+$"
 
 # Spark also reads '2026', '2026-07' and a bare '10:00' (which takes today's date) as timestamps.
 # Asking for a full date keeps a rerun on another day equal.
 FULL_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ Tt]|$)"
 
 
-def _plain_character(code: Column) -> Column:
-    """True for a code point that is surely no whitespace: printable ASCII, kana, kanji, hangul."""
-    return code.between(0x21, 0x7E) | (code > 0x3000)
-
-
 def clean_text(value: Column) -> Column:
     """Strip surrounding whitespace.
 
-    Nearly all values end in plain characters once their spaces are gone, and trim with two
-    character tests costs half of what btrim with a character list or a regex costs.
+    One call per column keeps the generated code of a stage small enough to be compiled, and it is
+    faster than btrim with a character list.
     """
-    trimmed = F.trim(value)
-    first, last = F.ascii(trimmed), F.ascii(F.substring(trimmed, -1, 1))
-    done = _plain_character(first) & _plain_character(last)
-    return F.when(done, trimmed).otherwise(F.btrim(value, F.lit(WHITESPACE)))
+    return F.regexp_replace(value, SURROUNDING_WHITESPACE, "")
 
 
 def clean_status(value: Column) -> Column:
