@@ -1,7 +1,7 @@
 """Command line job: load the four raw tables, rebuild every layer, check it, publish the reports.
 
-    spark-submit --py-files tallyline.zip tallyline/job.py --raw s3a://bucket/raw --out s3a://bucket/mart
-    python -m tallyline.job --raw data/raw --format csv --out data/mart
+    spark-submit --py-files tallyline.zip tallyline/job.py --raw /data/raw --out /data/mart
+    python -m tallyline.job --master 'local[8]' --raw data/raw --format csv --out data/mart
 
 Exit code 1 means that a check failed; the reports then keep their last state. Anomalies of single
 orders are results, not failures.

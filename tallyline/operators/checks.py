@@ -27,14 +27,15 @@ def wrong_verdict() -> Column:
     return F.col("reconciliation_status") != verdict(F.col("error_count"))
 
 
+def key_counts(table: DataFrame, key: str) -> DataFrame:
+    """Rows per key value without nulls. Counts combine map-side, so a key that fills a third of
+    the table costs one row per task."""
+    return table.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_records"))
+
+
 def duplicate_keys(table: DataFrame, key: str) -> DataFrame:
-    """Key values that occur more than once. Counts combine map-side; null keys do not count."""
-    return (
-        table.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("n_records"))
-        .where(F.col("n_records") > 1)
-    )
+    """Key values that occur more than once, with their number of rows."""
+    return key_counts(table, key).where(F.col("n_records") > 1)
 
 
 def unexpected_values(table: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
@@ -49,13 +50,16 @@ def unexpected_values(table: DataFrame, column: str, accepted: Sequence[str]) ->
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child key values without a parent row, with their number of child rows.
 
-    Both sides shrink to one row per key before the shuffle, so a key that fills a third of either
-    table costs one row per task, and the join reuses the partitioning of the two aggregations.
+    Both sides shrink to one row per key before the shuffle, and the join keeps the partitioning of
+    the two counts. Counting the parents, where distinct keys would do, lets one query that also
+    looks for duplicate parent keys shuffle them once.
     """
-    children = (
-        child.where(F.col(child_key).isNotNull())
-        .groupBy(child_key)
-        .agg(F.count("*").alias("n_records"))
+    parents = key_counts(parent, parent_key).select(
+        F.col(parent_key).alias(child_key), F.col("n_records").alias("n_parents")
+    )
+    return (
+        key_counts(child, child_key)
+        .join(parents, child_key, "left")
+        .where(F.col("n_parents").isNull())
+        .drop("n_parents")
     )
-    parents = parent.select(F.col(parent_key).alias(child_key)).distinct()
-    return children.join(parents, child_key, "left_anti")

@@ -63,7 +63,7 @@ def metric_distribution(mart: DataFrame, errors: DataFrame) -> DataFrame:
 def metric_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Expected metrics (metric, expected_value) that the actual ones miss or contradict."""
     return (
-        expected.join(F.broadcast(actual), "metric", "left")  # actual has one row per metric
+        expected.join(actual, "metric", "left")
         .where(~F.col("actual_value").eqNullSafe(F.col("expected_value")))
         .select("metric", "expected_value", "actual_value")
     )

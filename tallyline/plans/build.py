@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from tallyline.operators.errors import error_rows
 from tallyline.operators.joins import JoinPolicy, measure_joins
-from tallyline.operators.staging import STAGES
+from tallyline.operators.staging import stage
 from tallyline.plans.quality import ERROR_MART, ORDER_MART, quality_report, table_set
 from tallyline.plans.reconcile import reconcile
 from tallyline.plans.reports import error_details, error_type_summary
@@ -28,20 +29,21 @@ class Marts:
         return table_set(self.staged, self.orders, self.errors)
 
 
+def _write_all(warehouse: Warehouse, layer: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Independent tables are written side by side, so that none waits for another's last task."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(lambda item: warehouse.write(layer, *item), tables.items()))
+
+
 def load_raw(warehouse: Warehouse, raw: Inputs) -> Inputs:
     """Keep the raw tables as they came."""
-    return Inputs(**{name: warehouse.write("raw", name, table) for name, table in raw.items()})
+    return Inputs(*_write_all(warehouse, "raw", dict(raw.items())))
 
 
 def build_marts(warehouse: Warehouse, raw: Inputs, policy: JoinPolicy = JoinPolicy()) -> Marts:
     """Each layer is stored and read back: joins, checks and reports scan columns, not CSV text,
     and the three joins of the order mart run once however many readers it has."""
-    staged = Inputs(
-        **{
-            name: warehouse.write("staging", f"stg_{name}", STAGES[name](table))
-            for name, table in raw.items()
-        }
-    )
+    staged = Inputs(*_write_all(warehouse, "staging", stage(raw).tables()))
     orders = warehouse.write(
         "marts", ORDER_MART, reconcile(staged, measure_joins(staged, policy))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.operators.rules import error_catalog
+from tallyline.operators.rules import FLAGS, error_catalog
 
 
 def error_counts(errors: DataFrame) -> DataFrame:
@@ -14,10 +14,10 @@ def error_counts(errors: DataFrame) -> DataFrame:
 
 def error_type_summary(errors: DataFrame) -> DataFrame:
     """Rows per error type, always all twelve types. Sort by category_sort_order, sort_order."""
-    counts = F.broadcast(error_counts(errors))  # one row per error code at most
+    counts = error_counts(errors.where(F.col("error_code").isin(*FLAGS)))  # twelve rows at most
     return (
         error_catalog(errors.sparkSession)
-        .join(counts, "error_code", "left")
+        .join(F.broadcast(counts), "error_code", "left")
         .select(
             "category_sort_order",
             "error_category",

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Hash instead of sort where every partition of the smaller side is measured to be this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     # Do not look up the Python call site of every column expression while a plan is built.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -127,7 +127,7 @@ def test_many_right_rows_of_one_key_are_split(spark, tiny_skew_limits):
     )
     plain, split = left_join(left, right, "key"), left_join(left, right, "key", ("hot",))
     assert "skew=true" not in final_plan(plain)
-    assert "SortMergeJoin(skew=true) [key" in final_plan(split)
+    assert "skew=true" in final_plan(split)
     assert split.count() == plain.count()
 
 
