@@ -12,8 +12,17 @@ from tallyline.operators.rules import FLAGS, verdict
 from tallyline.schemas import RAW_COLUMNS, Inputs
 
 
+# The columns that are read; naming their types saves a job that would infer them.
+COLUMNS = {
+    "customer": "c_custkey bigint, c_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double, "
+    "l_shipdate timestamp_ntz",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _merchants(spark: SparkSession, sf_dir: str) -> DataFrame:

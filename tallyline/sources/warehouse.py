@@ -22,8 +22,9 @@ class FolderWarehouse:
         return self.spark.read.parquet(f"{self.root}/{layer}/{name}")
 
     def write(self, layer: str, name: str, table: DataFrame) -> DataFrame:
-        table.write.mode("overwrite").parquet(f"{self.root}/{layer}/{name}")
-        return self.read(layer, name)
+        location = f"{self.root}/{layer}/{name}"
+        table.write.mode("overwrite").parquet(location)
+        return self.spark.read.schema(table.schema).parquet(location)
 
 
 @dataclass(frozen=True)

@@ -11,7 +11,7 @@ from sample import make_inputs
 
 from tallyline.operators.joins import JoinPolicy, JoinStats, left_join, measure_joins
 from tallyline.operators.staging import stage
-from tallyline.plans.reconcile import join_orders, reconcile
+from tallyline.plans.reconcile import join_orders, join_orders_to_merchants, reconcile
 
 EAGER = JoinPolicy(hot_rows=50, sample_fraction=1.0)
 
@@ -138,6 +138,17 @@ def test_null_batches_of_the_left_side_are_split(spark, tiny_skew_limits):
     assert "skew=true" in final_plan(joined)
 
 
+def test_a_merchant_with_a_third_of_the_orders_is_split(spark, tiny_skew_limits):
+    third = F.when(F.col("id") % 3 == 0, "M0").otherwise(F.col("id").cast("string"))
+    orders = rows(spark, 9_000, third).withColumnRenamed("key", "merchant_id")
+    merchants = spark.range(0, 9_000, 1, 8).select(
+        F.concat(F.lit("M"), "id").alias("merchant_id"),
+        F.lit("shop").alias("merchant_name"),
+        F.lit(None).cast("decimal(18,9)").alias("fee_rate"),
+    )
+    assert "skew=true" in final_plan(join_orders_to_merchants(orders, merchants, JoinStats()))
+
+
 def test_a_rule_joins_only_what_it_compares(skewed):
     def joins(sides):
         plan = join_orders(skewed, JoinStats(), sides)._jdf.queryExecution().optimizedPlan()
