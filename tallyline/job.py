@@ -18,7 +18,12 @@ from pyspark.sql import functions as F
 
 from tallyline.plans.build import build_marts, check_marts, load_raw, publish_reports
 from tallyline.session import open_session, shuffle_partitions_for
-from tallyline.sources.raw import read_csv_folder, read_namespace, read_parquet_folder
+from tallyline.sources.raw import (
+    read_csv_folder,
+    read_golden_folder,
+    read_namespace,
+    read_parquet_folder,
+)
 from tallyline.sources.warehouse import CatalogWarehouse, FolderWarehouse
 
 READERS = {"csv": read_csv_folder, "parquet": read_parquet_folder, "table": read_namespace}
@@ -33,6 +38,7 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
     target.add_argument("--catalog", action="store_true", help="write catalog tables instead")
     parser.add_argument("--prefix", default="", help="prefix of the catalog namespaces")
     parser.add_argument("--keep-raw", action="store_true", help="also store the raw tables")
+    parser.add_argument("--golden", help="folder with expected orders.csv and metrics.csv")
     parser.add_argument("--master", help="Spark master, if spark-submit does not set it")
     parser.add_argument("--input-gib", type=int, help="size of the input, to set shuffle partitions")
     return parser.parse_args(arguments)
@@ -48,7 +54,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
     if options.keep_raw:
         raw = load_raw(warehouse, raw)
     marts = build_marts(warehouse, raw)
-    report = check_marts(warehouse, marts)
+    golden = read_golden_folder(spark, options.golden) if options.golden else None
+    report = check_marts(warehouse, marts, golden)
     failures = report.where(F.col("failing_rows") > 0).collect()  # one row per check at most
     for row in failures:
         print(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -13,6 +14,14 @@ from tallyline.operators.rules import FLAGS
 COMPARED = [*FLAGS, "error_count", "reconciliation_status"]
 
 
+@dataclass(frozen=True)
+class Golden:
+    """Expected results: orders with expected_ columns, and (metric, expected_value) rows."""
+
+    orders: DataFrame
+    metrics: DataFrame
+
+
 def _expected(name: str) -> str:
     return f"expected_{name}"
 

@@ -8,9 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tallyline.operators.errors import error_rows
+from tallyline.operators.golden import Golden
 from tallyline.operators.joins import JoinPolicy, measure_joins
 from tallyline.operators.staging import stage
-from tallyline.plans.quality import ERROR_MART, ORDER_MART, quality_report, table_set
+from tallyline.plans.quality import (
+    ERROR_MART,
+    ORDER_MART,
+    golden_report,
+    quality_report,
+    table_set,
+)
 from tallyline.plans.reconcile import reconcile
 from tallyline.plans.reports import error_details, error_type_summary
 from tallyline.schemas import Inputs
@@ -51,8 +58,12 @@ def build_marts(warehouse: Warehouse, raw: Inputs, policy: JoinPolicy = JoinPoli
     return Marts(staged, orders, errors)
 
 
-def check_marts(warehouse: Warehouse, marts: Marts) -> DataFrame:
-    return warehouse.write("checks", "quality_report", quality_report(marts.tables()))
+def check_marts(warehouse: Warehouse, marts: Marts, golden: Golden | None = None) -> DataFrame:
+    """All checks, and the comparison with expected results if there are any."""
+    report = quality_report(marts.tables())
+    if golden:
+        report = report.unionByName(golden_report(marts.orders, marts.errors, golden))
+    return warehouse.write("checks", "quality_report", report)
 
 
 def publish_reports(warehouse: Warehouse, marts: Marts) -> None:

@@ -17,6 +17,12 @@ from tallyline.operators.checks import (
     wrong_error_count,
     wrong_verdict,
 )
+from tallyline.operators.golden import (
+    Golden,
+    metric_differences,
+    metric_distribution,
+    order_differences,
+)
 from tallyline.operators.rules import FLAGS
 from tallyline.schemas import Inputs
 
@@ -147,3 +153,13 @@ def quality_report(
             if link.child in tables and link.parent in tables
         ]
     return reduce(DataFrame.unionByName, [part for part in parts if part is not None])
+
+
+def golden_report(mart: DataFrame, errors: DataFrame, golden: Golden) -> DataFrame:
+    """failing_rows counts expected orders and expected metrics that differ."""
+    count = F.count("*").alias("failing_rows")
+    orders = order_differences(golden.orders, mart).agg(count)
+    metrics = metric_differences(golden.metrics, metric_distribution(mart, errors)).agg(count)
+    return orders.select(_line(ORDER_MART, "golden_orders", "order_id")).unionByName(
+        metrics.select(_line(ORDER_MART, "golden_metrics", "metric"))
+    )

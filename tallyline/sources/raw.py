@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.operators.golden import Golden
+from tallyline.operators.rules import FLAGS
 from tallyline.schemas import RAW_COLUMNS, Inputs, raw_schema
 
 
@@ -44,3 +46,19 @@ def read_namespace(spark: SparkSession, namespace: str = "raw") -> Inputs:
             for name, columns in RAW_COLUMNS.items()
         }
     )
+
+
+def read_golden_folder(spark: SparkSession, folder: str) -> Golden:
+    """Expected results, typed: `orders.csv` with order_id, the expected twelve flags, count and
+    status, and `metrics.csv` with metric and expected_value."""
+    flags = ", ".join(f"expected_{code} boolean" for code in FLAGS)
+    orders = (
+        f"order_id string, {flags}, expected_error_count bigint, "
+        "expected_reconciliation_status string"
+    )
+
+    def read(name: str, schema: str) -> DataFrame:
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+        return reader.option("mode", "FAILFAST").csv(f"{folder}/{name}.csv")
+
+    return Golden(read("orders", orders), read("metrics", "metric string, expected_value bigint"))

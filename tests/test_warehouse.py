@@ -7,9 +7,10 @@ from pathlib import Path
 
 import pytest
 from compare import spark_rows
-from sample import EXPECTED_METRICS, make_inputs, sample_rows
+from sample import EXPECTED_ERRORS, EXPECTED_METRICS, make_inputs, sample_rows
 
 from tallyline import job
+from tallyline.operators.rules import FLAGS
 from tallyline.operators.staging import stage
 from tallyline.plans.build import build_marts, check_marts, load_raw
 from tallyline.plans.reconcile import reconcile
@@ -117,6 +118,33 @@ def test_job_with_a_failed_check_does_not_publish(spark, tmp_path, capsys):
     assert not (out / "reports").exists()
 
 
+def write_golden(folder: Path, total: int) -> str:
+    folder.mkdir()
+    rows = [["order_id", *[f"expected_{c}" for c in FLAGS], "expected_error_count",
+             "expected_reconciliation_status"]]
+    for order in [f"O00{n}" for n in range(1, 9)]:
+        raised = EXPECTED_ERRORS.get(order, set())
+        flags = ["true" if code in raised else "false" for code in FLAGS]
+        rows.append([order, *flags, len(raised), "ERROR" if raised else "MATCHED"])
+    metrics = [["metric", "expected_value"], *{**EXPECTED_METRICS, "total_orders": total}.items()]
+    for name, lines in (("orders", rows), ("metrics", metrics)):
+        with open(folder / f"{name}.csv", "w", newline="") as file:
+            csv.writer(file, lineterminator="\n").writerows(lines)
+    return str(folder)
+
+
+def test_job_compares_with_expected_results(spark, tmp_path, capsys):
+    (tmp_path / "raw").mkdir()
+    folder = write_csv(tmp_path / "raw", sample_rows())
+    out = str(tmp_path / "out")
+    for total, passed in ((200, True), (201, False)):
+        golden = write_golden(tmp_path / f"golden{total}", total)
+        options = job.parse(["--raw", folder, "--out", out, "--golden", golden])
+        assert job.run(spark, options) is passed
+        assert spark.read.parquet(f"{out}/checks/quality_report").count() == 41
+    assert "golden_metrics on fct_payment_reconciliation.metric: 1" in capsys.readouterr().err
+
+
 def test_job_into_the_catalog(spark, tmp_path):
     folder = write_csv(tmp_path, sample_rows())
     options = job.parse(["--raw", folder, "--catalog", "--prefix", "b_"])
