@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.plans.build import build_marts, check_marts, load_raw, publish_reports
-from tallyline.session import open_session, shuffle_partitions_for
+from tallyline.session import open_session, settings_for
 from tallyline.sources.raw import (
     read_csv_folder,
     read_golden_folder,
@@ -40,7 +40,7 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("--keep-raw", action="store_true", help="also store the raw tables")
     parser.add_argument("--golden", help="folder with expected orders.csv and metrics.csv")
     parser.add_argument("--master", help="Spark master, if spark-submit does not set it")
-    parser.add_argument("--input-gib", type=int, help="size of the input, to set shuffle partitions")
+    parser.add_argument("--input-gib", type=int, help="size of the input, to size tasks by")
     return parser.parse_args(arguments)
 
 
@@ -70,8 +70,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
 
 def main(arguments: Sequence[str] | None = None) -> int:
     options = parse(sys.argv[1:] if arguments is None else arguments)
-    partitions = shuffle_partitions_for(options.input_gib << 30) if options.input_gib else None
-    spark = open_session("reconciliation", options.master, partitions)
+    sized = settings_for(options.input_gib << 30) if options.input_gib else None
+    spark = open_session("reconciliation", options.master, settings=sized)
     return 0 if run(spark, options) else 1
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -13,20 +15,29 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Hash instead of sort where every partition of the smaller side is measured to be this small.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    # Hash instead of sort where every partition of the build side is measured to be this small.
+    # A hash table cannot spill, so the limit stays far below the memory of one task.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Do not look up the Python call site of every column expression while a plan is built.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
-def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 128 * 1024 * 1024) -> int:
-    """Enough shuffle partitions that each holds about `partition_bytes` of the input.
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Split size and number of shuffle partitions for an input of this size.
 
-    Adaptive execution merges partitions but never adds any, so the number has to start high.
+    Adaptive execution merges shuffle partitions but never adds any, so the number has to start
+    high. Every map task writes a block for every partition, though: with 128 MiB each, 100 TiB
+    would make blocks of a hundred bytes. So tasks grow with the root of the input beyond 1 TiB,
+    up to 1 GiB, which the sort-based joins and aggregations can spill.
     """
-    return min(200_000, max(200, -(-input_bytes // partition_bytes)))
+    growth = math.sqrt(max(1.0, input_bytes / 2**40))
+    task_bytes = min(2**30, int(2**27 * growth))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+        "spark.sql.shuffle.partitions": str(max(200, math.ceil(input_bytes / task_bytes))),
+    }
 
 
 def open_session(

@@ -15,7 +15,7 @@ from tallyline.operators.staging import stage
 from tallyline.plans.build import build_marts, check_marts, load_raw
 from tallyline.plans.reconcile import reconcile
 from tallyline.schemas import RAW_COLUMNS
-from tallyline.session import shuffle_partitions_for
+from tallyline.session import settings_for
 from tallyline.sources import raw as sources
 from tallyline.sources.warehouse import (
     CatalogWarehouse,
@@ -154,7 +154,12 @@ def test_job_into_the_catalog(spark, tmp_path):
     assert spark.table("b_reports.error_type_summary").count() == 12
 
 
-def test_shuffle_partitions_follow_the_input():
-    assert shuffle_partitions_for(1 << 30) == 200
-    assert shuffle_partitions_for(1 << 40) == 8192
-    assert shuffle_partitions_for(100 << 40) == 200_000
+@pytest.mark.parametrize(
+    ("size", "task", "partitions"),
+    [(1 << 30, 1 << 27, 200), (1 << 40, 1 << 27, 8192), (100 << 40, 1 << 30, 102_400)],
+)
+def test_tasks_follow_the_input(size, task, partitions):
+    assert settings_for(size) == {
+        "spark.sql.files.maxPartitionBytes": str(task),
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
