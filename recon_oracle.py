@@ -135,49 +135,50 @@ CATALOG = [
 FLAGS = [code for code, *_ in CATALOG]
 FLAG_SUM = " + ".join(f"CAST({code} AS BIGINT)" for code in FLAGS)
 
+# When a flag is raised, given whether the order is paid, settled and listed in the master.
+# A comparison of times that cannot be made counts as a failed one. An expected fee exists only if
+# amount and rate do.
+CONDITIONS = {
+    "is_payment_missing": "NOT paid",
+    "is_merchant_missing": "NOT listed",
+    "is_fee_rate_missing": "listed AND fee_rate IS NULL",
+    "is_settlement_missing": "paid AND NOT settled",
+    "is_settlement_not_completed": "settled AND coalesce(settlement_status, '?') <> 'COMPLETED'",
+    "is_order_payment_amount_mismatch": "paid AND order_amount IS DISTINCT FROM payment_amount",
+    "is_merchant_mismatch": "settled AND settlement_merchant_id IS DISTINCT FROM merchant_id",
+    "is_gross_amount_mismatch": "paid AND settled AND payment_amount IS DISTINCT FROM gross_amount",
+    "is_fee_amount_mismatch":
+        "settled AND expected_fee_amount <> coalesce(actual_fee_amount, expected_fee_amount + 1)",
+    "is_net_amount_mismatch":
+        "settled AND expected_net_amount <> coalesce(actual_net_amount, expected_net_amount + 1)",
+    "is_payment_datetime_invalid": "paid AND NOT coalesce(paid_at >= ordered_at, FALSE)",
+    "is_settlement_datetime_invalid": "settled AND NOT coalesce(settled_at >= paid_at, FALSE)",
+}
+RAISED = ", ".join(f"coalesce({rule}, FALSE) AS {code}" for code, rule in CONDITIONS.items())
+
 MART = f"""
-joined AS (
-  SELECT o.order_id, o.merchant_id, m.merchant_id AS merchant_master_id, m.merchant_name,
-         o.order_amount, o.ordered_at, p.payment_id, p.payment_amount, p.settlement_batch_id,
-         p.paid_at, s.settlement_id, s.merchant_id AS settlement_merchant_id, s.gross_amount,
-         s.fee_amount AS actual_fee_amount, s.net_amount AS actual_net_amount,
-         s.settlement_status, s.settled_at, m.fee_rate,
-         CAST(round(CAST(p.payment_amount AS DECIMAL(19,0)) * m.fee_rate) AS BIGINT)
-           AS expected_fee_amount,
-         p.payment_amount
-           - CAST(round(CAST(p.payment_amount AS DECIMAL(19,0)) * m.fee_rate) AS BIGINT)
-           AS expected_net_amount
+settled_payments AS (
+  SELECT p.* EXCLUDE (payment_status), s.settlement_id, s.merchant_id AS settlement_merchant_id,
+         s.gross_amount, s.fee_amount AS actual_fee_amount, s.net_amount AS actual_net_amount,
+         s.settlement_status, s.settled_at
+  FROM stg_payments p LEFT JOIN stg_settlements s USING (settlement_batch_id)
+  WHERE p.payment_status = 'SUCCESS'),
+priced AS (
+  SELECT o.*, p.* EXCLUDE (order_id), m.merchant_id AS merchant_master_id,
+         m.merchant_name, m.fee_rate,
+         CAST(round(m.fee_rate * CAST(p.payment_amount AS DECIMAL(19,0))) AS BIGINT)
+           AS expected_fee_amount
   FROM stg_orders o
-  LEFT JOIN (SELECT * FROM stg_payments WHERE payment_status = 'SUCCESS') p USING (order_id)
-  LEFT JOIN stg_merchants m ON o.merchant_id = m.merchant_id
-  LEFT JOIN stg_settlements s ON p.settlement_batch_id = s.settlement_batch_id),
+  LEFT JOIN stg_merchants m USING (merchant_id)
+  LEFT JOIN settled_payments p ON p.order_id = o.order_id),
+joined AS (SELECT *, payment_amount - expected_fee_amount AS expected_net_amount FROM priced),
 flagged AS (
-  SELECT *,
-    payment_id IS NULL AS is_payment_missing,
-    merchant_master_id IS NULL AS is_merchant_missing,
-    merchant_master_id IS NOT NULL AND fee_rate IS NULL AS is_fee_rate_missing,
-    payment_id IS NOT NULL AND order_amount IS DISTINCT FROM payment_amount
-      AS is_order_payment_amount_mismatch,
-    payment_id IS NOT NULL AND settlement_id IS NULL AS is_settlement_missing,
-    settlement_id IS NOT NULL AND settlement_status IS DISTINCT FROM 'COMPLETED'
-      AS is_settlement_not_completed,
-    settlement_id IS NOT NULL AND merchant_id IS DISTINCT FROM settlement_merchant_id
-      AS is_merchant_mismatch,
-    settlement_id IS NOT NULL AND payment_id IS NOT NULL
-      AND gross_amount IS DISTINCT FROM payment_amount AS is_gross_amount_mismatch,
-    settlement_id IS NOT NULL AND payment_amount IS NOT NULL AND fee_rate IS NOT NULL
-      AND actual_fee_amount IS DISTINCT FROM expected_fee_amount AS is_fee_amount_mismatch,
-    settlement_id IS NOT NULL AND payment_amount IS NOT NULL AND fee_rate IS NOT NULL
-      AND actual_net_amount IS DISTINCT FROM expected_net_amount AS is_net_amount_mismatch,
-    payment_id IS NOT NULL AND (ordered_at IS NULL OR paid_at IS NULL OR paid_at < ordered_at)
-      AS is_payment_datetime_invalid,
-    settlement_id IS NOT NULL AND (paid_at IS NULL OR settled_at IS NULL OR settled_at < paid_at)
-      AS is_settlement_datetime_invalid
-  FROM joined),
+  SELECT * EXCLUDE (merchant_master_id, paid, settled, listed), {RAISED}
+  FROM (SELECT *, payment_id IS NOT NULL AS paid, settlement_id IS NOT NULL AS settled,
+               merchant_master_id IS NOT NULL AS listed FROM joined)),
+counted AS (SELECT *, {FLAG_SUM} AS error_count FROM flagged),
 fct AS (
-  SELECT * EXCLUDE (merchant_master_id), {FLAG_SUM} AS error_count,
-         CASE WHEN {FLAG_SUM} > 0 THEN 'ERROR' ELSE 'MATCHED' END AS reconciliation_status
-  FROM flagged)"""
+  SELECT *, if(error_count = 0, 'MATCHED', 'ERROR') AS reconciliation_status FROM counted)"""
 
 CATALOG_ROWS = (
     "catalog(error_code, category_sort_order, error_category, sort_order, error_reason) AS (VALUES "
@@ -194,15 +195,16 @@ errors AS (
          actual_net_amount, expected_net_amount, ordered_at, paid_at, settled_at
   FROM long JOIN catalog USING (error_code) WHERE has_error)"""
 
-METRICS = "metrics AS (" + " UNION ALL ".join(
-    [
-        "SELECT 'total_orders' AS metric, count(*) AS actual_value FROM fct",
-        "SELECT 'matched_orders', count(*) FROM fct WHERE reconciliation_status = 'MATCHED'",
-        "SELECT 'error_orders', count(*) FROM fct WHERE reconciliation_status = 'ERROR'",
-        *[f"SELECT '{code}', count(*) FROM fct WHERE {code}" for code in FLAGS],
-        "SELECT 'error_detail_rows', count(*) FROM errors",
-    ]
-) + ")"
+METRICS = f"""
+metrics AS (
+  UNPIVOT (
+    SELECT count(*) AS total_orders,
+           count(*) FILTER (reconciliation_status = 'MATCHED') AS matched_orders,
+           count(*) FILTER (reconciliation_status = 'ERROR') AS error_orders,
+           {", ".join(f"count(*) FILTER ({code}) AS {code}" for code in FLAGS)},
+           (SELECT count(*) FROM errors) AS error_detail_rows
+    FROM fct)
+  ON COLUMNS(*) INTO NAME metric VALUE actual_value)"""
 
 PAID = "(k % 101 <> 5 AND k % 107 <> 17)"
 SETTLED = f"({PAID} AND k % 113 <> 23)"
@@ -237,36 +239,30 @@ expected AS (
   FROM labelled)"""
 COMPARED = [*FLAGS, "error_count", "reconciliation_status"]
 ORDER_DIFF = f"""
-SELECT coalesce(e.order_id, a.order_id) AS order_id,
-       {", ".join(f"e.expected_{name}" for name in COMPARED)},
-       {", ".join(f"a.{name}" for name in COMPARED)}
-FROM expected e
-FULL OUTER JOIN (SELECT * FROM fct WHERE order_id IN (SELECT order_id FROM expected)) a
-  ON e.order_id = a.order_id
-WHERE e.order_id IS NULL OR a.order_id IS NULL
-   OR {" OR ".join(f"a.{name} IS DISTINCT FROM e.expected_{name}" for name in COMPARED)}"""
-EXPECTED_METRICS = "expected_metrics AS (" + " UNION ALL ".join(
-    [
-        "SELECT 'total_orders' AS metric, count(*) AS expected_value FROM expected",
-        *[
-            f"SELECT '{name}', count(*) FROM expected WHERE expected_reconciliation_status = '{s}'"
-            for name, s in (("matched_orders", "MATCHED"), ("error_orders", "ERROR"))
-        ],
-        *[f"SELECT '{code}', count(*) FROM expected WHERE expected_{code}" for code in FLAGS],
-        "SELECT 'error_detail_rows', CAST(sum(expected_error_count) AS BIGINT) FROM expected",
-    ]
-) + ")"
+SELECT e.*, {", ".join(f"a.{name}" for name in COMPARED)}
+FROM expected e LEFT JOIN fct a ON a.order_id = e.order_id
+WHERE row({", ".join(f"a.{name}" for name in COMPARED)})
+   IS DISTINCT FROM row({", ".join(f"e.expected_{name}" for name in COMPARED)})"""
+EXPECTED_METRICS = f"""
+expected_metrics AS (
+  UNPIVOT (
+    SELECT count(*) AS total_orders,
+           count(*) FILTER (expected_reconciliation_status = 'MATCHED') AS matched_orders,
+           count(*) FILTER (expected_reconciliation_status = 'ERROR') AS error_orders,
+           {", ".join(f"count(*) FILTER (expected_{code}) AS {code}" for code in FLAGS)},
+           CAST(sum(expected_error_count) AS BIGINT) AS error_detail_rows
+    FROM expected)
+  ON COLUMNS(*) INTO NAME metric VALUE expected_value)"""
 
 SUMMARY = """
-SELECT category_sort_order, error_category, sort_order, error_code, error_reason,
-       coalesce(n, 0) AS error_count
-FROM catalog LEFT JOIN (SELECT error_code, count(*) AS n FROM errors GROUP BY 1) USING (error_code)"""
+SELECT c.*, count(e.error_code) AS error_count
+FROM catalog c LEFT JOIN errors e ON e.error_code = c.error_code
+GROUP BY ALL"""
 DETAILS = """
-SELECT e.order_id, e.payment_id, e.settlement_id, e.merchant_id, e.error_reason, e.order_amount,
-       e.payment_amount, e.gross_amount, e.payment_amount AS expected_gross_amount,
-       e.actual_fee_amount, e.expected_fee_amount, e.actual_net_amount AS net_amount,
-       e.expected_net_amount, r.settlement_status, e.ordered_at, e.paid_at, e.settled_at
-FROM errors e LEFT JOIN fct r ON e.order_id = r.order_id"""
+SELECT e.* EXCLUDE (merchant_name, error_code, actual_net_amount),
+       e.payment_amount AS expected_gross_amount, e.actual_net_amount AS net_amount,
+       r.settlement_status
+FROM errors e LEFT JOIN (SELECT order_id, settlement_status FROM fct) r USING (order_id)"""
 
 # Which column carries which check.
 NOT_NULL = [
