@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from functools import partial
+from importlib import import_module
+from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -183,6 +185,17 @@ def _rule(rule: Rule) -> Query:
     return _from_staged(lambda staged, stats: apply_rule(staged, rule, stats))
 
 
+def _corpus(kind: str) -> dict:
+    """Queries or SQL of the corpus operators and their pipeline, which may be absent."""
+    found = {}
+    if find_spec("tallyline.llm"):
+        found |= getattr(import_module("tallyline.llm.queries"), f"llm_{kind}")()
+    if find_spec("tallyline.llm") and find_spec("corpus_pipeline"):
+        pipeline = import_module("corpus_pipeline")
+        found |= {"queries": {"pipeline": pipeline.run}, "oracles": {}}[kind]
+    return found
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The order mart over the smallest test data."""
     return queries()["fct_payment_reconciliation"](spark, FLAGSHIP_DIR)
@@ -276,8 +289,9 @@ def queries() -> dict[str, Query]:
             ),
             messy,
         ),
+        **_corpus("queries"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles()
+    return {**oracles(), **_corpus("oracles")}
