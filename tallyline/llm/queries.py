@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import bpe, packing
+from tallyline.llm import bpe, packing, quality_rules
 from tallyline.llm.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    judged = quality_rules.assess(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "perplexity")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of documents with its sequence."""
     docs = _table(spark, sf_dir, "documents")
@@ -34,6 +40,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op4_quality_rules": op4_quality_rules,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op9_byte_bpe": op9_byte_bpe,
     }
