@@ -15,19 +15,20 @@ from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers
 
-from tallyline.llm.textbytes import utf8
+from tallyline.llm.matcher import Matcher
 
 CACHE_ENTRIES = 300_000
+TEXTS_AT_ONCE = 200
 
 
 def byte_characters() -> list[str]:
@@ -37,6 +38,9 @@ def byte_characters() -> list[str]:
     return [chr(moved.get(b, b)) for b in range(256)]
 
 
+SHOWN = dict(enumerate(byte_characters()))
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
@@ -69,13 +73,22 @@ class PieceCache:
             return b"".join(map(known.__getitem__, pieces))
         except KeyError:
             pass
-        new = list({p for p in pieces if p not in known})
+        self.learn({p for p in pieces if p not in known})
+        return b"".join(map(known.__getitem__, pieces))
+
+    def learn(self, new: set[str]) -> None:
+        """Encode new matches, each shown to the library as one character a byte."""
+        split = self.tokenizer.model.tokenize
+        for word in new:
+            shown = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(SHOWN)
+            self.known[word] = array("i", [t.id for t in split(shown)]).tobytes()
+
+    def prepare(self, pieces: list[list[str]]) -> None:
+        """Make room for, and encode, what is new in several texts."""
+        known = self.known
         if len(known) > self.entries:
             known.clear()
-            new = list(set(pieces))
-        for piece, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[piece] = np.array(code.ids, "<i4").tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+        self.learn(set().union(*pieces).difference(known))
 
 
 def list_array(parts: list[bytes]) -> pa.Array:
@@ -95,55 +108,51 @@ def schema_with(df: DataFrame, **new: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema if f.name not in new] + [T.StructField(n, t) for n, t in new.items()])
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False) -> DataFrame:
-    """The rows with ids array<int>, and with offsets also byte_starts and char_starts.
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-    byte_starts are the places of the tokens in the UTF-8 text; char_starts number the characters
-    that these bytes belong to, so a split character has the same start for each of its tokens.
-    """
+
+def encoder(spark: SparkSession, path: str, pattern: str, text: str = "text", offsets: bool = False) -> Step:
+    """A step over batches that adds ids and, with offsets, byte_starts and char_starts."""
     ranks = read_ranks(path)
-    spec = docs.sparkSession.sparkContext.broadcast(tokenizer_of(ranks).to_str())  # one vocabulary
+    spec = spark.sparkContext.broadcast(tokenizer_of(ranks).to_str())  # one vocabulary
     lengths = np.zeros(max(ranks.values()) + 1, np.int64)
     for token, rank in ranks.items():
         lengths[rank] = len(token)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, cut = PieceCache(Tokenizer.from_str(spec.value)), regex.compile(pattern)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 500):
-                batch = whole.slice(first, 500)
-                texts = batch.column(batch.schema.names.index(text)).to_pylist()
-                parts = [cache.join(cut.findall(t)) if t else b"" for t in texts]
-                new = {"ids": list_array(parts)}
-                if offsets:
-                    new |= places(texts, parts)
-                yield added(batch, new)
-
     def places(texts: list[str | None], parts: list[bytes]) -> dict[str, pa.Array]:
         starts, chars = [], []
         for t, part in zip(texts, parts, strict=True):
             ids = np.frombuffer(part, "<i4")
-            ends = np.cumsum(lengths[ids])
-            begin = ends - lengths[ids]
+            begin = np.cumsum(lengths[ids]) - lengths[ids]
             raw = np.frombuffer((t or "").encode(), np.uint8)
             lead = np.cumsum((raw & 0xC0) != 0x80) - 1
             starts.append(begin.astype("<i4").tobytes())
             chars.append(lead[begin].astype("<i4").tobytes())
         return {"byte_starts": list_array(starts), "char_starts": list_array(chars)}
 
-    ints = T.ArrayType(T.IntegerType())
-    kinds = {"ids": ints} | ({"byte_starts": ints, "char_starts": ints} if offsets else {})
-    return docs.mapInArrow(run, schema_with(docs, **kinds))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, cut = PieceCache(Tokenizer.from_str(spec.value)), Matcher(pattern)
+        for whole in batches:
+            for first in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(first, TEXTS_AT_ONCE)
+                texts = batch.column(batch.schema.names.index(text)).to_pylist()
+                pieces = [cut.findall(t) if t else [] for t in texts]
+                cache.prepare(pieces)
+                parts = [cache.join(p) for p in pieces]
+                new = {"ids": list_array(parts)}
+                yield added(batch, new | (places(texts, parts) if offsets else {}))
+
+    return run
 
 
-def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """The rows with decoded binary: the bytes of the ids. Null ids count as none."""
+def decoder(spark: SparkSession, path: str, ids: str = "ids") -> Step:
+    """A step over batches that adds decoded, the bytes of the ids."""
     shown = {c: b for b, c in enumerate(byte_characters())}
     vocabulary = json.loads(tokenizer_of(read_ranks(path)).to_str())["model"]["vocab"]
     by_id: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
     for token, k in vocabulary.items():
         by_id[k] = bytes(shown[c] for c in token)
-    table = docs.sparkSession.sparkContext.broadcast(by_id)  # one vocabulary
+    table = spark.sparkContext.broadcast(by_id)  # one vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         back = table.value
@@ -154,7 +163,38 @@ def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             out = [b"".join(map(back.__getitem__, flat[a:b].tolist())) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield added(batch, {"decoded": pa.array(out, pa.binary())})
 
-    return docs.mapInArrow(run, schema_with(docs, decoded=T.BinaryType()))
+    return run
+
+
+INTS = T.ArrayType(T.IntegerType())
+
+
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False) -> DataFrame:
+    """The rows with ids array<int>, and with offsets also byte_starts and char_starts.
+
+    byte_starts are the places of the tokens in the UTF-8 text; char_starts number the characters
+    that these bytes belong to, so a split character has the same start for each of its tokens.
+    """
+    kinds = {"ids": INTS} | ({"byte_starts": INTS, "char_starts": INTS} if offsets else {})
+    return docs.mapInArrow(encoder(docs.sparkSession, path, pattern, text, offsets), schema_with(docs, **kinds))
+
+
+def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
+    """The rows with decoded binary: the bytes of the ids. Null ids count as none."""
+    return docs.mapInArrow(decoder(docs.sparkSession, path, ids), schema_with(docs, decoded=T.BinaryType()))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """The rows without the text but with ids and decoded, both made in one pass of one worker."""
+    there, back = encoder(docs.sparkSession, path, pattern, text), decoder(docs.sparkSession, path)
+    kinds = schema_with(docs, ids=INTS, decoded=T.BinaryType())
+    slim = T.StructType([f for f in kinds if f.name != text])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in back(there(batches)):
+            yield batch.select(slim.names)
+
+    return docs.mapInArrow(run, slim)
 
 
 def digests(coded: DataFrame) -> DataFrame:

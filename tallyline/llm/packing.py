@@ -13,19 +13,20 @@ Null and empty texts are one id long (the closing id). Repeated rows are packed
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from tallyline.llm.bpe import PieceCache, list_array
+from tallyline.llm.bpe import TEXTS_AT_ONCE, PieceCache, list_array
+from tallyline.llm.matcher import BEYOND, Matcher
 
 SIZE = 2048
 PIECES_PER_BUCKET = 20_000
@@ -40,29 +41,37 @@ def word_pattern(spec: dict) -> str:
     return next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split")
 
 
+def word_tokenizer(whole: str) -> Tokenizer:
+    """The tokenizer for single words: without the steps that normalize and split texts."""
+    spec = json.loads(whole)
+    steps = spec["pre_tokenizer"]["pretokenizers"]
+    spec["normalizer"], spec["pre_tokenizer"] = None, next(s for s in steps if s["type"] == "ByteLevel")
+    made = Tokenizer.from_str(json.dumps(spec))
+    made.encode_special_tokens = True
+    return made
+
+
 def pieces(docs: DataFrame, path: str, size: int = SIZE, closing: int = 0, with_ids: bool = False) -> DataFrame:
     """A row for each piece of each document's ids: its place, its length and its checksum.
 
     The ids are those of the tokenizer file without special tokens, and the closing id. Only
     documents longer than size are cut.
     """
-    import json
-
     whole = Tokenizer.from_file(path).to_str()
     pattern = word_pattern(json.loads(whole))
     spec = docs.sparkSession.sparkContext.broadcast(whole)  # one vocabulary
     end = np.array([closing], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_str(spec.value)
-        tokenizer.encode_special_tokens = True
-        normal = tokenizer.normalizer.normalize_str
-        cache, cut = PieceCache(tokenizer), regex.compile(pattern)
-        for batch in batches:
+        normal = Tokenizer.from_str(spec.value).normalizer.normalize_str
+        cache, cut = PieceCache(word_tokenizer(spec.value)), Matcher(pattern)
+        for batch in (w.slice(k, TEXTS_AT_ONCE) for w in batches for k in range(0, w.num_rows, TEXTS_AT_ONCE)):
             names, out = batch.schema.names, []
-            for doc, text in zip(batch.column(names.index("doc_id")).to_pylist(), batch.column(names.index("text")).to_pylist(), strict=True):
-                words = cut.findall(text.lower() if text.isascii() else normal(text)) if text else []
-                ids = cache.join(words) + end
+            texts = batch.column(names.index("text")).to_pylist()
+            words = [cut.findall(normal(t) if BEYOND.search(t) else t.lower()) if t else [] for t in texts]
+            cache.prepare(words)
+            for doc, own in zip(batch.column(names.index("doc_id")).to_pylist(), words, strict=True):
+                ids = cache.join(own) + end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
                     out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part), part))

@@ -34,8 +34,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.digests(bpe.decode(coded, path))
+    return bpe.digests(bpe.round_trip(docs, path, public_tokenizers.PATTERN))
 
 
 def llm_queries() -> dict[str, Query]:
