@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import bpe, packing, quality_rules
+from tallyline.llm import bpe, license_scan, packing, quality_gam, quality_rules, topk, toxicity
 from tallyline.llm.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    judged = toxicity.classify(docs.select("doc_id", "text"), labels)
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return topk.search(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     judged = quality_rules.assess(_table(spark, sf_dir, "documents"), ["doc_id"])
@@ -30,6 +42,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(stored(cut, "pieces"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that every document names or quotes."""
+    return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,13 +54,23 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(docs, path, public_tokenizers.PATTERN))
 
 
+def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return quality_gam.classify(docs, labels)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
+        "op2_exact_topk": op2_exact_topk,
         "op4_quality_rules": op4_quality_rules,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_license_scan": op6_license_scan,
         "op9_byte_bpe": op9_byte_bpe,
+        "op10_quality_gam": op10_quality_gam,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op2_exact_topk": topk.ORACLE}

@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ from tallyline.llm.textbytes import mix, utf8
 WINDOW, STRIDE = 32, 24
 WORD_DIM = CHAR_DIM = HIDDEN = 8
 GRAMS, GRAMS_OF_A_WORD = 1024, 16
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 700, 1400, 16_000_000
-LEAST_DOCS, EPOCHS, BATCH, RATE = 3, 8, 32, 0.02
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1000, 1500, 16_000_000
+LEAST_DOCS, STEPS, BATCH, RATE = 3, 500, 32, 0.02
 CACHE_WORDS = 150_000
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
@@ -139,7 +140,7 @@ def backward(net: dict, de: np.ndarray, steps: list, kept: dict, rows: np.ndarra
     dboth = a[:, :, None] * scaled + da[:, :, None] * net["gate"]
     dstates = np.stack([dboth[:, :, :HIDDEN], dboth[::-1, :, HIDDEN:]], 1)  # steps, 2, windows, HIDDEN
     grad["state"] = np.zeros_like(net["state"])
-    dtable = np.zeros((2, words, 3 * HIDDEN), np.float32)
+    each = np.empty((len(steps), *dstates.shape[1:3], 3 * HIDDEN), np.float32)
     dh = np.zeros_like(dstates[0])
     turned = net["state"].transpose(0, 2, 1)
     for t in range(len(steps) - 1, -1, -1):
@@ -153,10 +154,14 @@ def backward(net: dict, de: np.ndarray, steps: list, kept: dict, rows: np.ndarra
         du = np.concatenate([dz, dr, dc * r], 2)
         dx = np.concatenate([dz, dr, dc], 2)
         grad["state"] += np.matmul(h.transpose(0, 2, 1), du)
-        for side in (0, 1):
-            for k in range(3 * HIDDEN):
-                dtable[side, :, k] += np.bincount(rows[side, t], dx[side, :, k], words)
+        each[t] = dx
         dh = dh - dstep * z + np.matmul(du, turned)
+    dtable = np.zeros((2, words, 3 * HIDDEN), np.float32)
+    for side in (0, 1):
+        row = rows[side].ravel()
+        order = np.argsort(row, kind="stable")
+        head = np.flatnonzero(np.diff(row[order], prepend=-1))
+        dtable[side, row[order[head]]] = np.add.reduceat(each[:, side].reshape(len(row), -1)[order], head, axis=0)
     return grad, dtable
 
 
@@ -186,11 +191,12 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
     coded = [np.array([distinct[w] for w in words], np.int64) for words in split]
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.items()}
     count, batches = 0, max(1, len(texts) // BATCH)
-    for epoch in range(EPOCHS):
+    while count < STEPS:
         order = np.argsort(rng.random(len(texts)) + np.array([0.02 * len(c) ** 0.5 for c in coded]), kind="stable")
         for part in rng.permutation(batches):
             chosen = order[part::batches]
             used, local = np.unique(np.concatenate([coded[k] for k in chosen]), return_inverse=True)
+            count += 1
             if not len(used):
                 continue
             doc, first, size = window_rows(np.array([len(coded[k]) for k in chosen]))
@@ -208,8 +214,7 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
             np.add.at(grad["word"], word_of[used], dx[:, :WORD_DIM])
             for slot in range(GRAMS_OF_A_WORD):
                 np.add.at(grad["char"], grams_of[used, slot], dx[:, WORD_DIM:] * share_of[used, slot, None])
-            count += 1
-            rate = RATE * (1 - 0.9 * (epoch * batches + 1) / (EPOCHS * batches)) * (1 - 0.999**count) ** 0.5 / (1 - 0.9**count)
+            rate = RATE * max(0.1, 1 - count / STEPS) * (1 - 0.999**count) ** 0.5 / (1 - 0.9**count)
             for k, g in grad.items():
                 m, v = moments[k]
                 m += 0.1 * (g - m)
@@ -243,12 +248,11 @@ class Scorer:
     def score(self, texts: list[str | None]) -> np.ndarray:
         split = [WORD.findall(t.lower()) if t else [] for t in texts]
         known = self.known
-        fresh = {w for words in split for w in words if w not in known}
+        every = set().union(*split)
+        fresh = every.difference(known)
         if fresh:
-            if len(known) + len(fresh) > CACHE_WORDS:
-                fresh = {w for words in split for w in words}
-            self.learn(list(fresh))
-        words = np.array([known[w] for words in split for w in words], np.int64)
+            self.learn(list(fresh if len(known) + len(fresh) <= CACHE_WORDS else every))
+        words = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64)
         doc, first, size = window_rows(np.array([len(w) for w in split], np.int64))
         evidence = np.empty(len(doc), np.float32)
         for a in range(0, len(doc), 2000):
