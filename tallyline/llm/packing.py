@@ -29,7 +29,7 @@ from tallyline.llm.bpe import TEXTS_AT_ONCE, PieceCache, list_array
 from tallyline.llm.matcher import BEYOND, Matcher
 
 SIZE = 2048
-PIECES_PER_BUCKET = 20_000
+PIECES_PER_BUCKET = 4_000
 PIECE_COLUMNS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 Plan = list[tuple[tuple[int, ...], int]]

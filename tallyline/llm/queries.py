@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import bpe, license_scan, packing, quality_gam, quality_rules, topk, toxicity
+from tallyline.llm import bpe, license_scan, lsh_forest, packing, quality_gam, quality_rules, topk, toxicity
 from tallyline.llm.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return lsh_forest.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -67,6 +72,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_quality_rules": op4_quality_rules,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_license_scan": op6_license_scan,
+        "op7_lsh_forest": op7_lsh_forest,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_gam": op10_quality_gam,
     }
