@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, license_scan, lsh_forest, packing, quality_gam, quality_rules, topk, toxicity
+from tallyline.llm import bpe, license_scan, lsh_forest, packing, quality_gam, quality_rules, suffix_dedup, topk, toxicity
 from tallyline.llm.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,13 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of earlier ones."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    rest = suffix_dedup.without_repeats(docs)
+    return rest.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     judged = quality_rules.assess(_table(spark, sf_dir, "documents"), ["doc_id"])
@@ -69,6 +77,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_exact_topk": op2_exact_topk,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_quality_rules": op4_quality_rules,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_license_scan": op6_license_scan,
