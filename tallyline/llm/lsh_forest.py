@@ -14,8 +14,8 @@
    region goes unseen, and no task gets a whole region.
 
 Two sets of Jaccard similarity s share no region with probability (1 - s ** DEPTH) ** TREES, which is
-7e-6 at the least similarity of 0.85 and 4e-8 at 0.9. A pair of a small region is not confirmed if
-its signatures agree in under LIKELY of all places, about five deviations below 0.85.
+3e-5 at 0.8, 4e-7 at 0.85 and 6e-10 at 0.9. A pair of a small region is not confirmed if its
+signatures agree in under LIKELY of all places, over five deviations below 0.8.
 
 Null texts and texts without words have no shingles and are linked with nothing. Rows of one doc_id
 are one document; a null doc_id is linked with nothing and kept. Columns other than doc_id and text
@@ -35,9 +35,9 @@ from tallyline.llm.components import components
 from tallyline.llm.storage import stored
 from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, runs, utf8, windows
 
-SHINGLE, THRESHOLD = 3, 85
-TREES, DEPTH, DEEP = 16, 4, 8
-LIKELY = 0.62
+SHINGLE, THRESHOLD = 5, 80
+TREES, DEPTH, DEEP = 20, 4, 8
+LIKELY = 0.57
 SMALL, BLOCK = 64, 256
 BROADCAST_IDS = 4_000_000
 PAIRS_PER_TASK = 2_000
@@ -289,9 +289,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     Up to BROADCAST_IDS ids are broadcast, so that texts need not be shuffled; more are joined.
     """
-    wanted = stored(wanted.withColumnRenamed("id", "doc_id"), "wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
+    wanted = broadcast_if_small(wanted.withColumnRenamed("id", "doc_id"))
     rows = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,6 +300,22 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of the documents that stay: the smallest doc_id of each component."""
-    gone = near_duplicates(docs, size, threshold).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    """The rows of the documents that stay: the smallest doc_id of each component, one row of it.
+
+    Up to BROADCAST_IDS ids are broadcast, so that texts need not be shuffled; more are joined.
+    """
+    found = stored(near_duplicates(docs, size, threshold), "found")
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    rest = docs.join(broadcast_if_small(gone), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    again = found.filter("kept").groupBy(F.col("doc_id").alias("again_id")).count().filter("count > 1 AND again_id IS NOT NULL")
+    again = stored(again.select("again_id"), "again")
+    if again.isEmpty():
+        return rest
+    again, same = broadcast_if_small(again), F.col("doc_id").cast("long") == F.col("again_id")
+    once = rest.join(again, same, "left_semi").dropDuplicates(["doc_id"])
+    return rest.join(again, same, "left_anti").unionByName(once)
+
+
+def broadcast_if_small(ids: DataFrame) -> DataFrame:
+    ids = stored(ids, "ids")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

@@ -34,7 +34,7 @@ from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, per_text, runs,
 ORDER = 4
 FENCE = 6.0
 BINS_PER_BIT = 200
-MODEL_ROWS = 4_000_000
+MODEL_ROWS = 3_000_000
 BROADCAST_LANGUAGES = 10_000
 SYMBOLS = table([(ord(c), ord(c)) for c in "#*$%&|<>"])
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
@@ -190,19 +190,18 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
 def arrays_of(model: DataFrame) -> dict[tuple, tuple[np.ndarray, np.ndarray]]:
     """(lang, size, kind) -> sorted n-grams and their values."""
-    rows = model.toArrow()
-    key = [rows.column(k).to_numpy(zero_copy_only=False) for k in ("lang", "size", "kind", "gram", "value")]
-    frame_order = np.lexsort((key[3], key[2], key[1], key[0].astype(str)))
-    lang, size, kind, gram, value = (k[frame_order] for k in key)
-    out = {}
-    label = np.array([f"{a}\0{b}\0{c}" for a, b, c in zip(lang, size, kind, strict=True)], object)
-    change = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1]])) if len(label) else []
-    for a, b in zip(change, [*change[1:], len(label)], strict=True):
-        out[lang[a], int(size[a]), int(kind[a])] = (gram[a:b].astype(np.uint64), value[a:b].astype(np.float64))
-    return out
+    rows = model.select(F.struct("lang", "size", "kind").alias("part"), "gram", F.col("value").cast("float")).toArrow()
+    parts = rows.column("part").combine_chunks().dictionary_encode()
+    code = parts.indices.to_numpy()
+    gram, value = (rows.column(c).to_numpy() for c in ("gram", "value"))
+    order = np.lexsort((gram, code))
+    code, gram, value = code[order], gram[order].astype(np.uint64), value[order]
+    cut = np.searchsorted(code, np.arange(len(parts.dictionary) + 1))
+    keys = [tuple(k.values()) for k in parts.dictionary.to_pylist()]
+    return {k: (gram[a:b].copy(), value[a:b].copy()) for k, a, b in zip(keys, cut[:-1], cut[1:], strict=True)}
 
 
-NONE = (np.zeros(1, np.uint64), np.zeros(1))
+NONE = (np.zeros(1, np.uint64), np.zeros(1, np.float32))
 
 
 def found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -270,7 +269,7 @@ def measured(docs: DataFrame, model: dict | None, order: int) -> DataFrame:
 def joined_bits(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
     """row_id and bits, by joining each text's distinct n-grams to a model too large to broadcast.
 
-    Every n-gram of the documents that were counted is in the model, so the largest size suffices.
+    model has the n-grams of the largest size, among them all of these texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,8 +286,7 @@ def joined_bits(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
                     )
 
     rows = docs.select("row_id", "lang", "text").mapInArrow(run, "row_id long, lang string, gram long, times long")
-    top = model.filter((F.col("size") == order) & (F.col("kind") == 0)).select("lang", "gram", "value")
-    met = rows.join(top, ["lang", "gram"])
+    met = rows.join(model.select("lang", "gram", "value"), ["lang", "gram"])
     return met.groupBy("row_id").agg((-F.sum(F.col("times") * F.col("value")) / F.sum("times")).alias("bits"))
 
 
@@ -306,7 +304,9 @@ def bands(scored: DataFrame, fence: float = FENCE) -> DataFrame:
 def assess(docs: DataFrame, keep: list[str], order: int = ORDER, fence: float = FENCE, model_rows: int = MODEL_ROWS) -> DataFrame:
     """The columns `keep` of all rows with the base counts, perplexity, base_failed and kept."""
     source = docs.select(*keep, *[c for c in ("lang", "text") if c not in keep])
-    model = stored(kneser_ney(stored(count_grams(source, order), "grams"), order), "model")
+    model = kneser_ney(stored(count_grams(source, order), "grams"), order)
+    # The documents themselves were counted, so none of their n-grams falls back on shorter ones.
+    model = stored(model.filter((F.col("size") == order) & (F.col("kind") == 0)), "model")
     if model.count() <= model_rows:
         scored = measured(source, arrays_of(model), order)
     else:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, license_scan, lsh_forest, packing, quality_gam, quality_rules, suffix_dedup, topk, toxicity
+from tallyline.llm import bpe, license_scan, lsh_forest, packing, quality_gam, quality_rules, suffix_dedup, topk, toxicity, wrappers
 from tallyline.llm.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +57,13 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
-    return lsh_forest.near_duplicates(_table(spark, sf_dir, "documents"))
+    return lsh_forest.near_duplicates(_table(spark, sf_dir, "documents"), size=3, threshold=85)
+
+
+def op8_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = wrappers.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +88,7 @@ def llm_queries() -> dict[str, Query]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_license_scan": op6_license_scan,
         "op7_lsh_forest": op7_lsh_forest,
+        "op8_wrappers": op8_wrappers,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_gam": op10_quality_gam,
     }

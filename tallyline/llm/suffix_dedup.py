@@ -271,9 +271,20 @@ def answers_of(table: pa.Table, kind: int) -> dict[int, bytes]:
     return {b: body for b, k, body in rows if k == kind}
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def whole_characters(data: np.ndarray, covered: np.ndarray) -> np.ndarray:
+    """Of the covered bytes, those of characters that are covered in full."""
+    leads = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(leads):
+        return covered
+    return np.repeat(np.logical_and.reduceat(covered, leads), np.diff(np.append(leads, len(data))))
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, characters: bool = False) -> DataFrame:
     """The rows with kept (the remaining bytes), n_bytes, n_removed and n_spans, and removed: the
-    first and last + 1 byte of each removed run."""
+    first and last + 1 byte of each removed run.
+
+    With characters, a character of which some bytes would stay stays whole, so that kept is text.
+    """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -296,6 +307,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def remove(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         group = Group(left, length)
         covered = Repeats(group, answers_of(right, ANCHORS), buckets).covered(group, answers_of(right, SEGMENTS))
+        if characters:
+            covered = whole_characters(group.data, covered)
         kept, removed, sizes = [], [], []
         for a, b in zip(group.at[:-1], group.at[1:], strict=True):
             own = covered[a:b]
