@@ -306,12 +306,14 @@ def deduplicated(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOL
     """
     found = stored(near_duplicates(docs, size, threshold), "found")
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    rest = docs.join(broadcast_if_small(gone), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    gone = broadcast_if_small(gone)
+    rest = docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
     again = found.filter("kept").groupBy(F.col("doc_id").alias("again_id")).count().filter("count > 1 AND again_id IS NOT NULL")
     again = stored(again.select("again_id"), "again")
     if again.isEmpty():
         return rest
-    again, same = broadcast_if_small(again), F.col("doc_id").cast("long") == F.col("again_id")
+    again = broadcast_if_small(again)
+    same = rest["doc_id"].cast("long") == again["again_id"]
     once = rest.join(again, same, "left_semi").dropDuplicates(["doc_id"])
     return rest.join(again, same, "left_anti").unionByName(once)
 

@@ -1,0 +1,186 @@
+"""Near duplicates, repeated passages, top-k search and components against brute force."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallyline.llm import lsh_forest, suffix_dedup, topk
+from tallyline.llm.components import components
+
+from .cases import SCHEMA, documents, near_components, prose, removed_bytes, shingles
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(documents(), SCHEMA)
+
+
+def near_rows(seed: int, groups: int, copies: int) -> list[tuple]:
+    """Groups of copies with some words changed, around both sides of the threshold."""
+    rng = random.Random(seed)
+    rows = []
+    for g in range(groups):
+        words = prose(seed * 1000 + g, 80).split()
+        for _ in range(copies):
+            own = list(words)
+            for _ in range(rng.randint(0, 4)):
+                own[rng.randrange(len(own))] = f"w{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
+def test_components_of_awkward_documents(docs, size, percent):
+    rows = documents()
+    expected = near_components(rows, size, percent)
+    got = lsh_forest.near_duplicates(docs.withColumn("component", F.lit("clash")), size, percent).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = next(t for i, t, *_ in rows if i == r["doc_id"])
+        assert r["n_shingles"] == len(shingles(text, size))
+        assert r["component_id"] == expected.get(r["doc_id"])
+        assert r["kept"] == (r["doc_id"] is None or r["doc_id"] == expected[r["doc_id"]])
+
+
+@pytest.mark.parametrize("small", [64, 4])
+def test_components_of_many_near_copies(spark, monkeypatch, small):
+    """With small = 4, regions of more classes are counted block against block."""
+    monkeypatch.setattr(lsh_forest, "SMALL", small)
+    monkeypatch.setattr(lsh_forest, "BLOCK", 16)
+    rows = near_rows(3, 4, 45)
+    expected = near_components(rows, 3, 85)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in lsh_forest.near_duplicates(table, 3, 85).collect()}
+    assert got == expected
+
+
+def test_blocks_alone_find_all_links(spark, monkeypatch):
+    """Without links from the sorted orders, all come from comparing regions."""
+    monkeypatch.setattr(lsh_forest, "SMALL", 1)
+    monkeypatch.setattr(lsh_forest, "BLOCK", 8)
+    real = lsh_forest.confirmed
+    calls = []
+
+    def none_at_first(pairs, sets, threshold):
+        calls.append(1)
+        found = real(pairs, sets, threshold)
+        return found.limit(0) if len(calls) == 1 else found
+
+    monkeypatch.setattr(lsh_forest, "confirmed", none_at_first)
+    rows = near_rows(4, 2, 30)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in lsh_forest.near_duplicates(table, 3, 85).collect()}
+    assert got == near_components(rows, 3, 85)
+
+
+def test_deduplicated_keeps_columns_and_one_row_of_each(docs):
+    out = lsh_forest.deduplicated(docs.withColumn("gone_id", F.lit(1)), 3, 85)
+    expected = near_components(documents(), 3, 85)
+    ids = [r["doc_id"] for r in out.collect()]
+    assert out.columns == [*docs.columns, "gone_id"]
+    assert sorted(i for i in ids if i is not None) == sorted({k for k, v in expected.items() if k == v})
+    assert None in ids
+
+
+def test_repeated_rows_of_a_kept_document_become_one(spark):
+    rows = [(5, prose(1, 50)), (5, prose(1, 50)), (5, prose(1, 50)), (6, prose(2, 50))]
+    out = lsh_forest.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in out.collect()) == [5, 6]
+
+
+def test_near_duplicates_of_nothing(docs):
+    assert lsh_forest.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_components_of_chains_and_stars(spark):
+    rng = random.Random(1)
+    links = [(k, k + 1) for k in range(100, 160)] + [(200, k) for k in range(201, 260)] + [(7, 7)]
+    links += [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)]
+    rng.shuffle(links)
+    root = {v: v for pair in links for v in pair}
+    for _ in range(len(root)):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {k: v for k, v in root.items() if any(k in p and p[0] != p[1] for p in links)}
+
+
+def passages() -> list[tuple]:
+    rows = documents()
+    shared = prose(50, 40)
+    rows += [(500 + k, prose(500 + k, 20) + " " + shared[k : 150 + k] + " " + prose(600 + k, 20), "en", "a", 0) for k in range(30)]
+    rows += [(540, shared[:49], "en", "a", 0), (541, shared[:50], "en", "a", 0), (499, "z" + shared[10:70], "en", "a", 0)]
+    return rows
+
+
+def test_removed_bytes(spark):
+    rows = passages()
+    table = spark.createDataFrame(rows, SCHEMA).withColumn("group", F.lit("clash")).withColumn("kept", F.lit(0))
+    got = sorted(((r["doc_id"], bytes(r["kept"]), r["n_bytes"], r["n_removed"], r["n_spans"], tuple(r["removed"])) for r in suffix_dedup.without_repeats(table).collect()), key=str)
+    expected = []
+    for i, raw, flags in removed_bytes(rows, 50):
+        edges = [k for k in range(len(raw) + 1) if (flags[k - 1] if k else False) != (flags[k] if k < len(raw) else False)]
+        kept = bytes(b for b, f in zip(raw, flags, strict=True) if not f)
+        expected.append((i, kept, len(raw), sum(flags), len(edges) // 2, tuple(edges)))
+    assert got == sorted(expected, key=str)
+
+
+def test_whole_characters_stay(spark):
+    rows = passages()
+    expected = {}
+    for i, raw, flags in removed_bytes(rows, 50):
+        kept, at = "", 0
+        for c in raw.decode():
+            size = len(c.encode())
+            kept += "" if all(flags[at : at + size]) else c
+            at += size
+        expected.setdefault(i, set()).add(kept)
+    for r in suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), characters=True).collect():
+        assert bytes(r["kept"]).decode() in expected[r["doc_id"]]
+
+
+def test_repeats_in_nothing(docs):
+    assert suffix_dedup.without_repeats(docs.limit(0)).count() == 0
+
+
+def vectors() -> list[tuple]:
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.normal(0, 0.3, 8).round(2).tolist(), "x") for k in range(200)]
+    rows += [(200 + k, rows[50][1], "x") for k in range(60)]  # many ties
+    rows += [(300, None, "x"), (350, [], "x"), (400, [float("nan")] + [0.0] * 7, "x"), (401, [None] + [0.5] * 7, "x"), (450, [float("inf")] * 8, "x")]
+    rows += [(None, [0.1] * 8, "x"), (500, [0.25, -0.5], "x"), (501, [0.5, 0.5], "x"), (550, [1.0], "x"), (100, rows[100][1], "x")]
+    return rows
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_topk(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", block)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    table = spark.createDataFrame(vectors(), "vec_id long, embedding array<double>, score string")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.search(table, lambda i: i % 50 == 0).collect())
+    good = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in vectors() if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    expected = []
+    for i in sorted({i for i, _ in good if i % 50 == 0}):
+        found = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for q, v in good if q == i for j, w in good if j != i and len(v) == len(w))
+        if i == 100:  # given twice, so every candidate meets it twice
+            found = sorted(found)
+        expected += [(i, k, j, -s) for k, (s, j) in enumerate(found[:5], 1)]
+    assert got == sorted(expected)
+
+
+def test_topk_of_nothing(spark):
+    table = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert topk.search(table, lambda i: i % 50 == 0).count() == 0
+
+
+def test_large_components_are_exact_or_refused(spark):
+    near = spark.createDataFrame([(0, [float(2**24) / 256 + 1 / 256] * 2), (1, [float(2**24) / 256] * 2)], "vec_id long, embedding array<double>")
+    assert topk.search(near, lambda i: i == 0).first()["score"] == 2 * (2**24 + 1) * 2**24
+    far = spark.createDataFrame([(0, [1e30]), (1, [1e30])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="63 bits"):
+        topk.search(far, lambda i: i == 0)
