@@ -93,3 +93,10 @@ def removed_bytes(rows: list[tuple], length: int) -> list[tuple]:
                 flags[k : k + length] = [True] * length
         out.append((i, raw, flags))
     return out
+
+
+def plain_base_failed(text: str | None) -> bool:
+    words = SPLIT.findall(text or "")
+    windows = [tuple(words[k : k + 8]) for k in range(len(words) - 7)]
+    covered = {k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(8)}
+    return len(words) < 20 or 100 * len(covered) > 30 * len(words)
