@@ -190,14 +190,16 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
 def arrays_of(model: DataFrame) -> dict[tuple, tuple[np.ndarray, np.ndarray]]:
     """(lang, size, kind) -> sorted n-grams and their values."""
-    rows = model.select(F.struct("lang", "size", "kind").alias("part"), "gram", F.col("value").cast("float")).toArrow()
+    part = F.concat_ws("\t", "lang", "size", "kind").alias("part")
+    rows = model.select(part, "gram", F.col("value").cast("float")).toArrow()
     parts = rows.column("part").combine_chunks().dictionary_encode()
     code = parts.indices.to_numpy()
     gram, value = (rows.column(c).to_numpy() for c in ("gram", "value"))
     order = np.lexsort((gram, code))
     code, gram, value = code[order], gram[order].astype(np.uint64), value[order]
     cut = np.searchsorted(code, np.arange(len(parts.dictionary) + 1))
-    keys = [tuple(k.values()) for k in parts.dictionary.to_pylist()]
+    names = [k.rsplit("\t", 2) for k in parts.dictionary.to_pylist()]
+    keys = [(lang, int(size), int(kind)) for lang, size, kind in names]
     return {k: (gram[a:b].copy(), value[a:b].copy()) for k, a, b in zip(keys, cut[:-1], cut[1:], strict=True)}
 
 
