@@ -8,6 +8,7 @@ from functools import partial
 from importlib import import_module
 from importlib.util import find_spec
 from pathlib import Path
+from uuid import uuid4
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -56,8 +57,18 @@ from tallyline.sources.derived import (  # noqa: E402
     expected_verdicts,
     messy_inputs,
 )
-from tallyline.sources.raw import read_csv  # noqa: E402
-from tallyline.sources.warehouse import FolderWarehouse, materialize, scratch_path  # noqa: E402
+from tallyline.sources.raw import (  # noqa: E402
+    bad_lines,
+    good_lines,
+    read_csv,
+    read_csv_lines,
+)
+from tallyline.sources.warehouse import (  # noqa: E402
+    CatalogWarehouse,
+    FolderWarehouse,
+    materialize,
+    scratch_path,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 Source = Callable[[SparkSession, str], Inputs]
@@ -181,6 +192,30 @@ def _rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return error_type_summary(marts.errors)
 
 
+def _catalog_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the order mart as a catalog table, publish it, and read it by its absolute name."""
+    prefix = f"trip_{uuid4().hex}_"
+    warehouse = CatalogWarehouse(spark, prefix, scratch_path(spark, "catalog"))
+    staged = stage(derived_inputs(spark, sf_dir))
+    warehouse.write("marts", ORDER_MART, reconcile(staged, _stats(spark, sf_dir, derived_inputs)))
+    warehouse.publish()
+    return _zoneless(spark.table(f"spark_catalog.{prefix}marts.{ORDER_MART}"))
+
+
+def _damaged_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a file of merchants, of which some are too short, too long or broken in two."""
+    location = scratch_path(spark, "damaged.csv")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    line = (
+        "case when c_custkey % 7 = 1 then 'M' || c_custkey || ',' || c_name "
+        "when c_custkey % 7 = 2 then 'M' || c_custkey || ',' || c_name || ',1,000' "
+        "when c_custkey % 7 = 3 then 'M' || c_custkey || ',half' || char(10) || 'B' || c_custkey || ',0.1' "
+        "else 'M' || c_custkey || ',\"' || c_name || ', \"\"x\"\"\",0.03' end as value"
+    )
+    customers.selectExpr(line).write.option("header", False).text(location)
+    return materialize(read_csv_lines(spark, location, "merchants", header=False), "lines")
+
+
 def _rule(rule: Rule) -> Query:
     return _from_staged(lambda staged, stats: apply_rule(staged, rule, stats))
 
@@ -256,11 +291,7 @@ def queries() -> dict[str, Query]:
         "golden_order_diff": _golden_orders,
         "golden_metric_diff": _golden_metrics,
         "check_not_null": _from_stored_mart(_report("not_null")),
-        "check_unique": _from_staged(
-            lambda staged, stats: quality_report(
-                {**staged.tables(), ORDER_MART: reconcile(staged, stats)}, ("unique",)
-            )
-        ),
+        "check_unique": _from_stored_mart(_report("unique")),
         "check_accepted_values": _from_stored_mart(_report("accepted_values")),
         "check_relationships": _from_stored_mart(_report("relationships")),
         "check_error_count": _from_mart(
@@ -271,6 +302,9 @@ def queries() -> dict[str, Query]:
         ),
         "quality_report": partial(_whole_report, derived_inputs),
         "rebuild_warehouse": _rebuild,
+        "catalog_round_trip": _catalog_round_trip,
+        "csv_good_lines": lambda spark, sf_dir: good_lines(_damaged_csv(spark, sf_dir)),
+        "csv_bad_lines": lambda spark, sf_dir: bad_lines(_damaged_csv(spark, sf_dir)),
         "messy_fct_payment_reconciliation": _from_mart(lambda mart: mart, messy),
         "messy_fct_reconciliation_errors": _from_mart(error_rows, messy),
         "messy_error_type_summary": _from_mart(
@@ -278,7 +312,9 @@ def queries() -> dict[str, Query]:
         ),
         "messy_metric_distribution": _from_stored_mart(_metrics, messy),
         "messy_quality_report": partial(_whole_report, messy),
-        "messy_duplicate_orders": _from_mart(lambda mart: duplicate_keys(mart, "order_id"), messy),
+        "messy_duplicate_orders": _from_stored_mart(
+            lambda staged, mart: duplicate_keys(mart, "order_id"), messy
+        ),
         "messy_unexpected_statuses": _from_staged(
             lambda staged, stats: unexpected_values(staged.payments, "payment_status", statuses),
             messy,

@@ -47,6 +47,7 @@ m_customer AS (
   SELECT c_custkey AS c, concat(chr(9), 'M', c_custkey) AS merchant_id,
          concat(chr(12288), c_name) AS merchant_name,
          CASE WHEN c_custkey % 89 = 7 THEN '3%'
+              WHEN c_custkey % 83 = 5 THEN '12345678901.5'
               ELSE concat('0.0', CAST(25 + (c_custkey % 5) * 5 AS VARCHAR)) END AS fee_rate
   FROM customer),
 raw_merchants AS (
@@ -77,23 +78,27 @@ raw_settlements AS (
 raw_payments AS (
   SELECT CASE WHEN s % 61 <> 5 THEN concat('P', k, '-', l_linenumber) END AS payment_id,
          CASE WHEN s % 43 = 1 THEN NULL WHEN s % 47 = 3 THEN concat('X', k)
+              WHEN s % 41 = 2 THEN concat('O', k, chr(10))
+              WHEN s % 41 = 3 THEN concat('O', k, chr(13), chr(10))
               ELSE concat(' O', k, chr(9)) END AS order_id,
          CASE WHEN s % 37 = 2 THEN 'n/a'
               ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) END AS payment_amount,
          CASE s % 6 WHEN 0 THEN 'failed' WHEN 1 THEN concat(chr(12288), 'success ')
-                    WHEN 2 THEN 'SUCCESS' WHEN 3 THEN 'Success' WHEN 4 THEN 'refunded' END
+                    WHEN 2 THEN concat('SUCCESS', CASE WHEN s % 5 = 1 THEN chr(8232) ELSE chr(13) END)
+                    WHEN 3 THEN 'Success' WHEN 4 THEN 'refunded' END
            AS payment_status,
          CASE WHEN s % 31 = 6 THEN NULL WHEN s % 29 = 4 THEN concat(chr(9), ' ')
+              WHEN s % 23 = 5 THEN concat('B', k, chr(133))
               ELSE concat(' B', k) END AS settlement_batch_id,
          CASE WHEN s % 83 = 2 THEN '2026-13-45' ELSE CAST(l_shipdate AS VARCHAR) END AS paid_at
   FROM (SELECT *, l_orderkey AS k, l_orderkey + l_linenumber AS s FROM lineitem))"""
 
-SPACES = "concat(' ', chr(9), chr(12288))"
+SPACES = "concat(' ', chr(9), chr(10), chr(13), chr(133), chr(8232), chr(12288))"
 
 STAGING = f"""
 stg_merchants AS (
   SELECT trim(merchant_id, {SPACES}) AS merchant_id, trim(merchant_name, {SPACES}) AS merchant_name,
-         TRY_CAST(fee_rate AS DECIMAL(18,9)) AS fee_rate
+         TRY_CAST(fee_rate AS DECIMAL(38,9)) AS fee_rate
   FROM raw_merchants),
 stg_orders AS (
   SELECT trim(order_id, {SPACES}) AS order_id, trim(merchant_id, {SPACES}) AS merchant_id,
@@ -166,7 +171,9 @@ settled_payments AS (
 priced AS (
   SELECT o.*, p.* EXCLUDE (order_id), m.merchant_id AS merchant_master_id,
          m.merchant_name, m.fee_rate,
-         CAST(round(m.fee_rate * CAST(p.payment_amount AS DECIMAL(19,0))) AS BIGINT)
+         TRY_CAST(CAST(trunc(m.fee_rate) AS HUGEINT) * p.payment_amount AS BIGINT)
+           + CAST(round(CAST(m.fee_rate - trunc(m.fee_rate) AS DECIMAL(9,9))
+                        * CAST(p.payment_amount AS DECIMAL(19,0))) AS BIGINT)
            AS expected_fee_amount
   FROM stg_orders o
   LEFT JOIN stg_merchants m USING (merchant_id)
@@ -395,6 +402,18 @@ def oracles() -> dict[str, str]:
             "WHERE actual_value IS DISTINCT FROM expected_value",
         **{f"check_{name}": _checks(name) for name in CHECKS},
         "quality_report": _checks(*CHECKS),
+        "catalog_round_trip": "SELECT * FROM fct",
+        "csv_good_lines": """
+            SELECT concat('M', c_custkey) AS merchant_id, concat(c_name, ', "x"') AS merchant_name,
+                   '0.03' AS fee_rate
+            FROM customer WHERE c_custkey % 7 NOT IN (1, 2, 3)""",
+        "csv_bad_lines": """
+            SELECT concat('M', c_custkey, ',', c_name) AS bad_line
+            FROM customer WHERE c_custkey % 7 = 1
+            UNION ALL SELECT concat('M', c_custkey, ',', c_name, ',1,000')
+            FROM customer WHERE c_custkey % 7 = 2
+            UNION ALL SELECT unnest([concat('M', c_custkey, ',half'), concat('B', c_custkey, ',0.1')])
+            FROM customer WHERE c_custkey % 7 = 3""",
     }
     messy = {
         "clean_text_status":

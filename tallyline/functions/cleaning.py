@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.schemas import RATE
 
@@ -27,13 +28,16 @@ WHITESPACE = "".join(
     )
 )
 
-# A text that begins and ends with printable ASCII.
-PLAIN_ENDS = "^[!-~](.*[!-~])?$"
+# A text that begins and ends with printable ASCII. $ would also match before a final line end.
+PLAIN_ENDS = r"\A[!-~](?:.*[!-~])?\z"
 
 # Spark also reads '2026', '2026-07' and a bare '10:00' (which takes today's date) as timestamps.
 # Asking for a full date keeps a rerun on another day equal.
 FULL_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ Tt]|$)"
 
+# A time of day that is followed by a zone.
+ZONED_TIME = r":\d[\d:.]*\s*[A-Za-z+-]"
+
 
 def clean_text(value: Column) -> Column:
     """Strip surrounding whitespace.
@@ -56,7 +60,10 @@ def blank_to_null(value: Column) -> Column:
     return F.nullif(clean_text(value), F.lit(""))
 
 
-def safe_amount(value: Column) -> Column:
+def safe_amount(value: Column, kind: T.DataType = T.StringType()) -> Column:
+    """A whole number. Text must be one; a number with a fraction is rounded, halves away from zero."""
+    if isinstance(kind, (T.DecimalType, T.FractionalType)):
+        value = F.round(value, 0)
     return value.try_cast("bigint")
 
 
@@ -64,6 +71,16 @@ def safe_rate(value: Column) -> Column:
     return value.try_cast(RATE)
 
 
+def utc_moment(local: Column) -> Column:
+    """The timestamp at which clocks in UTC show a time without zone, whatever the session's zone."""
+    seconds = F.unix_date(local.cast("date")).cast("bigint") * 86_400 + F.hour(local) * 3_600 + F.minute(local) * 60
+    micros = F.extract(F.lit("SECOND"), local) * 1_000_000
+    return F.timestamp_micros(seconds * 1_000_000 + micros.cast("bigint"))
+
+
 def safe_timestamp(value: Column) -> Column:
-    """Text to timestamp in the session time zone, which the job pins to UTC."""
-    return F.when(value.rlike(FULL_DATE), value.try_cast("timestamp"))
+    """Text to timestamp. A text without zone is in UTC, whatever the session's zone."""
+    moment = F.when(value.rlike(ZONED_TIME), value.try_cast("timestamp")).otherwise(
+        utc_moment(value.try_cast("timestamp_ntz"))
+    )
+    return F.when(value.rlike(FULL_DATE), moment)

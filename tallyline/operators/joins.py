@@ -2,15 +2,13 @@
 
 Adaptive execution splits an oversized partition of a left join on its left side only. Rows that
 pile up on the right side (many payments of one order, many settlements of one batch) would still
-land in one task. For a key that is known to be on the right, a left join and an inner join give
-the same rows, and adaptive execution splits an inner join on both sides. So such hot keys take an
-inner join of their own and every other key keeps the left join. No row is dropped or sampled: the
-sample below only decides which of the two exact ways a key takes.
+land in one task. An inner join is split on both sides, and a left join is an inner join and the left
+rows without a match. So where statistics say that a key is crowded, the join is taken in these parts.
+Both ways give the same rows whatever the statistics say; they choose the plan and nothing else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -22,18 +20,17 @@ from tallyline.schemas import Inputs
 @dataclass(frozen=True)
 class JoinPolicy:
     hot_rows: int = 2_000_000  # rows of one key that are too many for one task
-    sample_fraction: float = 1 / 64  # part of the rows read to find such keys
-    most_hot_keys: int = 1_000  # hottest keys listed in the plan; the rest keep the left join
+    sample_fraction: float = 1 / 64  # part of the rows read to find such a key
     broadcast_bytes: int = 128 * 1024 * 1024  # largest merchant master that is broadcast
 
 
 @dataclass(frozen=True)
 class JoinStats:
-    """What one pass over the join keys found. It must come from the tables that are joined."""
+    """What one pass over the join keys found: which right sides have a crowded key."""
 
-    hot_orders: tuple[str, ...] = ()
-    hot_batches: tuple[str, ...] = ()
-    hot_merchants: tuple[str, ...] = ()
+    hot_orders: bool = False
+    hot_batches: bool = False
+    hot_merchants: bool = False
     merchants_fit: bool = False
 
 
@@ -41,29 +38,24 @@ def successful_payments(payments: DataFrame) -> DataFrame:
     return payments.where(F.col("payment_status") == "SUCCESS")
 
 
-def left_join(left: DataFrame, right: DataFrame, key: str, hot: Sequence[str] = ()) -> DataFrame:
-    """`left` left-joined to `right` on `key`. Every value in `hot` must occur in `right`."""
-    if not hot:
+def left_join(left: DataFrame, right: DataFrame, key: str, split: bool = False) -> DataFrame:
+    """`left` left-joined to `right` on `key`; with `split`, as the inner join, the left rows whose
+    key is not on the right, and those without a key, which need no shuffle."""
+    if not split:
         return left.join(right, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False))
-    usual = left.where(~is_hot).join(right.where(~is_hot), key, "left")
-    crowded = left.where(is_hot).join(right.where(is_hot), key, "inner")
-    return usual.unionByName(crowded)
+    keyed = left.where(F.col(key).isNotNull())
+    known = right.where(F.col(key).isNotNull()).select(key).distinct()
+    alone = keyed.join(known, key, "left_anti").unionByName(left.where(F.col(key).isNull()))
+    return keyed.join(right, key, "inner").unionByName(alone, allowMissingColumns=True)
 
 
-def _hot_keys(table: DataFrame, key: str, tag: str, policy: JoinPolicy) -> DataFrame:
-    """Keys that hold at least `hot_rows` rows, judged by a sample. Counts combine map-side."""
-    least = max(1, int(policy.hot_rows * policy.sample_fraction))
+def _largest_group(table: DataFrame, key: str, tag: str, policy: JoinPolicy) -> DataFrame:
+    """Rows of the key that has most, estimated from a sample. Counts combine map-side."""
     rows = table.where(F.col(key).isNotNull()).select(key)
     if policy.sample_fraction < 1:
         rows = rows.sample(fraction=policy.sample_fraction, seed=17)
-    return (
-        rows.groupBy(key)
-        .agg(F.count("*").alias("size"))
-        .where(F.col("size") >= least)
-        .orderBy(F.desc("size"))
-        .limit(policy.most_hot_keys)
-        .select(F.lit(tag).alias("tag"), F.col(key).alias("key"), "size")
+    return rows.groupBy(key).count().agg(
+        F.lit(tag).alias("tag"), F.coalesce(F.max("count"), F.lit(0)).alias("size")
     )
 
 
@@ -72,30 +64,26 @@ def _bytes_of(table: DataFrame) -> DataFrame:
         F.octet_length("merchant_name"), F.lit(0)
     )
     per_row = 64  # hash table entry, row header and fee rate
-    return table.agg(F.coalesce(F.sum(text + F.lit(per_row)), F.lit(0)).alias("size")).select(
-        F.lit("bytes").alias("tag"), F.lit(None).cast("string").alias("key"), "size"
+    return table.agg(
+        F.lit("bytes").alias("tag"), F.coalesce(F.sum(text + F.lit(per_row)), F.lit(0)).alias("size")
     )
 
 
 def measure_joins(staged: Inputs, policy: JoinPolicy = JoinPolicy()) -> JoinStats:
-    """One Spark job that sizes the merchant master and lists the hot keys of each right side."""
+    """One Spark job that sizes the merchant master and the largest group of each right side."""
+    paid = successful_payments(staged.payments)
     found = (
-        _hot_keys(successful_payments(staged.payments), "order_id", "orders", policy)
-        .unionByName(_hot_keys(staged.settlements, "settlement_batch_id", "batches", policy))
-        .unionByName(_hot_keys(staged.merchants, "merchant_id", "merchants", policy))
+        _largest_group(paid, "order_id", "orders", policy)
+        .unionByName(_largest_group(staged.settlements, "settlement_batch_id", "batches", policy))
+        .unionByName(_largest_group(staged.merchants, "merchant_id", "merchants", policy))
         .unionByName(_bytes_of(staged.merchants))
-        .collect()  # at most three times most_hot_keys rows, and one more
+        .collect()  # four rows
     )
-    keys = {"orders": [], "batches": [], "merchants": []}
-    size = 0
-    for row in found:
-        if row["tag"] == "bytes":
-            size = row["size"]
-        else:
-            keys[row["tag"]].append(row["key"])
+    size = {row["tag"]: row["size"] for row in found}
+    least = max(1, int(policy.hot_rows * policy.sample_fraction))
     return JoinStats(
-        hot_orders=tuple(keys["orders"]),
-        hot_batches=tuple(keys["batches"]),
-        hot_merchants=tuple(keys["merchants"]),
-        merchants_fit=size <= policy.broadcast_bytes,
+        hot_orders=size["orders"] >= least,
+        hot_batches=size["batches"] >= least,
+        hot_merchants=size["merchants"] >= least,
+        merchants_fit=size["bytes"] <= policy.broadcast_bytes,
     )

@@ -28,8 +28,8 @@ def _text(name: str) -> Column:
     return clean_text(F.col(name)).alias(name)
 
 
-def _amount(name: str) -> Column:
-    return safe_amount(F.col(name)).alias(name)
+def _amount(raw: DataFrame, name: str) -> Column:
+    return safe_amount(F.col(name), raw.schema[name].dataType).alias(name)
 
 
 def _status(name: str) -> Column:
@@ -48,7 +48,7 @@ def stage_orders(raw: DataFrame) -> DataFrame:
     return raw.select(
         _text("order_id"),
         _text("merchant_id"),
-        _amount("order_amount"),
+        _amount(raw, "order_amount"),
         _moment(raw, "ordered_at"),
     )
 
@@ -57,7 +57,7 @@ def stage_payments(raw: DataFrame) -> DataFrame:
     return raw.select(
         _text("payment_id"),
         _text("order_id"),
-        _amount("payment_amount"),
+        _amount(raw, "payment_amount"),
         _status("payment_status"),
         blank_to_null(F.col("settlement_batch_id")).alias("settlement_batch_id"),
         _moment(raw, "paid_at"),
@@ -69,9 +69,9 @@ def stage_settlements(raw: DataFrame) -> DataFrame:
         _text("settlement_id"),
         _text("settlement_batch_id"),
         _text("merchant_id"),
-        _amount("gross_amount"),
-        _amount("fee_amount"),
-        _amount("net_amount"),
+        _amount(raw, "gross_amount"),
+        _amount(raw, "fee_amount"),
+        _amount(raw, "net_amount"),
         _status("settlement_status"),
         _moment(raw, "settled_at"),
     )

@@ -66,6 +66,8 @@ def check_marts(warehouse: Warehouse, marts: Marts, golden: Golden | None = None
     return warehouse.write("checks", "quality_report", report)
 
 
-def publish_reports(warehouse: Warehouse, marts: Marts) -> None:
+def write_reports(warehouse: Warehouse, marts: Marts, unique: bool = False) -> None:
+    """Both reports; `unique` says that the checks found every order once and with an id."""
     warehouse.write("reports", "error_type_summary", error_type_summary(marts.errors))
-    warehouse.write("reports", "error_details", error_details(marts.errors, marts.orders))
+    details = error_details(marts.errors, marts.orders, unique)
+    warehouse.write("reports", "error_details", details)

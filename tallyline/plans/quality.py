@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators.checks import (
-    duplicate_keys,
     missing_value,
-    orphan_keys,
     unexpected_value,
     wrong_error_count,
     wrong_verdict,
@@ -87,22 +85,88 @@ def _row_conditions(name: str, kinds: Iterable[str]) -> list[tuple[str, str, Col
     return found
 
 
-def row_report(name: str, table: DataFrame, kinds: Iterable[str] = ROW_CHECKS) -> DataFrame | None:
-    """All single-row checks of one table in one scan. failing_rows counts rows."""
-    conditions = _row_conditions(name, kinds)
-    if not conditions:
-        return None
-    counted = table.agg(*[F.count_if(c).alias(f"n{i}") for i, (_, _, c) in enumerate(conditions)])
-    lines = [
+def _key_domains(
+    names: Collection[str], kinds: Iterable[str]
+) -> list[tuple[str, str, str, str, str | None]]:
+    """(check, table, column, parent table, parent column) of the checks that compare keys."""
+    found = []
+    if "unique" in kinds:
+        found += [("unique", n, key, n, key) for n, keys in UNIQUE.items() if n in names for key in keys]
+    if "relationships" in kinds:
+        found += [
+            ("relationships", r.child, r.child_key, r.parent, r.parent_key)
+            for r in RELATIONSHIPS
+            if r.child in names and r.parent in names
+        ]
+    return found
+
+
+def quality_report(
+    tables: dict[str, DataFrame],
+    kinds: Iterable[str] = (*ROW_CHECKS, "unique", "relationships"),
+) -> DataFrame:
+    """One line per check: table_name, check_name, column_name, failing_rows.
+
+    failing_rows counts rows, and key values for `unique`. Tables that are not in `tables` are left
+    out. A business anomaly is not a failure; it is what the marts are there to show.
+
+    Each table is read once. A row becomes one entry for every key it has a part in, as an owner or
+    as a reference, and one for every condition it fails; entries are counted by (domain, key), which
+    adds up in each task first, and all checks are sums over these counts.
+    """
+    kinds = tuple(kinds)
+    keyed = _key_domains(tables, kinds)
+    owners = {(parent, column) for *_, parent, column in keyed}
+    domain = {owner: f"{owner[0]}.{owner[1]}" for owner in owners}
+    lines: list[tuple[str, str, str, Column]] = []
+    parts = []
+    for name, table in tables.items():
+        entries = [
+            F.struct(F.lit(domain[t, c]).alias("domain"), F.col(c).alias("key"), F.lit(1).alias("owned"), F.lit(0).alias("used"))
+            for t, c in sorted(owners)
+            if t == name
+        ]
+        entries += [
+            F.struct(F.lit(domain[parent, key]).alias("domain"), F.col(column).alias("key"), F.lit(0).alias("owned"), F.lit(1).alias("used"))
+            for check, child, column, parent, key in keyed
+            if check == "relationships" and child == name
+        ]
+        for check, column, failing in _row_conditions(name, kinds):
+            own = f"{name}.{check}.{column}"
+            entry = F.struct(F.lit(own).alias("domain"), F.lit("").alias("key"), F.lit(1).alias("owned"), F.lit(0).alias("used"))
+            entries.append(F.when(failing, entry))
+            lines.append((name, check, column, F.sum(F.when(F.col("domain") == own, F.col("owned")))))
+        if entries:
+            told = table.select(F.inline(F.filter(F.array(*entries), lambda e: e["key"].isNotNull())))
+            parts.append(told)
+    for check, name, column, parent, key in keyed:
+        mine = F.col("domain") == domain[parent, key]
+        if check == "unique":
+            count = F.count_if(mine & (F.col("owned") > 1))
+        else:
+            count = F.sum(F.when(mine & (F.col("owned") == 0), F.col("used")))
+        lines.append((name, check, column, count))
+    counted = reduce(DataFrame.unionAll, parts).groupBy("domain", "key").agg(
+        F.sum("owned").alias("owned"), F.sum("used").alias("used")
+    )
+    sums = counted.agg(
+        *[F.coalesce(count, F.lit(0)).cast("bigint").alias(f"n{i}") for i, (*_, count) in enumerate(lines)]
+    )
+    report = [
         F.struct(
             F.lit(name).alias("table_name"),
             F.lit(check).alias("check_name"),
             F.lit(column).alias("column_name"),
             F.col(f"n{i}").alias("failing_rows"),
         )
-        for i, (check, column, _) in enumerate(conditions)
+        for i, (name, check, column, _) in enumerate(lines)
     ]
-    return counted.select(F.inline(F.array(*lines)))
+    return sums.select(F.inline(F.array(*report)))
+
+
+def row_report(name: str, table: DataFrame, kinds: Iterable[str] = ROW_CHECKS) -> DataFrame:
+    """The single-row checks of one table."""
+    return quality_report({name: table}, kinds)
 
 
 def _line(table: str, check: str, column: str) -> list[Column]:
@@ -114,47 +178,6 @@ def _line(table: str, check: str, column: str) -> list[Column]:
     ]
 
 
-def unique_report(name: str, table: DataFrame, key: str) -> DataFrame:
-    """failing_rows counts key values that occur more than once."""
-    failing = duplicate_keys(table, key).agg(F.count("*").alias("failing_rows"))
-    return failing.select(_line(name, "unique", key))
-
-
-def relationship_report(tables: dict[str, DataFrame], link: Reference) -> DataFrame:
-    """failing_rows counts child rows without a parent."""
-    orphans = orphan_keys(
-        tables[link.child], link.child_key, tables[link.parent], link.parent_key
-    )
-    total = F.coalesce(F.sum("n_records"), F.lit(0)).alias("failing_rows")
-    return orphans.agg(total).select(_line(link.child, "relationships", link.child_key))
-
-
-def quality_report(
-    tables: dict[str, DataFrame],
-    kinds: Iterable[str] = (*ROW_CHECKS, "unique", "relationships"),
-) -> DataFrame:
-    """One line per check: table_name, check_name, column_name, failing_rows.
-
-    Tables that are not in `tables` are left out. A business anomaly is not a failure; it is what
-    the marts are there to show.
-    """
-    parts = [row_report(name, table, kinds) for name, table in tables.items()]
-    if "unique" in kinds:
-        parts += [
-            unique_report(name, tables[name], key)
-            for name, keys in UNIQUE.items()
-            if name in tables
-            for key in keys
-        ]
-    if "relationships" in kinds:
-        parts += [
-            relationship_report(tables, link)
-            for link in RELATIONSHIPS
-            if link.child in tables and link.parent in tables
-        ]
-    return reduce(DataFrame.unionByName, [part for part in parts if part is not None])
-
-
 def golden_report(mart: DataFrame, errors: DataFrame, golden: Golden) -> DataFrame:
     """failing_rows counts expected orders and expected metrics that differ."""
     count = F.count("*").alias("failing_rows")

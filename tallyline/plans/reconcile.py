@@ -11,6 +11,7 @@ from tallyline.functions.money import expected_fee, expected_net
 from tallyline.operators.joins import JoinStats, left_join, measure_joins, successful_payments
 from tallyline.operators.rules import FLAGS, Rule, flag_columns, raised_flags, verdict
 from tallyline.schemas import ORDER_COLUMNS, Inputs
+from tallyline.sources.warehouse import materialize
 
 EVERY_SIDE = frozenset({"payments", "merchants", "settlements"})
 
@@ -81,6 +82,8 @@ def join_orders(
         orders = join_orders_to_merchants(orders, staged.merchants, stats)
     if "settlements" in sides:
         paid = join_payments_to_settlements(staged.payments, staged.settlements, stats)
+        if stats.hot_orders:  # the parts of the next join would each repeat this one
+            paid = materialize(paid, "settled_payments")
         orders = left_join(orders, paid, "order_id", stats.hot_orders)
     elif "payments" in sides:
         orders = join_orders_to_payments(orders, staged.payments, stats)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.operators.errors import error_rows
+from tallyline.operators.joins import left_join
 from tallyline.operators.rules import FLAGS, error_catalog
 
 
@@ -29,12 +31,19 @@ def error_type_summary(errors: DataFrame) -> DataFrame:
     )
 
 
-def error_details(errors: DataFrame, mart: DataFrame) -> DataFrame:
-    """Error rows for an investigation, with the settlement status of their order."""
-    status = mart.select("order_id", "settlement_status")
+def error_details(errors: DataFrame, mart: DataFrame, unique: bool = False) -> DataFrame:
+    """Error rows for an investigation, with the settlement status of their order.
+
+    An order that is in the mart several times lends every row's status to each of its error rows;
+    the join is split, so that such an order does not fill one task. Where order ids are known to be
+    unique and never null, each error row has its own status and nothing is joined.
+    """
+    if unique:
+        rows = error_rows(mart, ("settlement_status",))
+    else:
+        rows = left_join(errors, mart.select("order_id", "settlement_status"), "order_id", split=True)
     return (
-        errors.join(status, "order_id", "left")
-        .orderBy("order_id", "error_code")
+        rows.orderBy("order_id", "error_code")
         .select(
             "order_id",
             "payment_id",

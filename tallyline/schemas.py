@@ -75,8 +75,7 @@ ERROR_COLUMNS = [
     "settled_at",
 ]
 
-MONEY = T.LongType()
-RATE = T.DecimalType(18, 9)
+RATE = T.DecimalType(38, 9)
 
 
 def raw_schema(table: str) -> T.StructType:

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterable
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+LEAST_PARTITIONS = 16
 
 SETTINGS = {
     # Text timestamps carry no zone; they are read as UTC wherever the job runs.
@@ -14,6 +19,8 @@ SETTINGS = {
     # Skewed left sides and hot keys are split, and empty shuffle partitions merged, at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where what follows groups by its key, for one more exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     # Hash instead of sort where every partition of the build side is measured to be this small.
@@ -36,10 +43,41 @@ def settings_for(input_bytes: int) -> dict[str, str]:
     task_bytes = min(2**30, int(2**27 * growth))
     return {
         "spark.sql.files.maxPartitionBytes": str(task_bytes),
-        "spark.sql.shuffle.partitions": str(max(200, math.ceil(input_bytes / task_bytes))),
+        "spark.sql.shuffle.partitions": str(max(LEAST_PARTITIONS, math.ceil(input_bytes / task_bytes))),
     }
 
 
+def planned_bytes(table: DataFrame) -> int | None:
+    """What the optimizer takes a table's size to be, as it prints it; None if it does not know."""
+    view = f"sized_{uuid4().hex}"
+    table.createOrReplaceTempView(view)
+    try:
+        plan = table.sparkSession.sql(f"EXPLAIN COST SELECT * FROM {view}").first()[0]
+    finally:
+        table.sparkSession.catalog.dropTempView(view)
+    found = re.search(r"sizeInBytes=([\d.]+(?:E[+-]?\d+)?) ?([KMGTPE]?)i?B", plan)
+    if not found:
+        return None
+    size = int(float(found[1]) * 1024 ** " KMGTPE".index(found[2] or " "))
+    return size if size < 2**62 else None
+
+
+def size_tasks(tables: Iterable[DataFrame], input_bytes: int | None = None) -> dict[str, str]:
+    """Set split size and shuffle partitions by the size of the input, given or measured.
+
+    Takes no job: file sizes and table statistics are there once the tables are planned. Without any
+    known size the settings stay as they are.
+    """
+    tables = list(tables)
+    if input_bytes is None:
+        sizes = [planned_bytes(table) for table in tables]
+        input_bytes = None if None in sizes else sum(sizes)
+    settings = {} if input_bytes is None else settings_for(input_bytes)
+    for key, value in settings.items():
+        tables[0].sparkSession.conf.set(key, value)
+    return settings
+
+
 def open_session(
     name: str = "tallyline",
     master: str | None = None,

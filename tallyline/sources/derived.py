@@ -161,7 +161,8 @@ def messy_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         "c_custkey as c",
         f"{tab} || 'M' || c_custkey as merchant_id",
         f"{wide} || c_name as merchant_name",
-        "if(c_custkey % 89 = 7, '3%', '0.0' || (25 + c_custkey % 5 * 5)) as fee_rate",
+        "case when c_custkey % 89 = 7 then '3%' when c_custkey % 83 = 5 then "
+        "'12345678901.5' else '0.0' || (25 + c_custkey % 5 * 5) end as fee_rate",
     )
     merchants = merchant.where("c % 41 != 5").unionByName(merchant.where("c % 30 = 4"))
 
@@ -204,13 +205,14 @@ def messy_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         .selectExpr(
             "if(s % 61 != 5, 'P' || k || '-' || l_linenumber, null) as payment_id",
             "case when s % 43 = 1 then null when s % 47 = 3 then 'X' || k "
+            "when s % 41 = 2 then 'O' || k || char(10) when s % 41 = 3 then 'O' || k || char(13) || char(10) "
             f"else ' O' || k || {tab} end as order_id",
             "if(s % 37 = 2, 'n/a', cast(cast(floor(l_extendedprice) as bigint) as string)) "
             "as payment_amount",
             f"case s % 6 when 0 then 'failed' when 1 then {wide} || 'success ' when 2 then "
-            "'SUCCESS' when 3 then 'Success' when 4 then 'refunded' end as payment_status",
+            "if(s % 5 = 1, 'SUCCESS\u2028', 'SUCCESS' || char(13)) when 3 then 'Success' when 4 then 'refunded' end as payment_status",
             f"case when s % 31 = 6 then null when s % 29 = 4 then {tab} || ' ' "
-            "else ' B' || k end as settlement_batch_id",
+            "when s % 23 = 5 then 'B' || k || char(133) else ' B' || k end as settlement_batch_id",
             "if(s % 83 = 2, '2026-13-45', cast(l_shipdate as string)) as paid_at",
         )
     )

@@ -2,31 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.operators.golden import Golden
 from tallyline.operators.rules import FLAGS
 from tallyline.schemas import RAW_COLUMNS, Inputs, raw_schema
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """UTF-8 with a header line. Lines are not joined, so that large files stay splittable."""
+BAD_LINE = "bad_line"
+
+
+def _csv(spark: SparkSession, multi_line: bool, header: bool = True) -> DataFrameReader:
     return (
-        spark.read.schema(raw_schema(table))
-        .option("header", True)
+        spark.read.option("header", header)
         .option("enforceSchema", False)  # fail if the header names other columns
         .option("encoding", "UTF-8")
         .option("escape", '"')
-        .csv(path)
+        .option("multiLine", multi_line)
+        .option("columnPruning", False)  # else a line is only parsed as far as a query needs it
     )
 
 
-def read_csv_folder(spark: SparkSession, folder: str) -> Inputs:
+def read_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+    """UTF-8 with a header line. A line with too few or too many fields fails the read.
+
+    Lines are not joined, so that large files stay splittable; a quoted line break then makes two
+    bad lines. With multi_line they are joined, and each file is read by one task.
+    """
+    reader = _csv(spark, multi_line).schema(raw_schema(table))
+    return reader.option("mode", "FAILFAST").csv(path)
+
+
+def read_csv_lines(
+    spark: SparkSession, path: str, table: str, multi_line: bool = False, header: bool = True
+) -> DataFrame:
+    """As read_csv, but bad lines stay: bad_line has their text, and is null for good ones.
+
+    Store the lines before bad_lines() reads them; Spark refuses to parse a file for these alone.
+    """
+    schema = T.StructType([*raw_schema(table), T.StructField(BAD_LINE, T.StringType())])
+    reader = _csv(spark, multi_line, header).schema(schema)
+    return reader.option("columnNameOfCorruptRecord", BAD_LINE).csv(path)
+
+
+def good_lines(lines: DataFrame) -> DataFrame:
+    return lines.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    return lines.where(F.col(BAD_LINE).isNotNull()).select(BAD_LINE)
+
+
+def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False) -> Inputs:
     """`folder` holds merchants.csv, orders.csv, payments.csv and settlements.csv.
 
     Each may be one file or a folder of part files.
     """
-    return Inputs(**{name: read_csv(spark, f"{folder}/{name}.csv", name) for name in RAW_COLUMNS})
+    return Inputs(
+        **{
+            name: read_csv(spark, f"{folder}/{name}.csv", name, multi_line) for name in RAW_COLUMNS
+        }
+    )
 
 
 def read_parquet_folder(spark: SparkSession, folder: str) -> Inputs:

@@ -1,38 +1,79 @@
 """Where layers are written and read back: a folder of parquet tables, or catalog tables.
 
-Every write replaces the whole table, so a rerun on the same input leaves the same result.
+A run writes every table under a version of its own and switches to it at the end, so a run that
+fails, or has not ended, leaves all layers as they were.
 """
 
 from __future__ import annotations
 
+import atexit
 import tempfile
-from dataclasses import dataclass
+import time
+from dataclasses import dataclass, field
 from functools import cache
 from uuid import uuid4
 
+from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def new_version() -> str:
+    """Later versions sort after earlier ones."""
+    return f"v{time.time_ns():020d}_{uuid4().hex[:8]}"
 
 
 @dataclass(frozen=True)
 class FolderWarehouse:
+    """Tables are root/versions/<version>/<layer>/<name>; root/published names the versions that are
+    complete, of which the last one counts. Publishing adds one small file and moves nothing."""
+
     spark: SparkSession
     root: str
+    version: str = field(default_factory=new_version)
+
+    def published(self) -> str | None:
+        try:
+            return self.spark.read.text(f"{self.root}/published").agg(F.max("value")).first()[0]
+        except AnalysisException:
+            return None
+
+    def location(self, layer: str, name: str, version: str | None = None) -> str:
+        return f"{self.root}/versions/{version or self.version}/{layer}/{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{layer}/{name}")
+        """A table of the version that was published last."""
+        version = self.published()
+        if version is None:
+            raise LookupError(f"nothing is published in {self.root}")
+        return self.spark.read.parquet(self.location(layer, name, version))
 
     def write(self, layer: str, name: str, table: DataFrame) -> DataFrame:
-        location = f"{self.root}/{layer}/{name}"
+        location = self.location(layer, name)
         table.write.mode("overwrite").parquet(location)
         return self.spark.read.schema(table.schema).parquet(location)
 
+    def publish(self) -> None:
+        """Make this version the one that is read, and remove those before the last two."""
+        before = self.published()
+        marker = self.spark.createDataFrame([(self.version,)], "value string").coalesce(1)
+        marker.write.mode("append").text(f"{self.root}/published")
+        for row in self.spark.read.text(f"{self.root}/published").distinct().collect():  # one a run
+            if row["value"] not in (self.version, before):
+                remove_folder(f"{self.root}/versions/{row['value']}")
+
 
 @dataclass(frozen=True)
 class CatalogWarehouse:
-    """One namespace per layer, such as raw, staging and marts."""
+    """One namespace per layer, such as raw, staging and marts. Its names are views; publishing
+    points them to the tables of this version, which are beside them under <name>_<version>."""
 
     spark: SparkSession
     prefix: str = ""
+    location: str | None = None  # folder of the tables; else the catalog's own
+    version: str = field(default_factory=new_version)
+    written: list[tuple[str, str]] = field(default_factory=list, compare=False)
 
     def _namespace(self, layer: str) -> str:
         return f"{self.prefix}{layer}"
@@ -42,10 +83,29 @@ class CatalogWarehouse:
 
     def write(self, layer: str, name: str, table: DataFrame) -> DataFrame:
         self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self._namespace(layer)}")
-        table.write.mode("overwrite").format("parquet").saveAsTable(
-            f"{self._namespace(layer)}.{name}"
-        )
-        return self.read(layer, name)
+        writer = table.write.mode("overwrite").format("parquet")
+        if self.location:
+            writer = writer.option("path", f"{self.location}/{layer}/{name}_{self.version}")
+        stored = f"{self._namespace(layer)}.{name}_{self.version}"
+        writer.saveAsTable(stored)
+        self.written.append((layer, name))
+        return self.spark.table(stored)
+
+    def publish(self) -> None:
+        """Switch the views, which are statements without data, and drop the tables behind them."""
+        for layer, name in self.written:
+            namespace = self._namespace(layer)
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {namespace}.{name} AS "
+                f"SELECT * FROM {namespace}.{name}_{self.version}"
+            )
+        for layer in {layer for layer, _ in self.written}:
+            namespace = self._namespace(layer)
+            for row in self.spark.sql(f"SHOW TABLES IN {namespace}").collect():
+                name, _, version = row["tableName"].rpartition("_v")
+                old = f"v{version}" < self.version and len(version) == len(self.version) - 1
+                if (layer, name) in self.written and old:
+                    self.spark.sql(f"DROP TABLE {namespace}.{row['tableName']}")
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:
@@ -55,28 +115,46 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors reach, as the cluster names it in spark.checkpoint.dir."""
+    """The folder that all executors reach, as the cluster names it in spark.checkpoint.dir. Only
+    local[...], whose executors are threads of one process, does with a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_folder()
 
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tallyline-")
+    folder = tempfile.mkdtemp(prefix="tallyline-")
+    atexit.register(remove_folder, folder)
+    return folder
+
+
+def remove_folder(location: str) -> None:
+    """Remove a folder in any store that Arrow reaches; a missing one is fine."""
+    files, path = fs.FileSystem.from_uri(location) if ":" in location else (fs.LocalFileSystem(), location)
+    if files.get_file_info(path).type != fs.FileType.NotFound:
+        files.delete_dir(path)
+
+
+_scratch: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder that Hadoop removes when the application ends."""
-    location = f"{shared_folder(spark)}/tallyline-{uuid4().hex}/{name}"
-    parent = spark._jvm.org.apache.hadoop.fs.Path(location).getParent()
-    files = parent.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(parent)
-    files.deleteOnExit(parent)
-    return location
+    """A fresh path in the shared folder. clear_scratch() removes it, at the latest at exit."""
+    folder = f"{shared_folder(spark)}/tallyline-{uuid4().hex}"
+    if not _scratch:
+        atexit.register(clear_scratch)
+    _scratch.append(folder)
+    return f"{folder}/{name}"
+
+
+def clear_scratch() -> None:
+    """Remove what scratch_path() has given out. Tables that read from there must be done with."""
+    while _scratch:
+        remove_folder(_scratch.pop())
 
 
 def materialize(table: DataFrame, name: str) -> DataFrame:

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions import cleaning
 from tallyline.functions.money import expected_fee, expected_net
@@ -22,6 +23,39 @@ def test_text_loses_every_kind_of_surrounding_whitespace(spark):
     assert values(spark, rows, cleaning.clean_text(F.col("v"))) == expected
 
 
+def test_text_loses_whitespace_at_one_end_only(spark):
+    ends = [*cleaning.WHITESPACE, "\r\n", "\n\n", "\n ", " \n"]
+    for rows in ([f"M1{e}" for e in ends], [f"{e}M1" for e in ends], [f"a\nb{e}" for e in ends]):
+        expected = ["a\nb" if "a" in r else "M1" for r in rows]
+        assert values(spark, rows, cleaning.clean_text(F.col("v"))) == expected
+
+
+def test_typed_fractions_are_rounded(spark):
+    rows = [12.7, 12.5, -12.5, 12.4, None, float("nan"), 1e30]
+    amount = cleaning.safe_amount(F.col("v"), T.DoubleType())
+    assert values(spark, [(r,) for r in rows], amount, "v double") == [13, 13, -13, 12] + [None] * 3
+    rows = [Decimal("0.5"), Decimal("2.49"), Decimal("-1.50")]
+    amount = cleaning.safe_amount(F.col("v"), T.DecimalType(9, 2))
+    assert values(spark, [(r,) for r in rows], amount, "v decimal(9,2)") == [1, 2, -2]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_timestamps_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    texts = ["2026-03-08 02:30:00", "2026-11-01 01:30:00.123456", "1969-12-31 23:59:59.5",
+             "2026-07-01", "2026-07-01T10:00:00+09:00", "2026-07-01 10:00:00Z", "2026-13-45"]
+    moments = ["2026-03-08T02:30:00", "2026-11-01T01:30:00.123456", "1969-12-31T23:59:59.5",
+               "2026-07-01T00:00:00", "2026-07-01T01:00:00", "2026-07-01T10:00:00"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = values(spark, texts, F.unix_micros(cleaning.safe_timestamp(F.col("v"))))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    start = datetime(1970, 1, 1)
+    whole = [datetime.fromisoformat(m) - start for m in moments]
+    assert found == [w // timedelta(microseconds=1) for w in whole] + [None]
+
+
 def test_whitespace_that_is_no_space_stays(spark):
     rows = ["\u200bx\u200b", "\ufeffx"]
     assert values(spark, rows, cleaning.clean_text(F.col("v"))) == rows
@@ -82,6 +116,11 @@ def test_timestamps_need_a_full_date(spark):
         (5, "0.099999999", 0),  # 0.499999995 must not become 0.5 first
         (2**63 - 1, "0.999999999", 9223372027631403770),
         (2**63 - 1, "2", None),  # beyond bigint
+        (100, "12345678901.5", 1234567890150),
+        (-3, "1000000000.5", -3000000002),  # -3000000001.5, away from zero
+        (0, "99999999999999999999999999999.5", 0),
+        (1, "99999999999999999999999999999.5", None),
+        (7, "-2.5", -18),
         (100, None, None),
         (None, "0.03", None),
     ],
@@ -89,7 +128,7 @@ def test_timestamps_need_a_full_date(spark):
 def test_expected_fee(spark, amount, rate, fee):
     value = Decimal(rate) if rate else None
     found = values(
-        spark, [(amount, value)], expected_fee(F.col("a"), F.col("r")), "a bigint, r decimal(18,9)"
+        spark, [(amount, value)], expected_fee(F.col("a"), F.col("r")), "a bigint, r decimal(38,9)"
     )
     assert found == [fee]
 

@@ -9,8 +9,9 @@ import pytest
 from compare import connect, oracle_rows, spark_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+CORPUS = entry_points._corpus("queries")  # tested with their package
+QUERIES = {name: query for name, query in entry_points.queries().items() if name not in CORPUS}
+ORACLES = {n: sql for n, sql in entry_points.oracle_sql().items() if n not in CORPUS}
 
 
 @pytest.fixture(scope="module")

@@ -35,7 +35,7 @@ def test_layout(mart, errors):
     types = {field.name: field.dataType.simpleString() for field in mart.schema}
     assert mart.columns == [*ORDER_COLUMNS, *FLAGS, "error_count", "reconciliation_status"]
     assert len(mart.columns) == 33
-    assert types["fee_rate"] == "decimal(18,9)"
+    assert types["fee_rate"] == "decimal(38,9)"
     assert types["ordered_at"] == types["paid_at"] == types["settled_at"] == "timestamp"
     assert {types[code] for code in FLAGS} == {"boolean"}
     assert types["error_count"] == types["expected_fee_amount"] == "bigint"

@@ -11,17 +11,23 @@ from sample import EXPECTED_ERRORS, EXPECTED_METRICS, make_inputs, sample_rows
 
 from tallyline import job
 from tallyline.operators.rules import FLAGS
+from tallyline.operators.errors import error_rows
 from tallyline.operators.staging import stage
+from tallyline.plans import build
 from tallyline.plans.build import build_marts, check_marts, load_raw
+from tallyline.plans.quality import ERROR_MART, ORDER_MART
 from tallyline.plans.reconcile import reconcile
+from tallyline.plans.reports import error_details, error_type_summary
 from tallyline.schemas import RAW_COLUMNS
-from tallyline.session import settings_for
+from tallyline.session import planned_bytes, settings_for, size_tasks
 from tallyline.sources import raw as sources
 from tallyline.sources.warehouse import (
     CatalogWarehouse,
     FolderWarehouse,
+    clear_scratch,
     materialize,
     register_views,
+    scratch_path,
     shared_folder,
 )
 
@@ -59,7 +65,9 @@ def test_every_source_gives_the_same_mart(spark, tmp_path):
     for name, table in raw.items():
         table.write.parquet(f"{folder}/{name}.parquet")
     assert spark_rows(reconcile(stage(sources.read_parquet_folder(spark, folder)))) == expected
-    load_raw(CatalogWarehouse(spark, "a_"), raw)
+    catalog = CatalogWarehouse(spark, "a_")
+    load_raw(catalog, raw)
+    catalog.publish()
     assert spark_rows(reconcile(stage(sources.read_namespace(spark, "a_raw")))) == expected
 
 
@@ -97,25 +105,111 @@ def test_job_from_csv_to_reports(spark, tmp_path):
     write_csv(folder, sample_rows())
     out = str(tmp_path / "out")
     assert job.run(spark, job.parse(["--raw", str(folder), "--out", out, "--keep-raw"]))
-    summary = spark.read.parquet(f"{out}/reports/error_type_summary")
-    assert summary.count() == 12
-    details = spark.read.parquet(f"{out}/reports/error_details")
-    assert details.count() == 34
-    assert spark.read.parquet(f"{out}/raw/orders").count() == 200
-    assert spark.read.parquet(f"{out}/checks/quality_report").count() == 39
+    stored = FolderWarehouse(spark, out)
+    assert stored.read("reports", "error_type_summary").count() == 12
+    assert stored.read("reports", "error_details").count() == 34
+    assert stored.read("raw", "orders").count() == 200
+    assert stored.read("checks", "quality_report").count() == 39
 
 
-def test_job_with_a_failed_check_does_not_publish(spark, tmp_path, capsys):
+def test_job_with_a_failed_check_publishes_reports_that_fit_the_marts(spark, tmp_path, capsys):
     folder = tmp_path / "raw"
     folder.mkdir()
     tables = sample_rows()
     tables["orders"].append(tables["orders"][0])
     write_csv(folder, tables)
-    out = tmp_path / "out"
-    assert not job.run(spark, job.parse(["--raw", str(folder), "--out", str(out)]))
+    out = str(tmp_path / "out")
+    assert not job.run(spark, job.parse(["--raw", str(folder), "--out", out]))
     assert "unique on stg_orders.order_id: 1" in capsys.readouterr().err
-    assert (out / "checks").exists()
-    assert not (out / "reports").exists()
+    stored = FolderWarehouse(spark, out)
+    marts = [stored.read("marts", name) for name in (ORDER_MART, ERROR_MART)]
+    assert spark_rows(stored.read("reports", "error_details")) == spark_rows(error_details(marts[1], marts[0]))
+    assert spark_rows(stored.read("reports", "error_type_summary")) == spark_rows(error_type_summary(marts[1]))
+
+
+def test_details_are_the_same_with_and_without_the_join(spark):
+    mart = reconcile(stage(make_inputs(spark, sample_rows()))).cache()
+    joined, own = (error_details(error_rows(mart), mart, unique) for unique in (False, True))
+    assert spark_rows(joined) == spark_rows(own)
+
+
+def test_a_run_that_breaks_off_leaves_everything_as_it_was(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    out = str(tmp_path / "out")
+    options = job.parse(["--raw", write_csv(raw, sample_rows()), "--out", out])
+    job.run(spark, options)
+    names = [("marts", ORDER_MART), ("marts", ERROR_MART), ("reports", "error_details")]
+    before = [spark_rows(FolderWarehouse(spark, out).read(*name)) for name in names]
+    tables = sample_rows()
+    tables["payments"] = tables["payments"][:5]
+    write_csv(raw, tables)
+    with monkeypatch.context() as patch:
+        patch.setattr(build, "error_rows", lambda mart: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            job.run(spark, options)
+    assert [spark_rows(FolderWarehouse(spark, out).read(*name)) for name in names] == before
+    job.run(spark, options)
+    assert [spark_rows(FolderWarehouse(spark, out).read(*name)) for name in names] != before
+
+
+def test_old_versions_go(spark, tmp_path):
+    for n in range(4):
+        warehouse = FolderWarehouse(spark, str(tmp_path))
+        warehouse.write("layer", "t", spark.range(n))
+        warehouse.publish()
+        assert warehouse.read("layer", "t").count() == n
+    assert len(list((tmp_path / "versions").iterdir())) == 2
+    with pytest.raises(LookupError):
+        FolderWarehouse(spark, str(tmp_path / "none")).read("layer", "t")
+    for n in range(3):
+        catalog = CatalogWarehouse(spark, "c_")
+        catalog.write("layer", "t", spark.range(n))
+        catalog.publish()
+        assert catalog.read("layer", "t").count() == n
+    assert spark.sql("SHOW TABLES IN c_layer").where("tableName like 't_v%'").count() == 1
+
+
+def test_tasks_follow_the_measured_size(spark, tmp_path):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")
+    before = {key: spark.conf.get(key) for key in keys}
+    spark.range(200_000).selectExpr("id", "uuid() as u").write.parquet(f"{tmp_path}/t")
+    spark.read.parquet(f"{tmp_path}/t").write.mode("overwrite").saveAsTable("sized")
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    try:
+        for table in (spark.read.parquet(f"{tmp_path}/t"), spark.table("sized")):
+            assert abs(planned_bytes(table) - size) < 0.05 * size
+            assert size_tasks([table]) == settings_for(planned_bytes(table))
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+        size_tasks([table], 1 << 40)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8192"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_scratch_tables_leave_no_folder(spark):
+    first, second = (Path(scratch_path(spark, "t")).parent for _ in range(2))
+    materialize(spark.range(3), "numbers")
+    spark.range(3).write.parquet(f"{first}/t")
+    clear_scratch()
+    assert not first.exists() and not second.exists()
+    assert not [p for p in Path(shared_folder(spark)).iterdir() if p.name.startswith("tallyline-")]
+
+
+def test_bad_lines_fail_or_are_told(spark, tmp_path):
+    path = tmp_path / "merchants.csv"
+    good, bad = ['M1,"a ""b"", c",0.1', "M2,b,"], ["M3,short", "M4,long,1,000"]
+    path.write_text("\n".join(["merchant_id,merchant_name,fee_rate", *good, *bad]) + "\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        sources.read_csv(spark, str(path), "merchants").select("merchant_id").collect()
+    lines = sources.read_csv_lines(spark, str(path), "merchants").cache()
+    assert [tuple(r) for r in sources.good_lines(lines).collect()] == [("M1", 'a "b", c', "0.1"), ("M2", "b", None)]
+    assert [r[0] for r in sources.bad_lines(lines).collect()] == bad
+    path.write_text('merchant_id,merchant_name,fee_rate\nM1,"two\nlines",0.1\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        sources.read_csv(spark, str(path), "merchants").collect()
+    assert sources.read_csv(spark, str(path), "merchants", multi_line=True).first()[1] == "two\nlines"
 
 
 def write_golden(folder: Path, total: int) -> str:
@@ -141,7 +235,7 @@ def test_job_compares_with_expected_results(spark, tmp_path, capsys):
         golden = write_golden(tmp_path / f"golden{total}", total)
         options = job.parse(["--raw", folder, "--out", out, "--golden", golden])
         assert job.run(spark, options) is passed
-        assert spark.read.parquet(f"{out}/checks/quality_report").count() == 41
+        assert FolderWarehouse(spark, out).read("checks", "quality_report").count() == 41
     assert "golden_metrics on fct_payment_reconciliation.metric: 1" in capsys.readouterr().err
 
 
@@ -156,7 +250,7 @@ def test_job_into_the_catalog(spark, tmp_path):
 
 @pytest.mark.parametrize(
     ("size", "task", "partitions"),
-    [(1 << 30, 1 << 27, 200), (1 << 40, 1 << 27, 8192), (100 << 40, 1 << 30, 102_400)],
+    [(1 << 20, 1 << 27, 16), (64 << 30, 1 << 27, 512), (1 << 40, 1 << 27, 8192), (100 << 40, 1 << 30, 102_400)],
 )
 def test_tasks_follow_the_input(size, task, partitions):
     assert settings_for(size) == {
