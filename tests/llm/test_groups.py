@@ -173,6 +173,19 @@ def test_topk(spark, monkeypatch, block):
     assert got == sorted(expected)
 
 
+def test_the_query_equals_its_sql(spark):
+    import duckdb
+
+    from tallyline.llm.queries import llm_oracles, llm_queries
+
+    folder = "/root/testdata/sf0.01"
+    got = [tuple(r) for r in llm_queries()["op2_exact_topk"](spark, folder).select("query_id", "rank", "vec_id", "score").collect()]
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet'")
+    expected = connection.sql(f"SELECT query_id, rank, vec_id, score FROM ({llm_oracles()['op2_exact_topk']})").fetchall()
+    assert sorted(got) == sorted(expected) and got
+
+
 def test_topk_of_nothing(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.search(table, lambda i: i % 50 == 0).count() == 0
