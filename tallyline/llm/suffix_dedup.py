@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.llm.bpe import added
-from tallyline.llm.textbytes import Spans, blocks, utf8
+from tallyline.llm.textbytes import ROOT, blocks, eights, mix, release_memory, string_hashes, utf8
 
 LENGTH, ANCHOR = 50, 24
-GROUP_BYTES, GROUPS_PER_TASK, BUCKET_BYTES = 4_000_000, 4, 16_000_000
+GROUP_BYTES, GROUPS_PER_TASK, BUCKET_BYTES = 4_000_000, 4, 6_000_000
 MESSAGE = "group long, bucket long, kind int, body binary"
 ANCHORS, SEGMENTS = 1, 3
 ANCHOR_BYTES = 5
@@ -63,25 +63,29 @@ def segments(data: np.ndarray, at: np.ndarray, length: int) -> Segments:
     n = len(data)
     if n < length:
         return Segments(*(np.zeros(0, k) for k in (np.uint64, np.int64, np.int64, np.int64, np.uint64)))
-    spans = Spans(data)
-    place = np.arange(n - ANCHOR + 1)
-    hashes = spans.hashes(place, place + ANCHOR)
-    key = (hashes & np.uint64(0xFFFFFFFF00000000)) | place.astype(np.uint64)
+    words = eights(data)
+    hashes = string_hashes(words, ANCHOR)
+    key = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
     width, wide = 1, length - ANCHOR + 1
     while width * 2 <= wide:
         key = np.minimum(key[: len(key) - width], key[width:])
         width *= 2
     if wide > width:
         key = np.minimum(key[: len(key) - (wide - width)], key[wide - width :])
-    text = np.searchsorted(at, np.arange(n - length + 1), "right") - 1
-    valid = np.arange(n - length + 1) + length <= at[text + 1]
-    start = np.flatnonzero(valid)
-    chosen, text = (key[start] & np.uint64(0xFFFFFFFF)).astype(np.int64), text[start]
-    changed = (chosen[1:] != chosen[:-1]) | (text[1:] != text[:-1])
-    head = np.flatnonzero(np.concatenate([[True], changed])) if len(start) else start
-    count = np.diff(np.append(head, len(start)))
-    first = start[head]
-    return Segments(hashes[chosen[head]], first, count, text[head], spans.hashes(first, first + count - 1 + length))
+    chosen = key.astype(np.uint32)
+    valid = np.ones(n - length + 1, bool)
+    for begin, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        valid[max(begin, end - length + 1) : end] = False
+    apart = chosen[1:] != chosen[:-1]
+    begins, ends = valid.copy(), valid
+    begins[1:] &= apart | ~valid[:-1]
+    ends[:-1] &= apart | ~ends[1:]
+    first, last = np.flatnonzero(begins), np.flatnonzero(ends)
+    count = last - first + 1
+    # A segment is shorter than two strings, so its first and last string tell all of its bytes.
+    code = string_hashes(words, length, first) * np.uint64(ROOT) ^ string_hashes(words, length, last)
+    text = np.searchsorted(at, first, "right") - 1
+    return Segments(hashes[chosen[first]], first, count, text, mix(code + count.astype(np.uint64)))
 
 
 class Group:
@@ -236,6 +240,7 @@ def answered_segments(length: int) -> Callable:
     """For every group of a bucket, a mask for each segment: which of its strings have an earlier match."""
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         rows = pa.Table.from_batches(list(batches))
         docs, counts, codes = [], [], []
         for body in rows.column("body").to_pylist():
@@ -248,7 +253,7 @@ def answered_segments(length: int) -> Callable:
             for a, b in blocks(at):
                 own = count[a:b]
                 first = np.repeat(at[a:b] - at[a], own) + within(own)
-                codes.append(Spans(data[at[a] : at[b]]).hashes(first, first + length))
+                codes.append(string_hashes(eights(data[at[a] : at[b]]), length)[first])
         count = np.concatenate(counts)
         earlier = earlier_matches(np.repeat(np.concatenate(docs), count), np.concatenate(codes))
         bits = earlier.astype(np.uint32) << within(count).astype(np.uint32)
@@ -296,15 +301,18 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, characters: bool = Fa
     by_group = dealt.groupBy(group_name)
 
     def send_anchors(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         group = Group(pa.Table.from_batches(list(batches)), length)
         yield messages(list(anchor_messages(key[0].as_py(), group, buckets)))
 
     def send_segments(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        release_memory()
         group = Group(left, length)
         sent = Repeats(group, answers_of(right, ANCHORS), buckets).sent(key[0].as_py(), group)
         return pa.Table.from_batches([messages(list(sent))])
 
     def remove(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        release_memory()
         group = Group(left, length)
         covered = Repeats(group, answers_of(right, ANCHORS), buckets).covered(group, answers_of(right, SEGMENTS))
         if characters:
@@ -334,3 +342,37 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, characters: bool = Fa
     kinds = {"kept": T.BinaryType(), "n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "removed": T.ArrayType(T.LongType())}
     schema = T.StructType([f for f in docs.schema if f.name not in kinds] + [T.StructField(n, t) for n, t in kinds.items()])
     return by_group.cogroup(found.unionAll(masks).groupBy("group")).applyInArrow(remove, schema)
+
+
+ORACLE = """
+WITH raw AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS t, hex(t) AS h FROM documents
+), place AS (
+  SELECT doc_id, unnest(range(0, octet_length(t) - 49)) AS p, t FROM raw
+), string AS (
+  SELECT doc_id, p, t[p + 1 : p + 50] AS s FROM place
+), first AS (
+  SELECT s, min(doc_id) AS doc_id FROM string GROUP BY 1
+), later AS (
+  SELECT t.doc_id, t.p FROM string t JOIN first f ON f.s = t.s WHERE f.doc_id < t.doc_id
+), marked AS (
+  SELECT doc_id, p, p > coalesce(max(p + 50) OVER (PARTITION BY doc_id ORDER BY p
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS fresh
+  FROM later
+), numbered AS (
+  SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked
+), span AS (
+  SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM numbered GROUP BY 1, 2
+), gap AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM span
+  UNION ALL SELECT doc_id, max(b), NULL FROM span GROUP BY 1
+), rest AS (
+  SELECT g.doc_id, string_agg(h[2 * x + 1 : coalesce(2 * y, length(h))], '' ORDER BY x) AS k
+  FROM gap g JOIN raw USING (doc_id) GROUP BY 1
+), total AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY 1
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM raw LEFT JOIN total USING (doc_id) LEFT JOIN rest USING (doc_id)
+"""

@@ -5,17 +5,36 @@ A null text counts as an empty one. All functions are pure and hold a block's ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 ROOT = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
+def release_memory() -> None:
+    """Give back what Arrow and the allocator keep of freed memory; a worker serves many tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """The step over batches, which gives memory back when it has ended."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return tidied
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row and the len + 1 places where texts begin."""
     if isinstance(column, pa.ChunkedArray):
@@ -57,6 +76,26 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number."""
+    data = np.ascontiguousarray(data)
+    return np.ndarray((max(0, len(data) - 7),), "<u8", buffer=data, strides=(1,)).copy() if len(data) > 7 else np.zeros(0, np.uint64)
+
+
+def string_hashes(words: np.ndarray, size: int, place: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the strings of so many (at least eight) bytes from each place, or from some, on."""
+    steps = [*range(0, size - 8, 8), size - 8]
+    count = max(0, len(words) - steps[-1])
+    out = np.full(count if place is None else len(place), size, np.uint64)
+    for step in steps:
+        out ^= words[step : step + count] if place is None else words[place + step]
+        out *= np.uint64(ROOT)
+        out ^= out >> np.uint64(32)
+    out *= np.uint64(0xC4CEB9FE1A85EC53)
+    out ^= out >> np.uint64(29)
+    return out
+
+
 class Spans:
     """Hashes of any byte ranges of one block, from prefix sums."""
 
