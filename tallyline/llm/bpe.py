@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers
 
 from tallyline.llm.matcher import Matcher
+from tallyline.llm.textbytes import tidy
 
 CACHE_ENTRIES = 300_000
 TEXTS_AT_ONCE = 200
@@ -176,12 +177,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", offsets
     that these bytes belong to, so a split character has the same start for each of its tokens.
     """
     kinds = {"ids": INTS} | ({"byte_starts": INTS, "char_starts": INTS} if offsets else {})
-    return docs.mapInArrow(encoder(docs.sparkSession, path, pattern, text, offsets), schema_with(docs, **kinds))
+    return docs.mapInArrow(tidy(encoder(docs.sparkSession, path, pattern, text, offsets)), schema_with(docs, **kinds))
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """The rows with decoded binary: the bytes of the ids. Null ids count as none."""
-    return docs.mapInArrow(decoder(docs.sparkSession, path, ids), schema_with(docs, decoded=T.BinaryType()))
+    return docs.mapInArrow(tidy(decoder(docs.sparkSession, path, ids)), schema_with(docs, decoded=T.BinaryType()))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -194,7 +195,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
         for batch in back(there(batches)):
             yield batch.select(slim.names)
 
-    return docs.mapInArrow(run, slim)
+    return docs.mapInArrow(tidy(run), slim)
 
 
 def digests(coded: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.components import components
 from tallyline.llm.storage import stored
-from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, runs, utf8, windows
+from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, runs, tidy, utf8, windows
 
 SHINGLE, THRESHOLD = 5, 80
 TREES, DEPTH, DEEP = 20, 4, 8
@@ -103,7 +103,7 @@ def measured(docs: DataFrame, size: int) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, sum1 long, sum2 long, signature binary")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, sum1 long, sum2 long, signature binary")
 
 
 def forest(classes: DataFrame, tasks: int) -> DataFrame:
@@ -151,7 +151,7 @@ def forest(classes: DataFrame, tasks: int) -> DataFrame:
         if got:  # a partition is a bounded share of the order
             yield from regions(*(np.concatenate(c) for c in zip(*got, strict=True)))
 
-    return rows.mapInArrow(run, "a long, b long, h long, kind int")
+    return rows.mapInArrow(tidy(run), "a long, b long, h long, kind int")
 
 
 def similar(one: np.ndarray, two: np.ndarray, threshold: int) -> bool:
@@ -173,7 +173,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
                 keep.append(min(len(one), len(two)) * 100 >= threshold * max(len(one), len(two)) and similar(one, two, threshold))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return met.mapInArrow(run, "a long, b long")
+    return met.mapInArrow(tidy(run), "a long, b long")
 
 
 def likely_pairs(members: DataFrame, tasks: int, threshold: int) -> DataFrame:
@@ -296,7 +296,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         for ids, sets in each_set(batches, size):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
 
-    return stored(rows.mapInArrow(run, "id long, shingles binary"), "sets")
+    return stored(rows.mapInArrow(tidy(run), "id long, shingles binary"), "sets")
 
 
 def deduplicated(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -321,3 +321,35 @@ def deduplicated(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOL
 def broadcast_if_small(ids: DataFrame) -> DataFrame:
     ids = stored(ids, "ids")
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+ORACLE = r"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) >= 3 THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM word
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1
+), pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), edge AS (
+  SELECT a, b FROM link UNION SELECT b, a FROM link
+), reach AS (
+  SELECT doc_id AS id, doc_id AS root FROM documents
+  UNION SELECT e.b, r.root FROM reach r JOIN edge e ON e.a = r.id
+), component AS (
+  SELECT id, min(root) AS component_id FROM reach GROUP BY 1
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN component c ON c.id = d.doc_id LEFT JOIN size s USING (doc_id)
+"""

@@ -27,6 +27,7 @@ from tokenizers import Tokenizer
 
 from tallyline.llm.bpe import TEXTS_AT_ONCE, PieceCache, list_array
 from tallyline.llm.matcher import BEYOND, Matcher
+from tallyline.llm.textbytes import tidy
 
 SIZE = 2048
 PIECES_PER_BUCKET = 4_000
@@ -83,7 +84,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, closing: int = 0, with_
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
 
     slim = docs.select(F.col("doc_id").cast("long"), "text")
-    return slim.mapInArrow(run, PIECE_COLUMNS + (", ids array<int>" if with_ids else ""))
+    return slim.mapInArrow(tidy(run), PIECE_COLUMNS + (", ids array<int>" if with_ids else ""))
 
 
 def exact_patterns(counts: np.ndarray) -> np.ndarray:
@@ -233,4 +234,4 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
             arrays.append(pa.array(p["offset"][row]))
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, PIECE_COLUMNS + ", sequence_id long, offset long")
+    return ranked.mapInArrow(tidy(run), PIECE_COLUMNS + ", sequence_id long, offset long")

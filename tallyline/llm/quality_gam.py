@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.quality_rules import base_counts
 from tallyline.llm.storage import stored
-from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, per_text, runs, table, utf8
+from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, per_text, runs, table, tidy, utf8
 
 SAMPLE_ROWS = 20_000
 BINS, PAIR_BINS, PAIRS = 48, 12, 6
@@ -93,7 +93,7 @@ def measured(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, x array<float>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "doc_id long, x array<float>")
 
 
 def tree(gradient: np.ndarray, weight: np.ndarray, leaves: int = 4) -> np.ndarray:
@@ -215,7 +215,7 @@ def classify(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
             score = chances(model.value, flat.reshape(batch.num_rows, len(FEATURES)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
 
-    scored = rows.mapInArrow(run, "doc_id long, score double")
+    scored = rows.mapInArrow(tidy(run), "doc_id long, score double")
     return scored.select(
         "doc_id",
         F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),

@@ -95,4 +95,8 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op2_exact_topk": topk.ORACLE}
+    return {
+        "op2_exact_topk": topk.ORACLE,
+        "op3_suffix_dedup": suffix_dedup.ORACLE,
+        "op7_lsh_forest": lsh_forest.ORACLE,
+    }

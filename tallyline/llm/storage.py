@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.llm.textbytes import release_memory
+
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a new temporary folder only for a single local JVM without one."""
@@ -24,4 +27,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()  # models and plans of earlier steps
+    release_memory()
     return spark.read.schema(df.schema).parquet(path)
