@@ -1,14 +1,17 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word's input is the embedding of the word (one shared entry for rare words) beside the mean
-embedding of its character trigrams. Two recurrent passes read each window of WINDOW words; attention
+embedding of its character n-grams, three to five bytes long and within marks for its ends. The first
+number of an embedding starts as the log odds of toxic documents that have the word or n-gram, drawn
+towards zero where few documents have it; training goes on from there. Two recurrent passes read each window of WINDOW words; attention
 gates choose the states, and their mean and their total weight give the evidence of the window.
 Windows overlap, cover whole texts, and all are scored: the log odds of a document are a constant plus
 the softplus of the evidence of each window.
 
 Training runs on the driver over a bounded sample of labelled rows: at most SAMPLE_TOXIC toxic and
-SAMPLE_CLEAN clean ones, those with the smallest hash of doc_id, and at most SAMPLE_BYTES of text;
-weights restore the shares that the classes have among all labelled rows. Scoring is a single pass
+SAMPLE_CLEAN clean ones, those with the smallest hash of doc_id, and at most SAMPLE_BYTES of text. At
+the end the log odds are scaled and moved so that they fit the shares that the classes have among all
+labelled rows. Scoring is a single pass
 over the documents with a small broadcast network; the inputs of distinct words are projected once a
 task, in a bounded cache.
 
@@ -20,41 +23,58 @@ documents are scored once each.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tallyline.llm.bpe import added, schema_with
 from tallyline.llm.quality_gam import remainder
-from tallyline.llm.textbytes import mix, utf8
+from tallyline.llm.storage import stored
+from tallyline.llm.textbytes import mix, tidy, utf8
 
 WINDOW, STRIDE = 32, 24
 WORD_DIM = CHAR_DIM = HIDDEN = 8
-GRAMS, GRAMS_OF_A_WORD = 1024, 16
+GRAMS, GRAM_SIZES = 1 << 16, (3, 4, 5)
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1000, 1500, 16_000_000
-LEAST_DOCS, STEPS, BATCH, RATE = 3, 500, 32, 0.02
-CACHE_WORDS = 150_000
+LEAST_DOCS, SHRINK, STEPS, BATCH, RATE = 5, 5.0, 250, 32, 0.015
+CACHE_WORDS = 100_000
 THRESHOLD = 0.7
 WORD = re.compile(r"\w+")
 
 
-def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed trigrams (of bytes, within marks for both ends) of each word, and their weights."""
+class Grams(NamedTuple):
+    """The hashed n-grams of words in a row, and where each word's begin."""
+
+    code: np.ndarray
+    at: np.ndarray
+
+    def per_word(self) -> np.ndarray:
+        return np.diff(np.append(self.at, len(self.code)))
+
+
+def word_grams(words: list[str]) -> Grams:
+    """All n-grams of each word within marks for both ends; every word has at least one."""
     data, at = utf8(pa.array([f"\2{w}\3" for w in words], pa.string()))
-    raw = np.concatenate([data, np.zeros(2, np.uint8)]).astype(np.uint64)
-    code = raw[:-2] << np.uint64(16) | raw[1:-1] << np.uint64(8) | raw[2:]
-    code = (mix(code) % np.uint64(GRAMS)).astype(np.int64)
-    n = np.minimum(np.maximum(np.diff(at) - 2, 1), GRAMS_OF_A_WORD)
-    slot = np.arange(GRAMS_OF_A_WORD)[None]
-    there = slot < n[:, None]
-    place = np.minimum(at[:-1, None] + slot, len(code) - 1)
-    return np.where(there, code[place], 0), (there / n[:, None]).astype(np.float32)
+    word = np.repeat(np.arange(len(words)), np.diff(at))
+    codes, owners = [], []
+    for size in GRAM_SIZES:
+        n = max(0, len(data) - size + 1)
+        code = np.full(n, size, np.uint64)
+        for k in range(size):
+            code = (code << np.uint64(8)) | data[k : k + n]
+        inside = np.flatnonzero(word[:n] == word[size - 1 :]) if n else np.zeros(0, np.int64)
+        codes.append((mix(code[inside]) % np.uint64(GRAMS)).astype(np.int64))
+        owners.append(word[inside])
+    code, owner = np.concatenate(codes), np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return Grams(code[order], np.searchsorted(owner[order], np.arange(len(words))))
 
 
 def window_rows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,8 +96,8 @@ def initial(words: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
 
     size = WORD_DIM + CHAR_DIM
     return {
-        "word": normal(words, WORD_DIM, scale=0.5),
-        "char": normal(GRAMS, CHAR_DIM, scale=0.5),
+        "word": normal(words, WORD_DIM, scale=0.1),
+        "char": normal(GRAMS, CHAR_DIM, scale=0.1),
         "input": normal(2, size, 3 * HIDDEN, scale=size**-0.5),
         "state": normal(2, HIDDEN, 3 * HIDDEN, scale=HIDDEN**-0.5),
         "bias": np.zeros((2, 1, 3 * HIDDEN), np.float32),
@@ -90,13 +110,23 @@ def initial(words: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
     }
 
 
-def projected(net: dict, word: np.ndarray, grams: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def projected(net: dict, word: np.ndarray, grams: Grams) -> tuple[np.ndarray, np.ndarray]:
     """The inputs x of words, and x times the input weights of both directions."""
-    chars = (net["char"][grams] * weights[:, :, None]).sum(1)
-    x = np.concatenate([net["word"][word], chars], 1)
+    chars = np.add.reduceat(net["char"][grams.code], grams.at) / grams.per_word()[:, None].astype(np.float32)
+    x = np.concatenate([net["word"][word], chars.astype(net["char"].dtype)], 1)
     return x, np.matmul(x[None], net["input"]) + net["bias"]
 
 
+def summed(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """The sums of the values of each row number."""
+    out = np.zeros((rows, values.shape[1]), values.dtype)
+    order = np.argsort(row, kind="stable")
+    head = np.flatnonzero(np.diff(row[order], prepend=-1))
+    if len(head):
+        out[row[order[head]]] = np.add.reduceat(values[order], head, axis=0)
+    return out
+
+
 def forward(net: dict, table: np.ndarray, rows: np.ndarray, there: np.ndarray, keep: bool) -> tuple[np.ndarray, list, dict]:
     """Evidence of each window. table: projected words by direction; rows: (2, steps, windows),
     the words in the order in which each direction reads them; there: alike, 1 where there is one."""
@@ -156,13 +186,8 @@ def backward(net: dict, de: np.ndarray, steps: list, kept: dict, rows: np.ndarra
         grad["state"] += np.matmul(h.transpose(0, 2, 1), du)
         each[t] = dx
         dh = dh - dstep * z + np.matmul(du, turned)
-    dtable = np.zeros((2, words, 3 * HIDDEN), np.float32)
-    for side in (0, 1):
-        row = rows[side].ravel()
-        order = np.argsort(row, kind="stable")
-        head = np.flatnonzero(np.diff(row[order], prepend=-1))
-        dtable[side, row[order[head]]] = np.add.reduceat(each[:, side].reshape(len(row), -1)[order], head, axis=0)
-    return grad, dtable
+    dtable = [summed(each[:, k].reshape(-1, 3 * HIDDEN), rows[k].ravel(), words) for k in (0, 1)]
+    return grad, np.stack(dtable)
 
 
 def both_ways(doc: np.ndarray, first: np.ndarray, size: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,22 +203,60 @@ def softplus(x: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, x)
 
 
+def log_odds(rows_of_texts: Iterator[np.ndarray], toxic: np.ndarray, rows: int) -> np.ndarray:
+    """For each word or n-gram, the log odds of the toxic documents that have it, less those of all,
+    drawn towards zero where few have it."""
+    n, with_toxic = np.zeros(rows), np.zeros(rows)
+    for row, label in zip(rows_of_texts, toxic, strict=True):
+        row = np.unique(row)
+        n[row] += 1
+        with_toxic[row] += label
+    base = (toxic.sum() + 1) / (len(toxic) + 2)
+    share = (with_toxic + base) / (n + 1)
+    odds = np.log(share / (1 - share)) - np.log(base / (1 - base))
+    return np.where(n >= LEAST_DOCS, odds * n / (n + SHRINK), 0.0).astype(np.float32)
+
+
+def calibrated(logit: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """Scale and move of the log odds that fit the weighted rows best, by Newton steps."""
+    x = np.stack([logit, np.ones_like(logit)], 1)
+    fit = np.array([1.0, 0.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ fit, -30, 30)))
+        slope = x.T @ (weights * (p - toxic)) + 0.01 * (fit - [1, 0])
+        bend = (x * (weights * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(2)
+        fit = fit - np.clip(np.linalg.solve(bend, slope), -2, 2)
+    return float(max(fit[0], 0.05)), float(fit[1])
+
+
 def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int = 7) -> dict:
-    """A network from labelled texts; weights are those of the rows."""
+    """A network from labelled texts; weights are those of the rows for the calibration."""
     rng = np.random.default_rng(seed)
-    split = [WORD.findall(t.lower()) for t in texts]
-    seen = Counter(w for words in split for w in set(words))
-    vocabulary = {w: k for k, w in enumerate(sorted(w for w, n in seen.items() if n >= LEAST_DOCS), 1)}
-    distinct = {w: k for k, w in enumerate(sorted(seen))}
+    distinct: dict[str, int] = {}
+    coded = [np.array([distinct.setdefault(w, len(distinct)) for w in WORD.findall(t.lower())], np.int32) for t in texts]
+    seen = np.zeros(len(distinct), np.int64)
+    for words in coded:
+        seen[np.unique(words)] += 1
+    known = np.cumsum(seen >= LEAST_DOCS) * (seen >= LEAST_DOCS)  # 0 for the rare ones
+    vocabulary = {w: int(k) for w, k in zip(distinct, known, strict=True) if k}
     net = initial(len(vocabulary) + 1, rng)
-    word_of = np.array([vocabulary.get(w, 0) for w in distinct], np.int64)
-    grams_of, share_of = word_grams(list(distinct)) if distinct else (np.zeros((0, GRAMS_OF_A_WORD), np.int64),) * 2
-    coded = [np.array([distinct[w] for w in words], np.int64) for words in split]
+    every = word_grams(list(distinct))
+    every, many = every._replace(code=every.code.astype(np.int32)), every.per_word()
+    del distinct
+
+    def grams_of(used: np.ndarray) -> Grams:
+        n = many[used]
+        at = np.cumsum(n) - n
+        return Grams(every.code[np.repeat(every.at[used] - at, n) + np.arange(n.sum())], at)
+
+    if len(seen):
+        net["word"][1:, 0] += log_odds((known[w] for w in coded), toxic, len(vocabulary) + 1)[1:]
+        net["char"][:, 0] += log_odds((grams_of(np.unique(w)).code for w in coded), toxic, GRAMS)
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.items()}
     count, batches = 0, max(1, len(texts) // BATCH)
-    while count < STEPS:
-        order = np.argsort(rng.random(len(texts)) + np.array([0.02 * len(c) ** 0.5 for c in coded]), kind="stable")
-        for part in rng.permutation(batches):
+    while count < STEPS and len(seen):
+        order = rng.permutation(len(texts))
+        for part in range(batches):
             chosen = order[part::batches]
             used, local = np.unique(np.concatenate([coded[k] for k in chosen]), return_inverse=True)
             count += 1
@@ -201,26 +264,32 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
                 continue
             doc, first, size = window_rows(np.array([len(coded[k]) for k in chosen]))
             rows, there = both_ways(doc, first, size, local)
-            x, table = projected(net, word_of[used], grams_of[used], share_of[used])
+            grams = grams_of(used)
+            x, table = projected(net, known[used], grams)
             e, steps, kept = forward(net, table, rows, there, True)
             logit = net["base"] + np.bincount(doc, softplus(e), len(chosen))
-            miss = ((1 / (1 + np.exp(-logit)) - toxic[chosen]) * weights[chosen]).astype(np.float32) / len(chosen)
+            miss = ((1 / (1 + np.exp(-logit)) - toxic[chosen]) / len(chosen)).astype(np.float32)
             grad, dtable = backward(net, (miss[doc] * sigmoid(e)).astype(np.float32), steps, kept, rows, there, len(used))
             grad["base"] = np.array([miss.sum()], np.float32)
             grad["bias"] = dtable.sum(1, keepdims=True)
             grad["input"] = np.matmul(x.T[None], dtable)
             dx = np.matmul(dtable, net["input"].transpose(0, 2, 1)).sum(0)
-            grad["word"], grad["char"] = np.zeros_like(net["word"]), np.zeros_like(net["char"])
-            np.add.at(grad["word"], word_of[used], dx[:, :WORD_DIM])
-            for slot in range(GRAMS_OF_A_WORD):
-                np.add.at(grad["char"], grams_of[used, slot], dx[:, WORD_DIM:] * share_of[used, slot, None])
+            grad["word"] = summed(dx[:, :WORD_DIM], known[used], len(net["word"]))
+            n = grams.per_word()
+            grad["char"] = summed(np.repeat(dx[:, WORD_DIM:] / n[:, None].astype(np.float32), n, axis=0), grams.code, GRAMS)
+            size = max(1e-9, float(np.sqrt(sum((g * g).sum() for g in grad.values()))))
             rate = RATE * max(0.1, 1 - count / STEPS) * (1 - 0.999**count) ** 0.5 / (1 - 0.9**count)
             for k, g in grad.items():
                 m, v = moments[k]
+                g = g * min(1.0, 1 / size)
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 net[k] = net[k] - (rate * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
-    return {"net": net, "vocabulary": vocabulary}
+    model = {"net": net, "vocabulary": vocabulary, "scale": 1.0, "move": 0.0}
+    scorer = Scorer(model)
+    odds = np.concatenate([scorer.log_odds(texts[k : k + 100]) for k in range(0, len(texts), 100)])
+    model["scale"], model["move"] = calibrated(odds, toxic, weights)
+    return model
 
 
 class Scorer:
@@ -228,6 +297,7 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.net, self.vocabulary, self.known = model["net"], model["vocabulary"], {}
+        self.scale, self.move = model["scale"], model["move"]
         self.table = np.zeros((2, 0, 3 * HIDDEN), np.float32)
         self.room = 0
 
@@ -236,16 +306,19 @@ class Scorer:
             self.known.clear()
         need = len(self.known) + len(words)
         if need > self.room:
-            self.room = max(2 * need, 20_000)
+            self.room = max(min(2 * need, CACHE_WORDS + len(words)), 20_000)
             grown = np.zeros((2, self.room, 3 * HIDDEN), np.float32)
             grown[:, : self.table.shape[1]] = self.table
             self.table = grown
         at = len(self.known)
         ids = np.array([self.vocabulary.get(w, 0) for w in words], np.int64)
-        self.table[:, at : at + len(words)] = projected(self.net, ids, *word_grams(words))[1]
+        self.table[:, at : at + len(words)] = projected(self.net, ids, word_grams(words))[1]
         self.known.update(zip(words, range(at, at + len(words)), strict=True))
 
     def score(self, texts: list[str | None]) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.scale * self.log_odds(texts) + self.move)))
+
+    def log_odds(self, texts: list[str | None]) -> np.ndarray:
         split = [WORD.findall(t.lower()) if t else [] for t in texts]
         known = self.known
         every = set().union(*split)
@@ -259,8 +332,7 @@ class Scorer:
             cut = slice(a, a + 2000)
             rows, there = both_ways(doc[cut], first[cut], size[cut], words)
             evidence[cut] = forward(self.net, self.table, rows, there, False)[0]
-        logit = self.net["base"] + np.bincount(doc, softplus(evidence), len(texts))
-        return 1 / (1 + np.exp(-logit.astype(float)))
+        return (self.net["base"] + np.bincount(doc, softplus(evidence), len(texts))).astype(float)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict | float:
@@ -275,15 +347,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | float:
     chosen = [known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in limits.items()]
     ids = spark.createDataFrame(chosen[0].unionAll(chosen[1]).collect(), known.schema)  # bounded by limits
     rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id").dropna(subset=["text"])
-    texts, toxic, size = [], [], 0
-    for row in rows.toLocalIterator():
-        size += len(row["text"])
-        if size > SAMPLE_BYTES and len(texts) > 100:
-            break
-        texts.append(row["text"])
-        toxic.append(row["toxic"])
-    y = np.array(toxic, float)
-    if len(set(toxic)) < 2:
+    # One row a document, however often it is given, so no more rows than the limits.
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("first")).select("doc_id", "first.*")
+    rows = stored(rows, "sample")
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "text").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.octet_length("text")).over(order), F.lit(0))
+    sample = rows.withColumn("before", before).filter(F.col("before") < SAMPLE_BYTES).collect()
+    texts, y = [r["text"] for r in sample], np.array([r["toxic"] for r in sample], float)
+    if len(np.unique(y)) < 2:
         return shares[1] / sum(shares.values())
     share = shares[1] / sum(shares.values())
     weights = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
@@ -303,7 +374,7 @@ def scored(docs: DataFrame, model: dict | float) -> DataFrame:
                 score = scorer.score(texts) if scorer else np.full(len(texts), shared.value)
                 yield added(batch, {"score": pa.array(score.astype(float))})
 
-    return docs.mapInArrow(run, schema_with(docs, score=T.DoubleType()))
+    return docs.mapInArrow(tidy(run), schema_with(docs, score=T.DoubleType()))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -77,7 +77,7 @@ def test_gradients_of_the_network():
     net = {k: v.astype(np.float64) for k, v in toxicity.initial(6, rng).items()}
     words = ["scum", "moron", "an", "ré", "tion", "ber", "os"]
     word = np.array([0, 1, 2, 3, 4, 5, 0])
-    grams, shares = toxicity.word_grams(words)
+    grams = toxicity.word_grams(words)
     lengths = np.array([40, 5, 0])
     text = rng.integers(0, len(words), lengths.sum())
     doc, first, size = toxicity.window_rows(lengths)
@@ -85,12 +85,12 @@ def test_gradients_of_the_network():
     truth = np.array([1.0, 0.0, 1.0])
 
     def loss(n: dict) -> float:
-        table = toxicity.projected(n, word, grams, shares)[1]
+        table = toxicity.projected(n, word, grams)[1]
         e = toxicity.forward(n, table, rows, there, False)[0]
         logit = n["base"] + np.bincount(doc, toxicity.softplus(e), 3)
         return float((np.logaddexp(0, logit) - truth * logit).sum())
 
-    x, table = toxicity.projected(net, word, grams, shares)
+    x, table = toxicity.projected(net, word, grams)
     e, steps, kept = toxicity.forward(net, table, rows, there, True)
     logit = net["base"] + np.bincount(doc, toxicity.softplus(e), 3)
     miss = 1 / (1 + np.exp(-logit)) - truth
