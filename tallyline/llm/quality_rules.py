@@ -8,8 +8,9 @@ one integer), searched by binary search. Up to `MODEL_ROWS` rows it is broadcast
 joined to each text's distinct n-grams instead, with the same results.
 
 A document's entropy is its mean negative log2 probability per byte, and its perplexity 2 to the
-power of that. The bands of a language lie FENCE interquartile ranges below its lower and above its
-upper quartile, from a histogram of all its documents; a document outside is rejected.
+power of that. The limits of a language lie REACH times as far from its median as the percentiles TAIL
+and 1 - TAIL, from a histogram of all its documents; a document outside is rejected. So a language whose
+clean documents vary much has a wide band.
 
 Null texts have no words; a document without words fails the base rule, and so does one with under 20.
 A null lang is a language of its own. Repeated rows are judged and returned once each. Columns of the
@@ -29,10 +30,10 @@ from pyspark.sql.window import Window
 
 from tallyline.llm.bpe import added, schema_with
 from tallyline.llm.storage import stored
-from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, per_text, runs, table, utf8, windows
+from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, per_text, runs, table, tidy, utf8, windows
 
 ORDER = 4
-FENCE = 6.0
+REACH, TAIL = 2.0, 0.01
 BINS_PER_BIT = 200
 MODEL_ROWS = 3_000_000
 BROADCAST_LANGUAGES = 10_000
@@ -142,7 +143,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
             names=["lang", "gram", "n"],
         )
 
-    rows = docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
+    rows = docs.select("lang", "text").mapInArrow(tidy(run), "lang string, gram long, n long")
     return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -265,7 +266,7 @@ def measured(docs: DataFrame, model: dict | None, order: int) -> DataFrame:
     kinds = {name: T.LongType() for name in COUNTS}
     if shared is not None:
         kinds["bits"] = T.DoubleType()
-    return docs.mapInArrow(run, schema_with(docs, **kinds))
+    return docs.mapInArrow(tidy(run), schema_with(docs, **kinds))
 
 
 def joined_bits(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
@@ -287,23 +288,28 @@ def joined_bits(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
                         names=["row_id", "lang", "gram", "times"],
                     )
 
-    rows = docs.select("row_id", "lang", "text").mapInArrow(run, "row_id long, lang string, gram long, times long")
+    rows = docs.select("row_id", "lang", "text").mapInArrow(tidy(run), "row_id long, lang string, gram long, times long")
     met = rows.join(model.select("lang", "gram", "value"), ["lang", "gram"])
     return met.groupBy("row_id").agg((-F.sum(F.col("times") * F.col("value")) / F.sum("times")).alias("bits"))
 
 
-def bands(scored: DataFrame, fence: float = FENCE) -> DataFrame:
+def bands(scored: DataFrame, reach: float = REACH) -> DataFrame:
     """lang, low and high: bits per byte outside of which documents of the language are rejected."""
     bins = scored.groupBy("lang", F.floor(F.col("bits") * BINS_PER_BIT).alias("bin")).count()
     up = Window.partitionBy("lang").orderBy("bin")
     bins = bins.withColumns({"upto": F.sum("count").over(up), "total": F.sum("count").over(Window.partitionBy("lang"))})
     level = (F.col("bin") + 0.5) / BINS_PER_BIT
-    quarter = bins.groupBy("lang").agg(*[F.min(F.when(F.col("upto") >= q * F.col("total"), level)).alias(name) for q, name in ((0.25, "q1"), (0.75, "q3"))])
-    spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(1 / BINS_PER_BIT)) * fence
-    return quarter.select("lang", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
+    places = {"low": TAIL, "middle": 0.5, "high": 1 - TAIL}
+    found = bins.groupBy("lang").agg(
+        *[F.min(F.when(F.col("upto") >= q * F.col("total"), level)).alias(name) for name, q in places.items()]
+    )
+    least = F.lit(1 / BINS_PER_BIT)
+    down = F.greatest(F.col("middle") - F.col("low"), least) * reach
+    up = F.greatest(F.col("high") - F.col("middle"), least) * reach
+    return found.select("lang", (F.col("middle") - down).alias("low"), (F.col("middle") + up).alias("high"))
 
 
-def assess(docs: DataFrame, keep: list[str], order: int = ORDER, fence: float = FENCE, model_rows: int = MODEL_ROWS) -> DataFrame:
+def assess(docs: DataFrame, keep: list[str], order: int = ORDER, reach: float = REACH, model_rows: int = MODEL_ROWS) -> DataFrame:
     """The columns `keep` of all rows with the base counts, perplexity, base_failed and kept."""
     source = docs.select(*keep, *[c for c in ("lang", "text") if c not in keep])
     model = kneser_ney(stored(count_grams(source, order), "grams"), order)
@@ -318,7 +324,7 @@ def assess(docs: DataFrame, keep: list[str], order: int = ORDER, fence: float =
         scored = scored.drop("row_id").fillna(0.0, ["bits"])
     key = F.coalesce(F.col("lang"), F.lit("")).alias("band_lang")
     scored = stored(scored.select(*keep, *COUNTS, "bits", key), "scored")
-    limits = stored(bands(scored.withColumn("lang", F.col("band_lang")), fence), "bands")
+    limits = stored(bands(scored.withColumn("lang", F.col("band_lang")), reach), "bands")
     limits = limits.withColumnRenamed("lang", "band_lang")
     if limits.count() <= BROADCAST_LANGUAGES:
         limits = F.broadcast(limits)
