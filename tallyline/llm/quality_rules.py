@@ -154,6 +154,12 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     for size in range(order - 1, 0, -1):  # the number of different bytes before it
         shorter = (F.col("gram").bitwiseAND((1 << 8 * size) - 1)).alias("gram")
         levels[size] = levels[size + 1].groupBy("lang", shorter).agg(F.count("*").alias("n"))
+    few = counts.select("lang").distinct().count() <= BROADCAST_LANGUAGES
+
+    def narrow(table: DataFrame) -> DataFrame:
+        """A table of a row for each language, for joins that need not deal rows by language."""
+        return F.broadcast(table) if few else table
+
     lower, out = None, []
     for size in range(1, order + 1):
         rows = levels[size].withColumn("context", F.shiftright("gram", 8))
@@ -165,10 +171,10 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
             for k in (1, 2, 3)
         ])
         own = Window.partitionBy("lang", "context")
-        rows = rows.join(cut, "lang").withColumn("off", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
+        rows = rows.join(narrow(cut), "lang").withColumn("off", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
         if size == 1:  # one context; summed up before it is joined
             total = rows.groupBy("lang").agg(F.sum("n").alias("total"), F.sum("off").alias("cut"))
-            rows = rows.join(total, "lang")
+            rows = rows.join(narrow(total), "lang")
         else:
             rows = rows.withColumns({"total": F.sum("n").over(own), "cut": F.sum("off").over(own)})
         rows = rows.withColumns({"weight": F.col("cut") / F.col("total"), "share": (F.col("n") - F.col("off")) / F.col("total")})
