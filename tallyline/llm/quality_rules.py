@@ -1,16 +1,22 @@
 """Quality rules: counts of words, symbols and repeats, and n-gram perplexity bands by language.
 
 The language model is an interpolated modified Kneser-Ney model over the UTF-8 bytes of the texts
-(digits count as one byte value), one for each value of lang. Spark counts the n-grams of all
-documents, each task adding up its own first, and smooths the counts with DataFrame operations. The
-finished model is a set of sorted arrays of packed n-grams (a hash without collisions, as n bytes fit
-one integer), searched by binary search. Up to `MODEL_ROWS` rows it is broadcast; a larger one is
-joined to each text's distinct n-grams instead, with the same results.
+(digits count as one byte value), one for each value of lang and half of its documents, dealt by a hash
+of the text. A document is scored by the model of the other half, so neither its own n-grams nor those
+of its copies make it likely. Only documents that pass the base rules and have no more symbols a word
+than their language's limit teach a model: PLAIN_SYMBOLS, or twice the median where that is more. Junk
+that is frequent in the corpus is thus not learned. Spark counts the n-grams of these documents, each
+task adding up its own first, and smooths the counts with DataFrame operations. The finished model is a
+set of sorted arrays of packed n-grams (a hash without collisions, as n bytes fit one integer), searched
+by binary search. Up to `MODEL_ROWS` rows it is broadcast; a larger one is joined to each text's distinct
+n-grams instead, with the same results.
 
 A document's entropy is its mean negative log2 probability per byte, and its perplexity 2 to the
-power of that. The limits of a language lie REACH times as far from its median as the percentiles TAIL
-and 1 - TAIL, from a histogram of all its documents; a document outside is rejected. So a language whose
-clean documents vary much has a wide band.
+power of that. The limits of a language lie REACH spreads from the median of the documents that teach,
+from a histogram; a document outside is rejected. The spread is the larger distance from the median to
+the percentiles TAIL and 1 - TAIL, which lie so far within that a tenth of junk or a third of copies
+hardly moves them, and at least SLACK bits divided by the root of the number of documents. A document
+whose language has no other half is scored as bytes of equal chance.
 
 Null texts have no words; a document without words fails the base rule, and so does one with under 20.
 A null lang is a language of its own. Repeated rows are judged and returned once each. Columns of the
@@ -33,7 +39,8 @@ from tallyline.llm.storage import stored
 from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, per_text, runs, table, tidy, utf8, windows
 
 ORDER = 4
-REACH, TAIL = 2.0, 0.01
+REACH, TAIL, SLACK = 12.0, 0.2, 1.0
+PLAIN_SYMBOLS = 0.1
 BINS_PER_BIT = 200
 MODEL_ROWS = 3_000_000
 BROADCAST_LANGUAGES = 10_000
@@ -104,15 +111,32 @@ def grams(data: np.ndarray, at: np.ndarray, order: int) -> tuple[np.ndarray, np.
     return code[within[pad:]], owner[within[pad:]]
 
 
-def by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+def base_failed(n_words, n_repeat_words):
+    """The base rules, of columns or of arrays."""
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
+
+
+def by_language(batch: pa.RecordBatch, name: str = "lang") -> Iterator[tuple[str, np.ndarray]]:
     """Each language of a batch ('' for null) and its rows."""
-    langs = batch.column(batch.schema.names.index("lang")).fill_null("").to_numpy(zero_copy_only=False)
+    langs = batch.column(batch.schema.names.index(name)).fill_null("").to_numpy(zero_copy_only=False)
     for lang in sorted(set(langs)):
         yield lang, np.flatnonzero(langs == lang)
 
 
+def teaching(texts: pa.Array, most: np.ndarray) -> pa.Array:
+    """The texts that pass the base rules and have at most so many symbols a word."""
+    data, at = utf8(texts)
+    chosen = np.zeros(len(texts), bool)
+    for first, last in blocks(at):
+        counts = base_counts(data[at[first] : at[last]], at[first : last + 1] - at[first])
+        plain = counts["n_symbols"] <= most[first:last] * counts["n_words"]
+        chosen[first:last] = plain & ~base_failed(counts["n_words"], counts["n_repeat_words"])
+    return texts.filter(pa.array(chosen))
+
+
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """lang, gram and n over all documents."""
+    """lang, gram and n over all documents; given most_symbols, over those that teach."""
+    columns = ["lang", "text"] + ["most_symbols"] * ("most_symbols" in docs.columns)
 
     def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         codes, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
@@ -122,7 +146,11 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
         kept: dict[str, list] = {}
         for batch in batches:
             for lang, rows in by_language(batch):
-                data, at = utf8(batch.column(batch.schema.names.index("text")).take(pa.array(rows)))
+                texts = batch.column(batch.schema.names.index("text")).take(pa.array(rows))
+                if "most_symbols" in batch.schema.names:
+                    most = batch.column(batch.schema.names.index("most_symbols")).to_numpy(zero_copy_only=False)
+                    texts = teaching(texts, most[rows])
+                data, at = utf8(texts)
                 for first, last in blocks(at):
                     codes, _ = grams(data[at[first] : at[last]], at[first : last + 1] - at[first], order)
                     parts = kept.setdefault(lang, [])
@@ -143,7 +171,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
             names=["lang", "gram", "n"],
         )
 
-    rows = docs.select("lang", "text").mapInArrow(tidy(run), "lang string, gram long, n long")
+    rows = docs.select(*columns).mapInArrow(tidy(run), "lang string, gram long, n long")
     return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -247,8 +275,8 @@ def entropies(model: dict, lang: str, data: np.ndarray, at: np.ndarray, order: i
     return -np.bincount(owner, each, n) / np.maximum(1, np.bincount(owner, minlength=n))
 
 
-def measured(docs: DataFrame, model: dict | None, order: int) -> DataFrame:
-    """The rows with the base counts, and with bits per byte if a model is given."""
+def measured(docs: DataFrame, model: dict | None, order: int, by: str = "lang") -> DataFrame:
+    """The rows with the base counts, and with bits per byte if a model is given, whose parts `by` names."""
     shared = docs.sparkSession.sparkContext.broadcast(model) if model is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +284,7 @@ def measured(docs: DataFrame, model: dict | None, order: int) -> DataFrame:
             column = batch.column(batch.schema.names.index("text"))
             out = {name: np.zeros(batch.num_rows, np.int64) for name in COUNTS}
             bits = np.zeros(batch.num_rows)
-            for lang, rows in by_language(batch):
+            for lang, rows in by_language(batch, by):
                 data, at = utf8(column.take(pa.array(rows)))
                 for first, last in blocks(at):
                     for low in range(first, last, 1 << 20):
@@ -276,10 +304,7 @@ def measured(docs: DataFrame, model: dict | None, order: int) -> DataFrame:
 
 
 def joined_bits(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
-    """row_id and bits, by joining each text's distinct n-grams to a model too large to broadcast.
-
-    model has the n-grams of the largest size, among them all of these texts.
-    """
+    """row_id and bits, by joining each text's distinct n-grams to a model too large to broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,10 +320,48 @@ def joined_bits(docs: DataFrame, model: DataFrame, order: int) -> DataFrame:
                     )
 
     rows = docs.select("row_id", "lang", "text").mapInArrow(tidy(run), "row_id long, lang string, gram long, times long")
-    met = rows.join(model.select("lang", "gram", "value"), ["lang", "gram"])
+    rows = stored(rows, "document_grams")
+    chances = joined_chances(rows.select("lang", "gram").distinct(), model, order)
+    met = rows.join(chances, ["lang", "gram"])
     return met.groupBy("row_id").agg((-F.sum(F.col("times") * F.col("value")) / F.sum("times")).alias("bits"))
 
 
+def joined_chances(wanted: DataFrame, model: DataFrame, order: int) -> DataFrame:
+    """lang, gram and value: the log2 probabilities of n-grams; unseen ones fall back on shorter ones.
+
+    Every size looks up its own distinct n-grams, so a key meets at most 256 rows.
+    """
+    tail = {size: F.col("gram").bitwiseAND((1 << 8 * (size - 1)) - 1) for size in range(1, order + 1)}
+    levels = {order: wanted}
+    for size in range(order - 1, 0, -1):
+        levels[size] = levels[size + 1].select("lang", tail[size + 1].alias("gram")).distinct()
+    lower = None
+    for size in range(1, order + 1):
+        part = model.filter(F.col("size") == size)
+        own = part.filter("kind = 0").select("lang", "gram", F.col("value").alias("own"))
+        weight = part.filter("kind = 1").select("lang", F.col("gram").alias("context"), F.col("value").alias("weight"))
+        rows = levels[size].withColumns({"context": F.shiftright("gram", 8), "tail": tail[size]})
+        rows = rows.join(own, ["lang", "gram"], "left").join(weight, ["lang", "context"], "left")
+        below = F.lit(-8.0)
+        if lower is not None:
+            rows, below = rows.join(lower, ["lang", "tail"]), F.col("below")
+        value = F.coalesce("own", F.coalesce("weight", F.lit(0.0)) + below)
+        out = rows.select("lang", "gram", value.alias("value"))
+        lower = out.select("lang", F.col("gram").alias("tail"), F.col("value").alias("below"))
+    return out
+
+
+def symbol_limits(docs: DataFrame) -> DataFrame:
+    """lang and most_symbols: how many symbols a word a document that teaches may have."""
+    counted = measured(docs.select("lang", "text"), None, ORDER)
+    counted = counted.filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    bins = counted.groupBy("lang", F.floor(100 * F.col("n_symbols") / F.col("n_words")).alias("bin")).count()
+    up = Window.partitionBy("lang").orderBy("bin")
+    bins = bins.withColumns({"upto": F.sum("count").over(up), "total": F.sum("count").over(Window.partitionBy("lang"))})
+    middle = F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("bin") + 1)) / 100
+    return bins.groupBy("lang").agg(F.greatest(F.lit(PLAIN_SYMBOLS), 2 * middle).alias("most_symbols"))
+
+
 def bands(scored: DataFrame, reach: float = REACH) -> DataFrame:
     """lang, low and high: bits per byte outside of which documents of the language are rejected."""
     bins = scored.groupBy("lang", F.floor(F.col("bits") * BINS_PER_BIT).alias("bin")).count()
@@ -307,40 +370,46 @@ def bands(scored: DataFrame, reach: float = REACH) -> DataFrame:
     level = (F.col("bin") + 0.5) / BINS_PER_BIT
     places = {"low": TAIL, "middle": 0.5, "high": 1 - TAIL}
     found = bins.groupBy("lang").agg(
-        *[F.min(F.when(F.col("upto") >= q * F.col("total"), level)).alias(name) for name, q in places.items()]
+        *[F.min(F.when(F.col("upto") >= q * F.col("total"), level)).alias(name) for name, q in places.items()],
+        F.first("total").alias("total"),
     )
-    least = F.lit(1 / BINS_PER_BIT)
-    down = F.greatest(F.col("middle") - F.col("low"), least) * reach
-    up = F.greatest(F.col("high") - F.col("middle"), least) * reach
-    return found.select("lang", (F.col("middle") - down).alias("low"), (F.col("middle") + up).alias("high"))
+    least = F.greatest(F.lit(1 / BINS_PER_BIT), SLACK / F.sqrt("total"))
+    spread = F.greatest(F.col("middle") - F.col("low"), F.col("high") - F.col("middle"), least) * reach
+    return found.select("lang", (F.col("middle") - spread).alias("low"), (F.col("middle") + spread).alias("high"))
 
 
 def assess(docs: DataFrame, keep: list[str], order: int = ORDER, reach: float = REACH, model_rows: int = MODEL_ROWS) -> DataFrame:
     """The columns `keep` of all rows with the base counts, perplexity, base_failed and kept."""
     source = docs.select(*keep, *[c for c in ("lang", "text") if c not in keep])
-    model = kneser_ney(stored(count_grams(source, order), "grams"), order)
-    # The documents themselves were counted, so none of their n-grams falls back on shorter ones.
-    model = stored(model.filter((F.col("size") == order) & (F.col("kind") == 0)), "model")
+    language = F.coalesce(F.col("lang"), F.lit(""))
+    symbols = stored(symbol_limits(source.withColumn("lang", language)), "symbols").withColumnRenamed("lang", "band_lang")
+    if symbols.count() <= BROADCAST_LANGUAGES:
+        symbols = F.broadcast(symbols)
+    half = F.pmod(F.xxhash64("text"), F.lit(2))
+    source = source.withColumn("band_lang", language).join(symbols, "band_lang", "left").fillna(0.0, ["most_symbols"])
+    source = source.withColumns({"scored_by": F.concat_ws("\n", "band_lang", half), "teaches": F.concat_ws("\n", "band_lang", 1 - half)})
+    taught = source.select(F.col("teaches").alias("lang"), "text", "most_symbols")
+    model = stored(kneser_ney(stored(count_grams(taught, order), "grams"), order), "model")
     if model.count() <= model_rows:
-        scored = measured(source, arrays_of(model), order)
+        scored = measured(source, arrays_of(model), order, "scored_by")
     else:
         numbered = stored(source.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
-        bits = joined_bits(numbered, model, order)
-        scored = measured(numbered, None, order).join(bits, "row_id", "left")
+        bits = joined_bits(numbered.select("row_id", F.col("scored_by").alias("lang"), "text"), model, order)
+        scored = measured(numbered, None, order).drop("bits").join(bits, "row_id", "left")
         scored = scored.drop("row_id").fillna(0.0, ["bits"])
-    key = F.coalesce(F.col("lang"), F.lit("")).alias("band_lang")
-    scored = stored(scored.select(*keep, *COUNTS, "bits", key), "scored")
-    limits = stored(bands(scored.withColumn("lang", F.col("band_lang")), reach), "bands")
+    scored = stored(scored.select(*keep, *COUNTS, "bits", "band_lang", "most_symbols"), "scored")
+    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
+    plain = scored.filter(~failed & (F.col("n_symbols") <= F.col("most_symbols") * F.col("n_words")))
+    limits = stored(bands(plain.select(F.col("band_lang").alias("lang"), "bits"), reach), "bands")
     limits = limits.withColumnRenamed("lang", "band_lang")
     if limits.count() <= BROADCAST_LANGUAGES:
         limits = F.broadcast(limits)
-    judged = scored.join(limits, "band_lang")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    judged = scored.join(limits, "band_lang", "left")
     within = F.col("bits").between(F.col("low"), F.col("high"))
     return judged.select(
         *keep,
         *COUNTS,
         F.pow(F.lit(2.0), "bits").alias("perplexity"),
         failed.alias("base_failed"),
-        (~failed & within).alias("kept"),
+        (~failed & F.coalesce(within, F.lit(False))).alias("kept"),
     )

@@ -231,6 +231,38 @@ def test_unlike_text_is_rejected(spark):
     assert all(v for k, v in kept.items() if k != 999)
 
 
+@pytest.mark.parametrize("percent", [3, 10])
+def test_frequent_junk_is_rejected(spark, percent):
+    """Junk of one make, more of it than the outer percentiles of a language."""
+    from .cases import prose
+
+    clean = [(k, prose(k, 80), "en", "a", 0) for k in range(400)]
+    rng, texts = random.Random(1), []
+    for k in range(400 * percent // 100):
+        words = prose(5000 + k, 80).split()
+        kind = k % 3
+        if kind == 0:
+            words = [w + rng.choice(["###", "$$$", "%%%"]) for w in words]
+        elif kind == 1:
+            words = [w + " |" for w in words]
+        else:
+            words = ["".join(rng.choices("bcdfghjkqvwxz", k=7)) for _ in words]
+        texts.append(" ".join(words))
+    junk = [(1000 + k, t, "en", "a", 0) for k, t in enumerate(texts)]
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.assess(spark.createDataFrame(clean + junk, SCHEMA), ["doc_id"]).collect()}
+    assert not [k for k, v in kept.items() if k >= 1000 and v]
+    assert all(v for k, v in kept.items() if k < 1000)
+
+
+def test_a_language_of_symbols_teaches_its_model(spark):
+    from .cases import prose
+
+    rows = [(k, prose(k, 80).replace(" ", " $ "), "sh", "a", 0) for k in range(100)]
+    rows.append((999, " ".join(f"{k:x}q{k * 7919:x}" for k in range(60)), "sh", "a", 0))
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.assess(spark.createDataFrame(rows, SCHEMA), ["doc_id"]).collect()}
+    assert {k for k, v in kept.items() if not v} == {999}
+
+
 def license_rows() -> list[tuple]:
     mit = next(iter(license_scan.TEMPLATES))
     words = mit.split()
