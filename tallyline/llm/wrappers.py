@@ -7,12 +7,13 @@ for each host, and the tasks' expressions are folded in two further steps, by (h
 host, so a host that a third of all pages belong to is a few small rows. An expression grows with
 the variety of the host's markup, not with its pages.
 
-On the finished expression elements are marked: menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments by their names; without a main element (article, main, or
-one named like them) also elements of mostly links, and texts that are the same on all of three or
-more pages. Every page is then aligned with its host's expression, and the texts of the elements that
-stay are its main text: references decoded, white space in a block made one space, blocks joined by
-line ends. A header or heading within the article belongs to it.
+Elements of mostly links, and texts that are the same on all of three or more pages, are marked on the
+finished expression. Every page is aligned with its host's expression. Menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments are dropped by their names. The main
+element is that of the page, whatever other pages of the host have: article, else main, else one named
+like them, the first of these that has text; on a page without one the marked elements are dropped too.
+The texts of the elements that stay are the main text: references decoded, white space in a block made
+one space, blocks joined by line ends. A header or heading within the article belongs to it.
 
 Null and empty pages, and pages without main text, give an empty text. A page without a host is of
 the host ''. Elements nested deeper than DEEPEST are read as part of the element at that depth.
@@ -214,85 +215,138 @@ def names_of(label: str) -> tuple[str, str]:
     return tag, names
 
 
-def dropped_by_name(label: str, inside: bool) -> bool:
+def dropped_by_tag(label: str) -> bool:
     tag, names = names_of(label)
-    if tag in DROPPED_TAGS or "hidden" in names.split() or (names and DROPPED_NAMES.search(names) is not None):
-        return True
-    return not inside and (tag == "header" or (names and TOP_ONLY.search(names) is not None))
+    return tag in DROPPED_TAGS or "hidden" in names.split()
 
 
-def total(element: list, field: int) -> int:
-    return element[field] + sum(total(c, field) for c in element[CHILDREN])
+def dropped_by_name(label: str) -> bool:
+    return DROPPED_NAMES.search(names_of(label)[1]) is not None
 
 
-def mains(element: list, kind: int) -> Iterator[list]:
-    """Outermost elements that are the main text by their name: article, then main, then others."""
-    tag, names = names_of(element[LABEL])
-    if dropped_by_name(element[LABEL], False):
-        return
-    found = tag == "article" if kind == 0 else tag == "main" or "main" in names.split() if kind == 1 else bool(names and MAIN_NAMES.search(names))
-    if found and total(element, LETTERS):
-        yield element
-        return
-    for child in element[CHILDREN]:
-        yield from mains(child, kind)
+def dropped_outside(label: str) -> bool:
+    """Whether it is dropped unless it is within the main element."""
+    tag, names = names_of(label)
+    return tag == "header" or TOP_ONLY.search(names) is not None
 
 
-def rules(root: list) -> list:
-    """The expression as [label, keep own text, repeated, children], for extraction."""
-    chosen: list = []
-    for kind in range(3):
-        chosen = list(mains(root, kind))
-        if chosen:
-            break
-    places = {id(e) for e in chosen}
-
-    def marked(element: list, inside: bool, gone: bool) -> list:
-        inside = inside or id(element) in places
-        gone = gone or (id(element) not in places and dropped_by_name(element[LABEL], inside))
-        if not chosen and not gone:
-            letters = total(element, LETTERS)
-            gone = element[LABEL] != "html" and letters > 0 and 2 * total(element, LINKED) > letters
-            constant = element[SEEN] >= 3 and element[TEXTS] > 0
-        else:
-            constant = False
-        keep = not gone and not constant and (inside or not chosen)
-        return [element[LABEL], int(keep), element[REPEATED], [marked(c, inside, gone) for c in element[CHILDREN]]]
+def main_kind(label: str) -> int | None:
+    """0: article, 1: main, 2: others with such a name."""
+    tag, names = names_of(label)
+    return 0 if tag == "article" else 1 if tag == "main" or "main" in names.split() else 2 if MAIN_NAMES.search(names) else None
+
 
-    return marked(root, False, False)
+def rules(root: list) -> list:
+    """The expression as [label, marks, children], for extraction: 1 mostly links, 2 the same text on all pages."""
+    made = [root[LABEL], 0, []]
+    order, stack = [], [(root, made, -1)]
+    while stack:
+        element, rule, parent = stack.pop()
+        number = len(order)
+        order.append((element, rule, parent))
+        for child in element[CHILDREN]:
+            rule[2].append([child[LABEL], 0, []])
+            stack.append((child, rule[2][-1], number))
+    totals = [[e[LETTERS], e[LINKED]] for e, _, _ in order]
+    for number in range(len(order) - 1, -1, -1):
+        element, rule, parent = order[number]
+        letters, linked = totals[number]
+        links = element[LABEL] != "html" and letters > 0 and 2 * linked > letters
+        rule[1] = int(links) | 2 * int(element[SEEN] >= 3 and element[TEXTS] > 0)
+        if number:
+            totals[parent][0] += letters
+            totals[parent][1] += linked
+    return made
+
+
+class Page:
+    """The elements of a page in order, aligned with its host's expression, and its texts between block ends."""
+
+    def __init__(self, html: str, rule: list):
+        self.labels, self.parents, self.marks = ["html"], [-1], [rule[1]]
+        self.texts: list[tuple[int, str, bool] | None] = []  # None: a block begins or ends
+        stack = [[0, iter(parsed(html)[1]), rule[2], 0]]
+        while stack:
+            top = stack[-1]
+            number, nodes, children, k = top
+            for child in nodes:
+                if isinstance(child, tuple):
+                    self.texts.append((number, *child))
+                    continue
+                self.texts.append(None)
+                if not (k < len(children) and children[k][0] == child[0]):
+                    k = next((i for i in [*range(k, len(children)), *range(k)] if children[i][0] == child[0]), k)
+                same = k < len(children) and children[k][0] == child[0]
+                top[3] = k
+                self.labels.append(child[0])
+                self.parents.append(number)
+                self.marks.append(children[k][1] if same else 0)
+                stack.append([len(self.labels) - 1, iter(child[1]), children[k][2] if same else [], 0])
+                break
+            else:
+                stack.pop()
+                self.texts.append(None)
+        self.by_tag = [dropped_by_tag(x) for x in self.labels]
+        self.by_name = [dropped_by_name(x) for x in self.labels]
+        self.outside = [dropped_outside(x) for x in self.labels]
+        self.kinds = [main_kind(x) for x in self.labels]
+
+    def sums(self, linked: bool, dropped: list[bool]) -> list[int]:
+        """For each element the letters in it, with those in links or not, but without dropped elements in it."""
+        out = [0] * len(self.labels)
+        for number, text, link in filter(None, self.texts):
+            if (linked or not link) and not text.isspace():
+                out[number] += len(text)
+        for number in range(len(out) - 1, 0, -1):
+            if not dropped[number]:
+                out[self.parents[number]] += out[number]
+        return out
+
+    def dropped(self) -> list[bool]:
+        return [a or b for a, b in zip(self.by_tag, self.by_name, strict=True)]
+
+    def mains(self) -> list[int]:
+        """The outermost main elements of the first kind that has text."""
+        dropped = self.dropped()
+        letters = self.sums(True, dropped)
+        for kind in range(3):
+            found, closed = [], [False] * len(letters)
+            for number, parent in enumerate(self.parents):
+                closed[number] = (number > 0 and closed[parent]) or dropped[number] or self.outside[number]
+                if not closed[number] and self.kinds[number] == kind and letters[number]:
+                    found.append(number)
+                    closed[number] = True
+            if found:
+                return found
+        return []
+
+    def kept(self, chosen: list[int], constant: bool) -> list[bool]:
+        """Whether the own text of each element stays; without a main element, constant texts are dropped."""
+        dropped, mains = self.dropped(), set(chosen)
+        inside, gone, out = [False] * len(dropped), [False] * len(dropped), []
+        for number, parent in enumerate(self.parents):
+            inside[number] = number in mains or (number > 0 and inside[parent])
+            gone[number] = (number > 0 and gone[parent]) or dropped[number] or (self.outside[number] and not inside[number])
+            marks = 0 if chosen else self.marks[number]
+            gone[number] = gone[number] or marks & 1 > 0
+            out.append(not gone[number] and not (constant and marks & 2) and (inside[number] or not chosen))
+        return out
 
 
 def main_text(html: str, rule: list) -> str:
     """The texts of the kept elements of a page that is aligned with its host's expression."""
+    page = Page(html, rule)
+    keep = page.kept(page.mains(), True)
     out, piece = [], []
-
-    def ended() -> None:
-        if piece:
+    for part in [*page.texts, None]:
+        if part is not None:
+            if keep[part[0]]:
+                piece.append(part[1])
+        elif piece:
             text = " ".join(unescape("".join(piece)).split())
             piece.clear()
             if text:
                 out.append(text)
-
-    def read(node: list, rule: list) -> None:
-        _, keep, _, children = rule
-        k = 0
-        for child in node[1]:
-            if isinstance(child, tuple):
-                if keep:
-                    piece.append(child[0])
-                continue
-            ended()
-            if k < len(children) and children[k][0] == child[0]:
-                place = k
-            else:
-                place = next((i for i in [*range(k, len(children)), *range(k)] if children[i][0] == child[0]), None)
-            if place is not None:
-                read(child, children[place])
-                k = place
-            ended()
-
-    read(parsed(html), rule)
-    ended()
     return "\n".join(out)
 
 

@@ -212,6 +212,22 @@ def test_links_and_repeated_texts_are_left_out_without_a_main_element(spark):
     assert {r["page_id"]: r["text"] for r in found} == {k: prose(k, 20) for k in range(4)}
 
 
+def texts_of(spark, htmls: list[str], url: str | None = "http://h.example/") -> list[str]:
+    rows = [(k, url, html) for k, html in enumerate(htmls)]
+    found = wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["page_id"])]
+
+
+@pytest.mark.parametrize("url", ["http://h.example/", None, "/relative"])
+def test_a_host_of_several_templates(spark, url):
+    front = "<nav>n</nav><article>card one</article><article>card two</article>"
+    empty = "<article> </article><main><p>fallen through</p></main>"
+    others = ["<nav>n</nav><main><p>{}</p></main>", "<div id=content><p>{}</p></div>", "<div class=post-content>{}</div>", "<div><p>{}</p></div>"]
+    texts = [prose(k, 20) for k in range(len(others))]
+    got = texts_of(spark, [front, empty, *[x.format(t) for x, t in zip(others, texts, strict=True)]], url)
+    assert got == ["card one\ncard two", "fallen through", *texts]
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     """A folder with documents and labels, and columns that clash with the operators' own."""
