@@ -9,8 +9,8 @@ the variety of the host's markup, not with its pages.
 
 Elements of mostly links, and texts that are the same on all of three or more pages, are marked on the
 finished expression. Every page is aligned with its host's expression. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are dropped by their names. The main
-element is that of the page, whatever other pages of the host have: article, else main, else one named
+notices, adverts, forms, scripts, styles and reader comments are dropped by their names,
+but not an element that a page's text is in (`Page.layout`). The main element is that of the page, whatever other pages of the host have: article, else main, else one named
 like them, the first of these that has text; on a page without one the marked elements are dropped too.
 The texts of the elements that stay are the main text: references decoded, white space in a block made
 one space, blocks joined by line ends. A header or heading within the article belongs to it.
@@ -54,6 +54,8 @@ DROPPED_NAMES = re.compile(
     r"(?:^|[-_ ])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|sharing|social"
     r"|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|footer|comments?|commentlist|replies|respond|disqus|related|widget|login|signup|search|complementary|contentinfo)(?:$|[-_ ])"
 )
+#: Names of the same words that tell how a page is laid out.
+LAYOUT_NAMES = re.compile(r"(?:^|-|_| )(?:has|no|with|without|left|right|one|two|three|wrap|wrapper|container|inner|outer|row|grid|columns?|cols?|layout|content|main|page|site|enabled|disabled)(?:$|-|_| )")
 TOP_ONLY = re.compile(r"(?:^|[-_ ])(?:header|masthead|topbar|top-bar)(?:$|[-_ ])")
 MAIN_NAMES = re.compile(r"(?:^|[-_ ])(?:article|article-body|post|post-content|entry|entry-content|story|content|main|main-content)(?:$|[-_ ])")
 
@@ -290,6 +292,8 @@ class Page:
         self.by_name = [dropped_by_name(x) for x in self.labels]
         self.outside = [dropped_outside(x) for x in self.labels]
         self.kinds = [main_kind(x) for x in self.labels]
+        for number in self.layout():
+            self.by_name[number] = False
 
     def sums(self, linked: bool, dropped: list[bool]) -> list[int]:
         """For each element the letters in it, with those in links or not, but without dropped elements in it."""
@@ -305,6 +309,35 @@ class Page:
     def dropped(self) -> list[bool]:
         return [a or b for a, b in zip(self.by_tag, self.by_name, strict=True)]
 
+    def layout(self) -> list[int]:
+        """Elements with a dropped name that hold the page's text.
+
+        Such an element stays if most of the page's text outside links is in it, and there is no main
+        element outside elements of that kind, or less text in that than in main elements within, or
+        the name is one of layouts; and a layout that holds the only main element stays.
+        """
+        named = [n for n, x in enumerate(self.by_name) if x and not self.by_tag[n]]
+        if not named:
+            return []
+        chosen = self.mains()
+        letters = self.sums(False, self.by_tag)
+        clean = self.sums(True, self.dropped())
+        outside = sum(clean[n] for n in chosen)
+        inner = [0] * len(letters)
+        for number in range(len(letters) - 1, 0, -1):
+            if self.by_tag[number]:
+                continue
+            if self.kinds[number] is not None and not self.by_name[number]:
+                inner[number] = clean[number] or inner[number]
+            inner[self.parents[number]] += inner[number]
+        out = []
+        for n in named:
+            layout = LAYOUT_NAMES.search(names_of(self.labels[n])[1]) is not None
+            most = 2 * letters[n] > letters[0]
+            if most and (not chosen or inner[n] > outside or layout) or layout and not chosen and inner[n]:
+                out.append(n)
+        return out
+
     def mains(self) -> list[int]:
         """The outermost main elements of the first kind that has text."""
         dropped = self.dropped()

@@ -228,6 +228,19 @@ def test_a_host_of_several_templates(spark, url):
     assert got == ["card one\ncard two", "fallen through", *texts]
 
 
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "no-sidebar", "with-comments"])
+def test_names_of_layouts_keep_the_article(spark, name):
+    text = prose(1, 60)
+    inner = [f"<article><p>{text}</p><div class=comments>c</div></article><div class=sidebar>s</div>", f"<p>{text}</p>"]
+    outer = ["<body><nav>n</nav><div class='{0}'>{1}</div></body>", "<div class=content><h1>T</h1><div class='{0}'>{1}</div></div>", "<div class='x {0}'><div id={0}>{1}</div></div>"]
+    for k, o in enumerate(outer):
+        for i in inner:
+            head = "T\n" if k == 1 and "article" not in i else ""
+            assert texts_of(spark, [o.format(name, i)]) == [head + text]
+    comments = f"<article><p>short</p></article><div class=comments><p>{text}</p></div><div class=related><article>{text}</article></div>"
+    assert texts_of(spark, [comments]) == ["short"]
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     """A folder with documents and labels, and columns that clash with the operators' own."""
