@@ -16,7 +16,7 @@ The texts of the elements that stay are the main text: references decoded, white
 one space, blocks joined by line ends. A header or heading within the article belongs to it.
 
 Null and empty pages, and pages without main text, give an empty text. A page without a host is of
-the host ''. Elements nested deeper than DEEPEST are read as part of the element at that depth.
+the host ''. Elements are read to any depth.
 Repeated rows are extracted once each; extra columns pass through, those named like a new one are
 replaced.
 """
@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from html import unescape
@@ -38,7 +40,7 @@ from pyspark.sql import types as T
 from tallyline.llm.bpe import added, schema_with
 from tallyline.llm.storage import stored
 
-DEEPEST, LONGEST_RUN, SALTS, HOSTS_PER_TASK = 60, 3, 16, 2_000
+LONGEST_RUN, SALTS, HOSTS_PER_TASK = 3, 16, 2_000
 BROADCAST_BYTES = 32_000_000
 
 #: Names of the HTML standard.
@@ -83,7 +85,7 @@ def parsed(html: str) -> list:
     """The page as a tree of block elements; inline elements only tell which texts are links."""
     root = ["html", []]
     stack, links, at = [root], 0, 0
-    tags = ["html"]
+    tags, open_ = ["html"], Counter()
     lower = None
     for token in TOKEN.finditer(html):
         if token.start() < at:
@@ -98,11 +100,12 @@ def parsed(html: str) -> list:
         if closing:
             if tag == "a":
                 links = max(0, links - 1)
-            elif tag in tags:
-                while len(tags) > 1:
+            elif open_[tag]:
+                last = ""
+                while last != tag:
                     stack.pop()
-                    if tags.pop() == tag:
-                        break
+                    last = tags.pop()
+                    open_[last] -= 1
             continue
         if tag in RAW:
             lower = lower or html.lower()
@@ -123,28 +126,61 @@ def parsed(html: str) -> list:
             continue
         if tag in CLOSES_P and tags[-1] == "p":
             stack.pop()
-            tags.pop()
+            open_[tags.pop()] -= 1
         like = CLOSES_LIKE.get(tag)
         if like:
             for k in range(len(tags) - 1, 0, -1):
                 if tags[k] in like:
                     if tag != "tr" or tags[k] == "tr":
+                        open_.subtract(tags[k:])
                         del stack[k:], tags[k:]
                     continue
                 if tags[k] in SCOPES:
                     break
-        if len(stack) >= DEEPEST:
-            stack[-1][1].append((" ", False))
-            continue
         node = [label, []]
         stack[-1][1].append(node)
         stack.append(node)
         tags.append(tag)
+        open_[tag] += 1
     if at < len(html):
         stack[-1][1].append((html[at:], links > 0))
     return root
 
 
+def room(depth: int) -> None:
+    """Lets calls nest for elements of this depth; these are calls of Python alone, which need no C stack."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * depth + 5_000))
+
+
+def packed(root: list) -> str:
+    """An expression as JSON: its elements in order, each with the number of its children."""
+    out, stack = [], [root]
+    while stack:
+        element = stack.pop()
+        out.append([*element[:CHILDREN], len(element[CHILDREN])])
+        stack += reversed(element[CHILDREN])
+    return json.dumps(out)
+
+
+def unpacked(rows: list) -> list:
+    """The expression of the parsed JSON."""
+    root = [*rows[0][:CHILDREN], []]
+    stack = [(root, rows[0][CHILDREN])]
+    for row in rows[1:]:
+        while len(stack[-1][0][CHILDREN]) == stack[-1][1]:
+            stack.pop()
+        element = [*row[:CHILDREN], []]
+        stack[-1][0][CHILDREN].append(element)
+        stack.append((element, row[CHILDREN]))
+    return root
+
+
+def read_wrapper(body: str) -> list:
+    rows = json.loads(body)
+    room(len(rows))
+    return unpacked(rows)
+
+
 def expression(node: list) -> list:
     """The expression of one page's element."""
     letters = linked = check = 0
@@ -206,6 +242,8 @@ def folded(one: list, two: list) -> list:
 
 def shown(element: list) -> str:
     """The expression as text: ( )? and ( )+ for optional and repeated elements, # for a slot."""
+    if isinstance(element[0], list):
+        element = unpacked(element)
     inner = ("#" if element[TEXTS] == -1 else "text" if element[TEXTS] else "") + "".join(map(shown, element[CHILDREN]))
     body = f"<{element[LABEL]}>{inner}</>"
     mark = "*" if element[OPTIONAL] and element[REPEATED] else "?" if element[OPTIONAL] else "+" if element[REPEATED] else ""
@@ -395,6 +433,7 @@ def infer(pages: DataFrame) -> DataFrame:
         found: dict[str, list] = {}
         for batch in batches:
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                room((html or "").count("<"))
                 made = expression(parsed(html or ""))
                 found[host] = folded(found[host], made) if host in found else made
             if len(found) > HOSTS_PER_TASK:
@@ -403,14 +442,14 @@ def infer(pages: DataFrame) -> DataFrame:
         yield rows_of(found)
 
     def rows_of(found: dict[str, list]) -> pa.RecordBatch:
-        bodies = [json.dumps(e) for e in found.values()]
+        bodies = [packed(e) for e in found.values()]
         return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(bodies, pa.string())], names=["host", "wrapper"])
 
     def fold(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = None
         for batch in batches:
             for body in sorted(batch.column(batch.schema.names.index("wrapper")).to_pylist()):
-                made = folded(made, json.loads(body)) if made else json.loads(body)
+                made = folded(made, read_wrapper(body)) if made else read_wrapper(body)
         yield rows_of({key[0].as_py(): made})
 
     kind = "host string, wrapper string"
@@ -446,7 +485,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 if host not in ready:
                     if len(ready) > HOSTS_PER_TASK:
                         ready.clear()
-                    ready[host] = rules(json.loads(shared.value[host] if shared else bodies[k]))
+                    ready[host] = rules(read_wrapper(shared.value[host] if shared else bodies[k]))
                 texts.append(main_text(html, ready[host]) if html else "")
             made = added(batch, {"text": pa.array(texts, pa.string())})
             yield made.select([n for n in made.schema.names if n not in ("host", "wrapper_of_host")])

@@ -241,6 +241,16 @@ def test_names_of_layouts_keep_the_article(spark, name):
     assert texts_of(spark, [comments]) == ["short"]
 
 
+def test_texts_at_any_depth(spark):
+    deep = "<div>" * 70 + "in" + "</div>" * 70
+    pages = [
+        f"<div><div><article><p>before</p>{deep}<p>after</p></article></div></div>",
+        "<section>" * 100 + "<article><p>one</p><div>two</div><nav>n</nav></article>",
+        "<div>" * 20_000 + "<p>a</p><p>b</p>",
+    ]
+    assert [texts_of(spark, [p]) for p in pages] == [["before\nin\nafter"], ["one\ntwo"], ["a\nb"]]
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     """A folder with documents and labels, and columns that clash with the operators' own."""
