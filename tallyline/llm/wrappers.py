@@ -7,11 +7,13 @@ for each host, and the tasks' expressions are folded in two further steps, by (h
 host, so a host that a third of all pages belong to is a few small rows. An expression grows with
 the variety of the host's markup, not with its pages.
 
-Elements of mostly links, and texts that are the same on all of three or more pages, are marked on the
+Elements of mostly links, and texts that are the same on all of three or more pages of different text, are marked on the
 finished expression. Every page is aligned with its host's expression. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are dropped by their names,
 but not an element that a page's text is in (`Page.layout`). The main element is that of the page, whatever other pages of the host have: article, else main, else one named
-like them, the first of these that has text; on a page without one the marked elements are dropped too.
+like them, the first of these that has text; on a page without one the marked elements are dropped too,
+but texts of the host only where at least half of the page's text is left, so that copies with a small
+difference do not remove their own text.
 The texts of the elements that stay are the main text: references decoded, white space in a block made
 one space, blocks joined by line ends. A header or heading within the article belongs to it.
 
@@ -23,6 +25,7 @@ replaced.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
@@ -40,7 +43,7 @@ from pyspark.sql import types as T
 from tallyline.llm.bpe import added, schema_with
 from tallyline.llm.storage import stored
 
-LONGEST_RUN, SALTS, HOSTS_PER_TASK = 3, 16, 2_000
+LONGEST_RUN, PAGES_SEEN, SALTS, HOSTS_PER_TASK = 3, 3, 16, 2_000
 BROADCAST_BYTES = 32_000_000
 
 #: Names of the HTML standard.
@@ -67,7 +70,7 @@ DIGITS = re.compile(r"\d+")
 
 # A node of a page: [label, children]; a text: (text, is it in a link).
 # An element of an expression: [label, optional, repeated, seen, letters, letters in links, texts, children],
-# where texts is the checksum of its own text, 0 before there is one and -1 for several.
+# where seen has the digests of up to PAGES_SEEN pages, and texts is the checksum of its own text, 0 before there is one and -1 for several.
 LABEL, OPTIONAL, REPEATED, SEEN, LETTERS, LINKED, TEXTS, CHILDREN = range(8)
 
 
@@ -181,8 +184,20 @@ def read_wrapper(body: str) -> list:
     return unpacked(rows)
 
 
-def expression(node: list) -> list:
-    """The expression of one page's element."""
+def digest(root: list) -> int:
+    """Of the texts of a page, whatever its attributes are."""
+    out, stack = hashlib.blake2b(digest_size=6), [root]
+    while stack:
+        item = stack.pop()
+        if isinstance(item, tuple):
+            out.update(" ".join(item[0].split()).encode("utf-8", "surrogatepass") + b"\0")
+        else:
+            stack += reversed(item[1])
+    return int.from_bytes(out.digest())
+
+
+def expression(node: list, page: int) -> list:
+    """The expression of one page's element; page is the page's digest."""
     letters = linked = check = 0
     children = []
     for child in node[1]:
@@ -193,11 +208,11 @@ def expression(node: list) -> list:
                 linked += size if child[1] else 0
                 check = zlib.crc32(child[0].strip().encode(), check)
         elif children and children[-1][LABEL] == child[0]:
-            children[-1] = folded(children[-1], expression(child))
+            children[-1] = folded(children[-1], expression(child, page))
             children[-1][REPEATED] = 1
         else:
-            children.append(expression(child))
-    return [node[0], 0, 0, 1, letters, linked, check, runs_folded(children)]
+            children.append(expression(child, page))
+    return [node[0], 0, 0, [page], letters, linked, check, runs_folded(children)]
 
 
 def runs_folded(children: list) -> list:
@@ -237,7 +252,8 @@ def folded(one: list, two: list) -> list:
                 joined.append(child)
         children = runs_folded(joined)
     texts = one[TEXTS] if one[TEXTS] == two[TEXTS] else -1
-    return [one[0], one[1] | two[1], one[2] | two[2], one[3] + two[3], one[4] + two[4], one[5] + two[5], texts, children]
+    seen = one[SEEN] if one[SEEN] == two[SEEN] else sorted({*one[SEEN], *two[SEEN]})[:PAGES_SEEN]
+    return [one[0], one[1] | two[1], one[2] | two[2], seen, one[4] + two[4], one[5] + two[5], texts, children]
 
 
 def shown(element: list) -> str:
@@ -292,7 +308,7 @@ def rules(root: list) -> list:
         element, rule, parent = order[number]
         letters, linked = totals[number]
         links = element[LABEL] != "html" and letters > 0 and 2 * linked > letters
-        rule[1] = int(links) | 2 * int(element[SEEN] >= 3 and element[TEXTS] > 0)
+        rule[1] = int(links) | 2 * int(len(element[SEEN]) >= PAGES_SEEN and element[TEXTS] > 0)
         if number:
             totals[parent][0] += letters
             totals[parent][1] += linked
@@ -344,6 +360,9 @@ class Page:
                 out[self.parents[number]] += out[number]
         return out
 
+    def letters(self, keep: list[bool]) -> int:
+        return sum(len(text) for number, text, _ in filter(None, self.texts) if keep[number] and not text.isspace())
+
     def dropped(self) -> list[bool]:
         return [a or b for a, b in zip(self.by_tag, self.by_name, strict=True)]
 
@@ -407,7 +426,10 @@ class Page:
 def main_text(html: str, rule: list) -> str:
     """The texts of the kept elements of a page that is aligned with its host's expression."""
     page = Page(html, rule)
-    keep = page.kept(page.mains(), True)
+    chosen = page.mains()
+    keep, every = (page.kept(chosen, constant) for constant in (True, False))
+    if 2 * page.letters(keep) < page.letters(every):
+        keep = every
     out, piece = [], []
     for part in [*page.texts, None]:
         if part is not None:
@@ -434,7 +456,8 @@ def infer(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 room((html or "").count("<"))
-                made = expression(parsed(html or ""))
+                page = parsed(html or "")
+                made = expression(page, digest(page))
                 found[host] = folded(found[host], made) if host in found else made
             if len(found) > HOSTS_PER_TASK:
                 yield rows_of(found)

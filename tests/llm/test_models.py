@@ -251,6 +251,14 @@ def test_texts_at_any_depth(spark):
     assert [texts_of(spark, [p]) for p in pages] == [["before\nin\nafter"], ["one\ntwo"], ["a\nb"]]
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    text = prose(1, 40)
+    copy = f"<div class=top><h1>Head</h1></div><div class=real>{text}</div>"
+    assert texts_of(spark, [copy] * 5) == [f"Head\n{text}"] * 5
+    near = [copy + f"<div class=time>{k} o'clock</div>" for k in range(5)]
+    assert texts_of(spark, near) == [f"Head\n{text}\n{k} o'clock" for k in range(5)]
+
+
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     """A folder with documents and labels, and columns that clash with the operators' own."""
