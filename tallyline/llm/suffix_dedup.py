@@ -16,7 +16,11 @@ belong to it. Then
    strings have an earlier match,
 5. every group marks the bytes of those strings.
 
-A group sends an anchor or segment once, however many of its documents have it, so a passage that a
+An anchor of more than HOT_SEGMENTS segments in all is split: its strings are not sent as segments to the
+bucket of the anchor, but one by one, as hashes with their smallest doc_id in the group, to the buckets
+of the hashes. Equal strings have equal anchors, so either all of them take this way or none.
+
+A group sends an anchor, segment or string once, however many of its documents have it, so a passage that a
 third of all documents share is a few rows for each group. Strings are told apart by 64-bit hashes.
 
 Null texts are empty. Strings of the same doc_id do not remove each other, so repeated rows of a
@@ -40,7 +44,8 @@ from tallyline.llm.textbytes import ROOT, blocks, eights, mix, release_memory, s
 LENGTH, ANCHOR = 50, 24
 GROUP_BYTES, GROUPS_PER_TASK, BUCKET_BYTES = 4_000_000, 4, 6_000_000
 MESSAGE = "group long, bucket long, kind int, body binary"
-ANCHORS, SEGMENTS = 1, 3
+ANCHORS, SEGMENTS, STRINGS = 1, 3, 4
+HOT_SEGMENTS = 50_000
 ANCHOR_BYTES = 5
 
 
@@ -148,9 +153,11 @@ def split_by(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
 
 
 def anchor_messages(number: int, group: Group, buckets: int) -> Iterator[tuple[int, int, int, bytes]]:
-    keys = np.unique(keys_of(group.segments.anchor, buckets))
+    """For each bucket the anchors, and of each the number of its segments as a power of two, rounded up."""
+    keys, times = np.unique(keys_of(group.segments.anchor, buckets), return_counts=True)
+    powers = np.ceil(np.log2(times)).astype(np.uint8)
     for bucket, own in split_by((keys >> np.uint64(8 * ANCHOR_BYTES)).astype(np.int64)):
-        yield number, bucket, ANCHORS, as_bytes(keys[own], ANCHOR_BYTES)
+        yield number, bucket, ANCHORS, as_bytes(keys[own], ANCHOR_BYTES) + powers[own].tobytes()
 
 
 def contained(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -159,14 +166,66 @@ def contained(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
-def shared_anchors(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For every group of a bucket, a bit for each of its anchors: whether another group has it."""
-    rows = pa.Table.from_batches(list(batches))
-    lists = [from_bytes(b, ANCHOR_BYTES) for b in rows.column("body").to_pylist()]
-    every = np.sort(np.concatenate(lists))
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
-    groups, bucket = rows.column("group").to_pylist(), key[0].as_py()
-    yield messages([(g, bucket, ANCHORS, np.packbits(contained(own, twice)).tobytes()) for g, own in zip(groups, lists, strict=True)])
+def shared_anchors(hot: int = HOT_SEGMENTS) -> Callable:
+    """For every group of a bucket, two bits for each of its anchors: whether another group has it, and
+    whether it has more than `hot` segments in all."""
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        bodies = rows.column("body").to_pylist()
+        cuts = [len(b) // (ANCHOR_BYTES + 1) * ANCHOR_BYTES for b in bodies]
+        lists = [from_bytes(b[:c], ANCHOR_BYTES) for b, c in zip(bodies, cuts, strict=True)]
+        powers = np.concatenate([np.frombuffer(b, np.uint8, offset=c) for b, c in zip(bodies, cuts, strict=True)])
+        every = np.concatenate(lists)
+        order = np.argsort(every)
+        every = every[order]
+        heads = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        distinct, groups_of = every[heads], np.diff(np.append(heads, len(every)))
+        times = np.add.reduceat(np.int64(1) << powers[order].astype(np.int64), heads)
+        answers = [distinct[groups_of > 1], distinct[times > hot]]
+        groups, bucket = rows.column("group").to_pylist(), key[0].as_py()
+        found = [b"".join(np.packbits(contained(own, x)).tobytes() for x in answers) for own in lists]
+        yield messages([(g, bucket, ANCHORS, body) for g, body in zip(groups, found, strict=True)])
+
+    return run
+
+
+class Strings:
+    """The strings of some segments of a group, one by one."""
+
+    def __init__(self, group: Group, chosen: np.ndarray, buckets: int):
+        count = group.segments.count[chosen]
+        place = np.repeat(group.segments.first[chosen], count) + within(count)
+        doc = np.repeat(group.ids[group.segments.text[chosen]], count)
+        code = np.zeros(len(place), np.uint64)
+        for a, b in blocks(group.at) if len(place) else ():
+            first, last = np.searchsorted(place, group.at[[a, b]])
+            if first < last:
+                words = eights(group.data[group.at[a] : group.at[b]])
+                code[first:last] = string_hashes(words, group.length, place[first:last] - group.at[a])
+        bucket = (code % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((doc, code, bucket))
+        self.place, self.doc, code, bucket = place[order], doc[order], code[order], bucket[order]
+        fresh = np.ones(len(code), bool)
+        fresh[1:] = code[1:] != code[:-1]
+        #: for every string, the distinct one; of equal ones, the smallest doc_id first
+        self.head = np.flatnonzero(fresh)
+        self.owner = np.cumsum(fresh) - 1
+        self.code, self.bucket = code[self.head], bucket[self.head]
+
+    def sent(self, number: int) -> Iterator[tuple[int, int, int, bytes]]:
+        """For each bucket: the smallest doc_ids and the hashes of the distinct strings."""
+        for bucket, own in split_by(self.bucket):
+            docs = self.doc[self.head[own]].astype("<i8")
+            yield number, bucket, STRINGS, docs.tobytes() + self.code[own].astype("<u8").tobytes()
+
+    def earlier(self, answers: dict[int, bytes]) -> np.ndarray:
+        """Where strings with an earlier match begin."""
+        if not len(self.head):
+            return self.place
+        flags = [np.unpackbits(np.frombuffer(answers[b], np.uint8), count=s.stop - s.start) for b, s in split_by(self.bucket)]
+        elsewhere = np.concatenate(flags).astype(bool)[self.owner]
+        return self.place[elsewhere | (self.doc > self.doc[self.head][self.owner])]
 
 
 class Repeats:
@@ -176,14 +235,18 @@ class Repeats:
         own = group.segments
         key = keys_of(own.anchor, buckets)
         keys = np.unique(key)
-        flags = [np.unpackbits(np.frombuffer(answers[b], np.uint8), count=s.stop - s.start) for b, s in split_by((keys >> np.uint64(8 * ANCHOR_BYTES)).astype(np.int64))]
-        elsewhere = np.concatenate(flags).astype(bool) if flags else np.zeros(0, bool)
+        flags = [np.zeros((2, 0), np.uint8)]
+        for b, s in split_by((keys >> np.uint64(8 * ANCHOR_BYTES)).astype(np.int64)):
+            flags.append(np.unpackbits(np.frombuffer(answers[b], np.uint8).reshape(2, -1), axis=1, count=s.stop - s.start))
+        elsewhere, hot = np.concatenate(flags, axis=1).astype(bool)
         doc = group.ids[own.text]
         place = np.searchsorted(keys, key)
         low, high = np.full(len(keys), np.iinfo(np.int64).max), np.full(len(keys), np.iinfo(np.int64).min)
         np.minimum.at(low, place, doc)
         np.maximum.at(high, place, doc)
-        chosen = np.flatnonzero((elsewhere | (low < high))[place])
+        repeated = (elsewhere | (low < high))[place]
+        self.strings = Strings(group, np.flatnonzero(repeated & hot[place]), buckets)
+        chosen = np.flatnonzero(repeated & ~hot[place])
         bucket = (key[chosen] >> np.uint64(8 * ANCHOR_BYTES)).astype(np.int64)
         code = own.code[chosen]
         order = np.lexsort((doc[chosen], code, bucket))
@@ -206,10 +269,14 @@ class Repeats:
             place = np.arange(ends[-1]) + np.repeat(first - (ends - size), size)
             body = [np.array([len(head)], "<i8").tobytes(), self.doc[head].astype("<i8").tobytes(), count.astype(np.uint8).tobytes(), group.data[place].tobytes()]
             yield number, bucket, SEGMENTS, b"".join(body)
+        yield from self.strings.sent(number)
 
-    def covered(self, group: Group, answers: dict[int, bytes]) -> np.ndarray:
+    def covered(self, group: Group, answers: dict[int, bytes], strings: dict[int, bytes]) -> np.ndarray:
         """For every byte of the group, whether a string with an earlier match covers it."""
         edge = np.zeros(len(group.data) + 1, np.int32)
+        hit = self.strings.earlier(strings)
+        edge[hit] += 1
+        edge[hit + group.length] -= 1
         if len(self.head):
             masks = np.concatenate([np.frombuffer(answers[b], "<u4") for b, _ in split_by(self.bucket)])
             later = self.doc > self.doc[self.head][self.owner]
@@ -237,11 +304,27 @@ def earlier_matches(doc: np.ndarray, code: np.ndarray) -> np.ndarray:
 
 
 def answered_segments(length: int) -> Callable:
-    """For every group of a bucket, a mask for each segment: which of its strings have an earlier match."""
+    """For every group of a bucket, a mask for each segment: which of its strings have an earlier match;
+    and a bit for each string that was sent alone."""
+
+    def strings(bucket: int, rows: pa.Table) -> pa.RecordBatch:
+        bodies = rows.column("body").to_pylist()
+        sizes = [len(b) // 16 for b in bodies]
+        docs = np.concatenate([np.frombuffer(b, "<i8", n) for b, n in zip(bodies, sizes, strict=True)])
+        codes = np.concatenate([np.frombuffer(b, "<u8", n, 8 * n) for b, n in zip(bodies, sizes, strict=True)])
+        earlier = np.split(earlier_matches(docs, codes), np.cumsum(sizes)[:-1])
+        groups = rows.column("group").to_pylist()
+        return messages([(g, bucket, STRINGS, np.packbits(x).tobytes()) for g, x in zip(groups, earlier, strict=True)])
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
         rows = pa.Table.from_batches(list(batches))
+        alone = np.equal(rows.column("kind").to_numpy(), STRINGS)
+        if alone.any():
+            yield strings(key[0].as_py(), rows.filter(pa.array(alone)))
+            rows = rows.filter(pa.array(~alone))
+            if not rows.num_rows:
+                return
         docs, counts, codes = [], [], []
         for body in rows.column("body").to_pylist():
             n = int(np.frombuffer(body, "<i8", 1)[0])
@@ -284,7 +367,7 @@ def whole_characters(data: np.ndarray, covered: np.ndarray) -> np.ndarray:
     return np.repeat(np.logical_and.reduceat(covered, leads), np.diff(np.append(leads, len(data))))
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, characters: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, characters: bool = False, hot: int = HOT_SEGMENTS) -> DataFrame:
     """The rows with kept (the remaining bytes), n_bytes, n_removed and n_spans, and removed: the
     first and last + 1 byte of each removed run.
 
@@ -314,7 +397,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, characters: bool = Fa
     def remove(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         release_memory()
         group = Group(left, length)
-        covered = Repeats(group, answers_of(right, ANCHORS), buckets).covered(group, answers_of(right, SEGMENTS))
+        covered = Repeats(group, answers_of(right, ANCHORS), buckets).covered(group, answers_of(right, SEGMENTS), answers_of(right, STRINGS))
         if characters:
             covered = whole_characters(group.data, covered)
         kept, removed, sizes = [], [], []
@@ -336,7 +419,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, characters: bool = Fa
         return pa.Table.from_batches([added(b, new) for b in batches])
 
     by_bucket = by_group.applyInArrow(send_anchors, MESSAGE).groupBy("bucket")
-    found = by_bucket.applyInArrow(shared_anchors, MESSAGE)
+    found = by_bucket.applyInArrow(shared_anchors(hot), MESSAGE)
     sent = by_group.cogroup(found.groupBy("group")).applyInArrow(send_segments, MESSAGE)
     masks = sent.groupBy("bucket").applyInArrow(answered_segments(length), MESSAGE)
     kinds = {"kept": T.BinaryType(), "n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "removed": T.ArrayType(T.LongType())}

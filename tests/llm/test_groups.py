@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,33 @@ def test_removed_bytes(spark):
     assert got == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("hot", [0, 8])
+def test_strings_of_hot_anchors_meet(spark, hot):
+    rows = passages()
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), hot=hot).collect()
+    expected = [(i, bytes(b for b, f in zip(raw, flags, strict=True) if not f)) for i, raw, flags in removed_bytes(rows, 50)]
+    assert sorted(((r["doc_id"], bytes(r["kept"])) for r in found), key=str) == sorted(expected, key=str)
+
+
+def test_a_hot_anchor_is_spread_over_buckets():
+    """Documents that share 30 bytes, followed by distinct text, in two groups."""
+    buckets, hot = 16, 100
+    rows = [(k, "the same thirty bytes, always " + "".join(random.Random(k).choices("abcdefgh ", k=60))) for k in range(2000)]
+    halves = [suffix_dedup.Group(pa.table({"doc_id": [i for i, _ in part], "text": [t for _, t in part]}), 50) for part in (rows[::2], rows[1::2])]
+    sent = [m for g, half in enumerate(halves) for m in suffix_dedup.anchor_messages(g, half, buckets)]
+    answers = [{}, {}]
+    for bucket in {m[1] for m in sent}:
+        batch = suffix_dedup.messages([m for m in sent if m[1] == bucket])
+        for out in suffix_dedup.shared_anchors(hot)((pa.scalar(bucket),), iter([batch])):
+            for row in out.to_pylist():
+                answers[row["group"]][bucket] = row["body"]
+    size = np.zeros(buckets)
+    for g, half in enumerate(halves):
+        for _, bucket, _, body in suffix_dedup.Repeats(half, answers[g], buckets).sent(g, half):
+            size[bucket] += len(body)
+    assert 0 < size.max() < 2 * size.mean()
+
+
 def test_whole_characters_stay(spark):
     rows = passages()
     expected = {}
