@@ -1,10 +1,12 @@
-"""Suffix-array dedup: bytes that repeat a passage of an earlier document are removed.
+"""Dedup of passages: bytes that repeat a passage of an earlier document are removed.
 
-Every LENGTH-byte string of a text is a suffix of the corpus cut to LENGTH bytes. In suffix order,
-equal strings stand together, and a string has an earlier match (a longest previous factor of at
-least LENGTH) if the previous or the next smaller document number in that order lies within its run.
+A suffix array with longest previous factors would tell which suffixes share at least LENGTH bytes with
+one of an earlier document. It is not built, and neither are previous and next smaller positions: only
+whether LENGTH bytes are shared matters, so every LENGTH-byte string is looked up by its hash, and it
+has an earlier match just if the smallest doc_id of equal strings is smaller. A suffix array over the
+corpus does not split into parts; hashes do, and the removed bytes are the same.
 
-The order is built in parts that never need the whole corpus. Each string belongs to its anchor, the
+The work is done in parts that never need the whole corpus. Each string belongs to its anchor, the
 smallest hash among its ANCHOR-byte substrings, so equal strings have equal anchors, and neighbouring
 strings mostly share one: a text is a row of segments, each with one anchor and the strings that
 belong to it. Then
@@ -12,7 +14,7 @@ belong to it. Then
 1. documents are dealt to groups; every group sends the distinct anchors it has, by hash bucket,
 2. every bucket tells each group which of its anchors other groups have too,
 3. every group sends the distinct segments of repeated anchors, each with its smallest doc_id,
-4. every bucket orders the strings of its segments and answers, for every segment sent, which of its
+4. every bucket sorts the strings of its segments by hash and answers, for every segment sent, which of its
    strings have an earlier match,
 5. every group marks the bytes of those strings.
 
@@ -114,6 +116,14 @@ class Group:
         self.segments = Segments(*(np.concatenate(x) for x in zip(empty, *parts, strict=True)))
 
 
+def mask_type(length: int) -> np.dtype:
+    """Of a mask with a bit for each string that a segment can have."""
+    for kind in ("<u4", "<u8"):
+        if length - ANCHOR + 1 <= 8 * np.dtype(kind).itemsize:
+            return np.dtype(kind)
+    raise ValueError(f"strings of {length} bytes are too long for anchors of {ANCHOR}")
+
+
 def bucket_of(anchor: np.ndarray, buckets: int) -> np.ndarray:
     return ((anchor >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
 
@@ -278,11 +288,12 @@ class Repeats:
         edge[hit] += 1
         edge[hit + group.length] -= 1
         if len(self.head):
-            masks = np.concatenate([np.frombuffer(answers[b], "<u4") for b, _ in split_by(self.bucket)])
+            kind = mask_type(group.length)
+            masks = np.concatenate([np.frombuffer(answers[b], kind) for b, _ in split_by(self.bucket)])
             later = self.doc > self.doc[self.head][self.owner]
-            mask = np.where(later, np.uint32(0xFFFFFFFF), masks[self.owner])
+            mask = np.where(later, np.iinfo(kind).max, masks[self.owner])
             for k in range(int(self.count.max())):
-                hit = self.first[(self.count > k) & ((mask >> np.uint32(k)) & np.uint32(1)).astype(bool)] + k
+                hit = self.first[(self.count > k) & ((mask >> kind.type(k)) & kind.type(1)).astype(bool)] + k
                 edge[hit] += 1  # strings begin at different places
                 edge[hit + group.length] -= 1
         return np.cumsum(edge[:-1]) > 0
@@ -291,8 +302,7 @@ class Repeats:
 def earlier_matches(doc: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Whether each string has an equal one of a smaller document.
 
-    Sorted by code, equal strings are a run of the suffix order. The previous or the next smaller
-    document lies in the run, so the match is LENGTH bytes long, just if the run's smallest is smaller.
+    Sorted by code, equal strings are a run, and one has an earlier match if the run's smallest is smaller.
     """
     order = np.argsort(code, kind="stable")
     ordered = code[order]
@@ -339,8 +349,8 @@ def answered_segments(length: int) -> Callable:
                 codes.append(string_hashes(eights(data[at[a] : at[b]]), length)[first])
         count = np.concatenate(counts)
         earlier = earlier_matches(np.repeat(np.concatenate(docs), count), np.concatenate(codes))
-        bits = earlier.astype(np.uint32) << within(count).astype(np.uint32)
-        masks = np.add.reduceat(bits, np.cumsum(count) - count).astype("<u4")
+        kind = mask_type(length)
+        masks = np.add.reduceat(earlier.astype(kind) << within(count).astype(kind), np.cumsum(count) - count).astype(kind)
         ends = np.cumsum([0, *map(len, counts)])
         parts = [masks[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
         yield messages([(g, key[0].as_py(), SEGMENTS, p) for g, p in zip(rows.column("group").to_pylist(), parts, strict=True)])

@@ -139,6 +139,17 @@ def test_strings_of_hot_anchors_meet(spark, hot):
     assert sorted(((r["doc_id"], bytes(r["kept"])) for r in found), key=str) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("length", [56, 87])
+def test_strings_of_long_segments(spark, length):
+    shared = "a" * 24 + prose(3, 60)
+    rows = [(k, prose(k, 12) + " " + "b" * 40 + shared[: 120 + k] + prose(900 + k, 9), "en", "a", 0) for k in range(20)]
+    rows += [(100 + k, "".join(random.Random(k).choices("klmn", k=90)) + "!" * 24 + "".join(random.Random(k).choices("opqr", k=90)), "en", "a", 0) for k in (1, 1, 2)]
+    rows = [(k, *r[1:]) for k, r in enumerate(rows)]
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), length=length).collect()
+    expected = {i: bytes(b for b, f in zip(raw, flags, strict=True) if not f) for i, raw, flags in removed_bytes(rows, length)}
+    assert {r["doc_id"]: bytes(r["kept"]) for r in found} == expected
+
+
 def test_a_hot_anchor_is_spread_over_buckets():
     """Documents that share 30 bytes, followed by distinct text, in two groups."""
     buckets, hot = 16, 100
