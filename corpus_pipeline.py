@@ -63,7 +63,7 @@ def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in training sequences."""
-    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), added_vocabulary=True)
     return packing.pack(stored(cut, "pieces"))
 
 

@@ -14,6 +14,7 @@ Null and empty texts are one id long (the closing id). Repeated rows are packed
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -52,27 +53,38 @@ def word_tokenizer(whole: str) -> Tokenizer:
     return made
 
 
-def pieces(docs: DataFrame, path: str, size: int = SIZE, closing: int = 0, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str, size: int = SIZE, closing: int = 0, with_ids: bool = False, added_vocabulary: bool = False) -> DataFrame:
     """A row for each piece of each document's ids: its place, its length and its checksum.
 
-    The ids are those of the tokenizer file without special tokens, and the closing id. Only
-    documents longer than size are cut.
+    The ids are those of the tokenizer file without special tokens, and the closing id. With
+    added_vocabulary, the content of an added token in a text becomes its id, as the library has it by
+    default, else plain pieces. Only documents longer than size are cut.
     """
     whole = Tokenizer.from_file(path).to_str()
     pattern = word_pattern(json.loads(whole))
+    tokens = [t["content"].lower() for t in json.loads(whole)["added_tokens"] if t["content"]] if added_vocabulary else []
+    added_content = re.compile("|".join(map(re.escape, tokens))) if tokens else None
     spec = docs.sparkSession.sparkContext.broadcast(whole)  # one vocabulary
     end = np.array([closing], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         normal = Tokenizer.from_str(spec.value).normalizer.normalize_str
+        full = None  # made where a text needs it
         cache, cut = PieceCache(word_tokenizer(spec.value)), Matcher(pattern)
         for batch in (w.slice(k, TEXTS_AT_ONCE) for w in batches for k in range(0, w.num_rows, TEXTS_AT_ONCE)):
             names, out = batch.schema.names, []
             texts = batch.column(names.index("text")).to_pylist()
-            words = [cut.findall(normal(t) if BEYOND.search(t) else t.lower()) if t else [] for t in texts]
+            plain = [(normal(t) if BEYOND.search(t) else t.lower()) if t else "" for t in texts]
+            whole_text = [added_content is not None and added_content.search(p) is not None for p in plain]
+            words = [cut.findall(p) if p and not w else [] for p, w in zip(plain, whole_text, strict=True)]
             cache.prepare(words)
-            for doc, own in zip(batch.column(names.index("doc_id")).to_pylist(), words, strict=True):
-                ids = cache.join(own) + end
+            for row, (doc, own) in enumerate(zip(batch.column(names.index("doc_id")).to_pylist(), words, strict=True)):
+                if whole_text[row]:
+                    full = full or Tokenizer.from_str(spec.value)
+                    own_ids = np.array(full.encode(texts[row], add_special_tokens=False).ids, "<u4").tobytes()
+                else:
+                    own_ids = cache.join(own)
+                ids = own_ids + end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
                     out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part), part))

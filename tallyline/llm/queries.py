@@ -46,7 +46,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of documents with its sequence."""
     docs = _table(spark, sf_dir, "documents")
-    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), added_vocabulary=True)
     return packing.pack(stored(cut, "pieces"))
 
 

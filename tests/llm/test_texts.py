@@ -127,6 +127,19 @@ def test_packing(spark, docs, size):
     assert len(by_sequence) <= math.ceil(total / size) + 1
 
 
+def test_added_tokens_in_texts_equal_the_library(spark, tmp_path):
+    """The registered query, against the library as it is by default."""
+    from tallyline.llm.queries import op5_best_fit_packing
+
+    whole = Tokenizer.from_file(WORDS)
+    texts = ["a <|endoftext|> b", "<|startoftext|>x<|endoftext|><|endoftext|>", "A <|ENDOFTEXT|> é", "a <|endoftext b", "no", ""]
+    spark.createDataFrame([(k, t, "en", "a", 0) for k, t in enumerate(texts)], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    ids = {k: whole.encode(t, add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
+    assert ids[0] == [320, 49407, 321, 0]
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in op5_best_fit_packing(spark, str(tmp_path)).collect()}
+    assert got == {k: (len(v), zlib.crc32(np.array(v, "<u4").tobytes())) for k, v in ids.items()}
+
+
 def test_packing_of_nothing(spark, docs):
     assert packing.pack(stored(packing.pieces(docs.limit(0), WORDS), "pieces")).count() == 0
 
