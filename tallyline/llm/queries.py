@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, license_scan, lsh_forest, packing, quality_gam, quality_rules, shallot, suffix_dedup, topk, toxicity, wrappers
+from tallyline.llm import bpe, license_scan, lsh_forest, packing, quality_gam, quality_rules, shallot, suffix_dedup, topk, toxicity, variants, wrappers
 from tallyline.llm.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.classify(docs, labels)
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the spelling that it goes back to."""
+    return variants.group(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster of every vector."""
     return shallot.cluster(_table(spark, sf_dir, "embeddings"))
@@ -96,6 +101,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_wrappers": op8_wrappers,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_gam": op10_quality_gam,
+        "op12_variants": op12_variants,
         "op13_shallot": op13_shallot,
     }
 
@@ -105,5 +111,6 @@ def llm_oracles() -> dict[str, str]:
         "op2_exact_topk": topk.ORACLE,
         "op3_suffix_dedup": suffix_dedup.ORACLE,
         "op7_lsh_forest": lsh_forest.ORACLE,
+        "op12_variants": variants.ORACLE,
         "op13_shallot": shallot.oracle(),
     }
