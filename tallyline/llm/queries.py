@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, license_scan, lsh_forest, packing, quality_gam, quality_rules, shallot, suffix_dedup, topk, toxicity, variants, wrappers
+from tallyline.llm import bpe, license_scan, lsh_forest, packing, quality_gam, quality_rules, shallot, suffix_dedup, topk, toxicity, url_filter, variants, wrappers
 from tallyline.llm.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def op10_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.classify(docs, labels)
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's address."""
+    return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents with the spelling that it goes back to."""
     return variants.group(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -101,6 +106,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_wrappers": op8_wrappers,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_quality_gam": op10_quality_gam,
+        "op11_url_filter": op11_url_filter,
         "op12_variants": op12_variants,
         "op13_shallot": op13_shallot,
     }
