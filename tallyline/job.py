@@ -39,6 +39,12 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
     target.add_argument("--catalog", action="store_true", help="write catalog tables instead")
     parser.add_argument("--prefix", default="", help="prefix of the catalog namespaces")
     parser.add_argument("--keep-raw", action="store_true", help="also store the raw tables")
+    parser.add_argument(
+        "--resume", action="store_true", help="go on with the run that broke off last, if any"
+    )
+    parser.add_argument(
+        "--keep-hours", type=float, default=24, help="how long a replaced version stays readable"
+    )
     parser.add_argument("--golden", help="folder with expected orders.csv and metrics.csv")
     parser.add_argument("--master", help="Spark master, if spark-submit does not set it")
     parser.add_argument(
@@ -52,10 +58,9 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
 
 def run(spark: SparkSession, options: argparse.Namespace) -> bool:
     """True if every check passed."""
-    if options.catalog:
-        warehouse = CatalogWarehouse(spark, options.prefix)
-    else:
-        warehouse = FolderWarehouse(spark, options.out)
+    kind, place = (CatalogWarehouse, options.prefix) if options.catalog else (FolderWarehouse, options.out)
+    keep = options.keep_hours * 3600
+    warehouse = kind.resumed(spark, place, keep=keep) if options.resume else kind(spark, place, keep=keep)
     joined = {"multi_line": True} if options.multi_line and options.format == "csv" else {}
     read = lambda: READERS[options.format](spark, options.raw, **joined)
     given = options.input_gib << 30 if options.input_gib else None

@@ -27,6 +27,7 @@ from tallyline.sources.warehouse import (
     clear_scratch,
     materialize,
     register_views,
+    remove_folder,
     scratch_path,
     shared_folder,
 )
@@ -153,21 +154,167 @@ def test_a_run_that_breaks_off_leaves_everything_as_it_was(spark, tmp_path, monk
     assert [spark_rows(FolderWarehouse(spark, out).read(*name)) for name in names] != before
 
 
-def test_old_versions_go(spark, tmp_path):
+def folder(spark, tmp_path, keep=0.0):
+    return FolderWarehouse(spark, str(tmp_path), keep=keep)
+
+
+def catalog(spark, tmp_path, keep=0.0):
+    return CatalogWarehouse(spark, f"w{abs(hash(str(tmp_path)))}_", keep=keep)
+
+
+def located(spark, tmp_path, keep=0.0):
+    return CatalogWarehouse(spark, f"l{abs(hash(str(tmp_path)))}_", str(tmp_path), keep=keep)
+
+
+def stored_versions(warehouse, tmp_path):
+    if isinstance(warehouse, FolderWarehouse):
+        return {p.name for p in (tmp_path / "versions").iterdir()}
+    rows = warehouse.spark.sql(f"SHOW PARTITIONS {warehouse.prefix}layer.t_versions").collect()
+    return {row[0].removeprefix("version=") for row in rows}
+
+
+@pytest.mark.parametrize("kind", [folder, catalog, located])
+def test_old_versions_go(spark, tmp_path, kind):
     for n in range(4):
-        warehouse = FolderWarehouse(spark, str(tmp_path))
+        warehouse = kind(spark, tmp_path)
         warehouse.write("layer", "t", spark.range(n))
         warehouse.publish()
         assert warehouse.read("layer", "t").count() == n
-    assert len(list((tmp_path / "versions").iterdir())) == 2
+    assert len(stored_versions(warehouse, tmp_path)) == 2
+    if kind is located:
+        assert len(list(tmp_path.glob("*layer/t_versions/version=*"))) == 2
     with pytest.raises(LookupError):
         FolderWarehouse(spark, str(tmp_path / "none")).read("layer", "t")
-    for n in range(3):
-        catalog = CatalogWarehouse(spark, "c_")
-        catalog.write("layer", "t", spark.range(n))
-        catalog.publish()
-        assert catalog.read("layer", "t").count() == n
-    assert spark.sql("SHOW TABLES IN c_layer").where("tableName like 't_v%'").count() == 1
+
+
+@pytest.mark.parametrize("kind", [folder, catalog])
+def test_replaced_versions_stay_for_their_time(spark, tmp_path, kind):
+    for n in range(4):
+        warehouse = kind(spark, tmp_path, 3600.0)
+        warehouse.write("layer", "t", spark.range(n))
+        warehouse.publish()
+    assert len(stored_versions(warehouse, tmp_path)) == 4
+
+
+@pytest.mark.parametrize("kind", [folder, catalog, located])
+def test_a_snapshot_reads_through_publications(spark, tmp_path, kind):
+    for n in (3, 4, 5, 6, 7):
+        warehouse = kind(spark, tmp_path)
+        warehouse.write("layer", "t", spark.range(n))
+        warehouse.write("other", "u", spark.range(n))
+        warehouse.publish()
+        if n == 3:
+            held = warehouse.snapshot()
+            reader = held.read("layer", "t")
+    assert [held.read(*name).count() for name in (("layer", "t"), ("other", "u"))] == [3, 3]
+    assert reader.count() == 3
+    assert len(stored_versions(warehouse, tmp_path)) == 3
+    held.release()
+    last = kind(spark, tmp_path)
+    last.write("layer", "t", spark.range(8))
+    last.publish()
+    assert held.version not in stored_versions(last, tmp_path)
+    over = last.snapshot(hold=-1.0)  # its time is over at once
+    assert over.version not in last.held()
+    with pytest.raises(LookupError):
+        kind(spark, tmp_path / "none").snapshot()
+
+
+@pytest.mark.parametrize("fails_at", ["second view", "pointer"])
+def test_a_crash_while_publishing_leaves_one_version(spark, tmp_path, monkeypatch, fails_at):
+    """New columns make all views change; the run dies between two of them, or before the switch."""
+    first = catalog(spark, tmp_path)
+    for layer in ("a", "b", "c"):
+        first.write(layer, "t", spark.range(2).selectExpr("id", "1 as n"))
+    first.publish()
+    second = catalog(spark, tmp_path)
+    for layer in ("a", "b", "c"):
+        second.write(layer, "t", spark.range(5).selectExpr("id", "2 as n", "'x' as more"))
+    real, calls = CatalogWarehouse.show, []
+
+    def show(self, *told):
+        calls.append(told)
+        if fails_at == "second view" and len(calls) == 2:
+            raise RuntimeError("killed")
+        real(self, *told)
+
+    def log(self, name, *values):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(CatalogWarehouse, "show", show)
+        if fails_at == "pointer":
+            patch.setattr(CatalogWarehouse, "_log", log)
+        with pytest.raises(RuntimeError):
+            second.publish()
+    assert [sorted(tuple(r[:2]) for r in second.read(layer, "t").collect()) for layer in ("a", "b", "c")] == [[(0, 1), (1, 1)]] * 3
+    second.publish()
+    assert [second.read(layer, "t").where("n = 2 AND more = 'x'").count() for layer in ("a", "b", "c")] == [5] * 3
+
+
+def test_a_view_reads_the_files_of_one_version(spark, tmp_path):
+    warehouse = catalog(spark, tmp_path)
+    warehouse.write("layer", "t", spark.range(2))
+    warehouse.publish()
+    plan = warehouse.read("layer", "t")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(version" in plan and "Subquery" in plan
+    with pytest.raises(Exception, match="(?i)cast|type"):
+        catalog(spark, tmp_path).write("layer", "t", spark.createDataFrame([("x",)], "id string")).collect()
+
+
+@pytest.mark.parametrize("kind", [folder, catalog])
+def test_a_killed_run_leaves_nothing_after_the_next_one(spark, tmp_path, kind):
+    for n in (1, 2):
+        warehouse = kind(spark, tmp_path)
+        warehouse.write("layer", "t", spark.range(n))
+        warehouse.publish()
+    killed = kind(spark, tmp_path)
+    killed.write("layer", "t", spark.range(9))
+    assert killed.version in stored_versions(killed, tmp_path)
+    warehouse = kind(spark, tmp_path)
+    assert warehouse.unfinished() == killed.version
+    warehouse.write("layer", "t", spark.range(3))
+    warehouse.publish()
+    assert warehouse.read("layer", "t").count() == 3 and warehouse.unfinished() is None
+    assert killed.version not in stored_versions(warehouse, tmp_path) and killed.version not in warehouse.runs()
+
+
+@pytest.mark.parametrize("to", ["folder", "catalog"])
+def test_a_run_goes_on_where_it_broke_off(spark, tmp_path, monkeypatch, to):
+    (tmp_path / "raw").mkdir()
+    target = ["--out", str(tmp_path / "out")] if to == "folder" else ["--catalog", "--prefix", "r_"]
+    options = ["--raw", write_csv(tmp_path / "raw", sample_rows()), *target]
+    with monkeypatch.context() as patch:
+        patch.setattr(build, "error_rows", lambda mart: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            job.run(spark, job.parse(options))
+    kind = FolderWarehouse if to == "folder" else CatalogWarehouse
+    place = str(tmp_path / "out") if to == "folder" else "r_"
+    broken = kind(spark, place).unfinished()
+    written, real = [], kind.write
+    with monkeypatch.context() as patch:
+        patch.setattr(kind, "write", lambda self, layer, name, table: written.append(layer) or real(self, layer, name, table))
+        assert job.run(spark, job.parse([*options, "--resume"]))
+    assert "staging" not in written and {"marts", "checks", "reports"} <= set(written)
+    warehouse = kind(spark, place)
+    assert warehouse.published() == broken and warehouse.unfinished() is None
+    assert warehouse.read("reports", "error_details").count() == 34
+
+
+def test_a_store_that_only_spark_knows(spark, tmp_path):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("fs.viewfs.mounttable.shop.link./w", f"file://{tmp_path}")
+    for n in range(4):
+        warehouse = FolderWarehouse(spark, "viewfs://shop/w/out", keep=0.0)
+        warehouse.write("layer", "t", spark.range(n))
+        warehouse.publish()
+    assert warehouse.read("layer", "t").count() == 3
+    assert len(list((tmp_path / "out" / "versions").iterdir())) == 2
+
+
+def test_a_removal_that_fails_is_told(spark):
+    with pytest.warns(UserWarning, match="could not remove"):
+        assert not remove_folder("nosuchstore://x/y", spark)
 
 
 def test_tasks_follow_the_measured_size(spark, tmp_path):
