@@ -136,7 +136,8 @@ def _report(*kinds: str) -> Callable[[Inputs, DataFrame], DataFrame]:
 def _whole_report(source: Source, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every check over a stored warehouse, as the job runs them."""
     warehouse = FolderWarehouse(spark, scratch_path(spark, "warehouse"))
-    return quality_report(build_marts(warehouse, source(spark, sf_dir)).tables())
+    marts = build_marts(warehouse, source(spark, sf_dir))
+    return quality_report(marts.tables(), watched=marts.watched)
 
 
 def _golden_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,10 @@ FULL_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ Tt]|$)"
 ZONED_TIME = r":\d[\d:.]*\s*[A-Za-z+-]"
 
 
+# A full date and time of day without zone; nearly all timestamps look like this.
+PLAIN_MOMENT = r"\A\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,9})?\z"
+
+
 def clean_text(value: Column) -> Column:
     """Strip surrounding whitespace.
 
@@ -79,7 +83,15 @@ def utc_moment(local: Column) -> Column:
 
 
 def safe_timestamp(value: Column) -> Column:
-    """Text to timestamp. A text without zone is in UTC, whatever the session's zone."""
+    """Text to timestamp. A text without zone is in UTC, whatever the session's zone.
+
+    A plain one is cast once, with its zone added. All others take the long way.
+    """
+    plain = F.concat(value, F.lit("Z")).try_cast("timestamp")
+    return F.when(value.rlike(PLAIN_MOMENT), plain).otherwise(_other_timestamp(value))
+
+
+def _other_timestamp(value: Column) -> Column:
     moment = F.when(value.rlike(ZONED_TIME), value.try_cast("timestamp")).otherwise(
         utc_moment(value.try_cast("timestamp_ntz"))
     )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterable
+from collections.abc import Callable, Collection, Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyline.operators.checks import (
@@ -101,67 +101,111 @@ def _key_domains(
     return found
 
 
+RowCounts = dict[tuple[str, str, str], int]
+
+
+def watch_rows(
+    name: str, table: DataFrame, kinds: Iterable[str] = ROW_CHECKS
+) -> tuple[DataFrame, Callable[[], RowCounts]]:
+    """The table, which counts its failing rows while it is written, and how to get the counts then.
+
+    Counting takes no scan of its own. It sits in the stage that writes, whose tasks count once each,
+    however often they are tried.
+    """
+    conditions = _row_conditions(name, kinds)
+    if not conditions:
+        return table, dict
+    watch = Observation()
+    counts = [F.count_if(failing).alias(f"n{k}") for k, (*_, failing) in enumerate(conditions)]
+
+    def told() -> RowCounts:
+        found = watch.get
+        return {(name, check, column): found[f"n{k}"] for k, (check, column, _) in enumerate(conditions)}
+
+    return table.observe(watch, *counts), told
+
+
+def _counted_rows(name: str, table: DataFrame, conditions: list[tuple[str, str, Column]]) -> DataFrame:
+    """table_name, check_name, column_name, failing_rows of the checks that look at single rows."""
+    sums = table.agg(*[F.count_if(failing).alias(f"n{k}") for k, (*_, failing) in enumerate(conditions)])
+    lines = [_report_line(name, check, column, F.col(f"n{k}")) for k, (check, column, _) in enumerate(conditions)]
+    return sums.select(F.inline(F.array(*lines)))
+
+
+def _report_line(name: str, check: str, column: str, failing: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("table_name"),
+        F.lit(check).alias("check_name"),
+        F.lit(column).alias("column_name"),
+        failing.alias("failing_rows"),
+    )
+
+
+def _counted_keys(tables: dict[str, DataFrame], keyed: list[tuple[str, str, str, str, str | None]]) -> DataFrame:
+    """The same of the checks that compare keys.
+
+    A row gives an entry for each key that it owns or refers to: the number of the key's domain and
+    two hashes of it, 96 bits in all, which stand for the key. So what is added up in each task and
+    then shuffled is a few numbers, however long keys are. Every check is a sum over the counts.
+    """
+    owners = sorted({(parent, column) for *_, parent, column in keyed})
+    domain = {owner: k for k, owner in enumerate(owners)}
+    entries = [(name, column, domain[name, column], 1, 0) for name, column in owners]
+    entries += [(child, column, domain[parent, key], 0, 1) for check, child, column, parent, key in keyed if check == "relationships"]
+    parts = [
+        tables[name].where(F.col(column).isNotNull()).select(
+            F.lit(number).alias("domain"),
+            F.xxhash64(column).alias("h"),
+            F.hash(column).alias("g"),
+            F.lit(owned).alias("owned"),
+            F.lit(used).alias("used"),
+        )
+        for name, column, number, owned, used in entries
+    ]
+    counted = reduce(DataFrame.unionAll, parts).groupBy("domain", "h", "g").agg(
+        F.sum("owned").alias("owned"), F.sum("used").alias("used")
+    )
+    counts = []
+    for check, _, _, parent, key in keyed:
+        mine = F.col("domain") == domain[parent, key]
+        if check == "unique":
+            counts.append(F.count_if(mine & (F.col("owned") > 1)))
+        else:
+            counts.append(F.sum(F.when(mine & (F.col("owned") == 0), F.col("used"))))
+    sums = counted.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(f"n{k}") for k, c in enumerate(counts)])
+    lines = [_report_line(name, check, column, F.col(f"n{k}")) for k, (check, name, column, *_) in enumerate(keyed)]
+    return sums.select(F.inline(F.array(*lines)))
+
+
 def quality_report(
     tables: dict[str, DataFrame],
     kinds: Iterable[str] = (*ROW_CHECKS, "unique", "relationships"),
+    watched: RowCounts | None = None,
 ) -> DataFrame:
     """One line per check: table_name, check_name, column_name, failing_rows.
 
     failing_rows counts rows, and key values for `unique`. Tables that are not in `tables` are left
     out. A business anomaly is not a failure; it is what the marts are there to show.
 
-    Each table is read once. A row becomes one entry for every key it has a part in, as an owner or
-    as a reference, and one for every condition it fails; entries are counted by (domain, key), which
-    adds up in each task first, and all checks are sums over these counts.
+    Failing rows that were counted while the tables were written are given as `watched`. Those of
+    other checks take one pass over each table, without a shuffle of rows.
     """
     kinds = tuple(kinds)
-    keyed = _key_domains(tables, kinds)
-    owners = {(parent, column) for *_, parent, column in keyed}
-    domain = {owner: f"{owner[0]}.{owner[1]}" for owner in owners}
-    lines: list[tuple[str, str, str, Column]] = []
-    parts = []
+    parts, known = [], []
     for name, table in tables.items():
-        entries = [
-            F.struct(F.lit(domain[t, c]).alias("domain"), F.col(c).alias("key"), F.lit(1).alias("owned"), F.lit(0).alias("used"))
-            for t, c in sorted(owners)
-            if t == name
-        ]
-        entries += [
-            F.struct(F.lit(domain[parent, key]).alias("domain"), F.col(column).alias("key"), F.lit(0).alias("owned"), F.lit(1).alias("used"))
-            for check, child, column, parent, key in keyed
-            if check == "relationships" and child == name
-        ]
-        for check, column, failing in _row_conditions(name, kinds):
-            own = f"{name}.{check}.{column}"
-            entry = F.struct(F.lit(own).alias("domain"), F.lit("").alias("key"), F.lit(1).alias("owned"), F.lit(0).alias("used"))
-            entries.append(F.when(failing, entry))
-            lines.append((name, check, column, F.sum(F.when(F.col("domain") == own, F.col("owned")))))
-        if entries:
-            told = table.select(F.inline(F.filter(F.array(*entries), lambda e: e["key"].isNotNull())))
-            parts.append(told)
-    for check, name, column, parent, key in keyed:
-        mine = F.col("domain") == domain[parent, key]
-        if check == "unique":
-            count = F.count_if(mine & (F.col("owned") > 1))
-        else:
-            count = F.sum(F.when(mine & (F.col("owned") == 0), F.col("used")))
-        lines.append((name, check, column, count))
-    counted = reduce(DataFrame.unionAll, parts).groupBy("domain", "key").agg(
-        F.sum("owned").alias("owned"), F.sum("used").alias("used")
-    )
-    sums = counted.agg(
-        *[F.coalesce(count, F.lit(0)).cast("bigint").alias(f"n{i}") for i, (*_, count) in enumerate(lines)]
-    )
-    report = [
-        F.struct(
-            F.lit(name).alias("table_name"),
-            F.lit(check).alias("check_name"),
-            F.lit(column).alias("column_name"),
-            F.col(f"n{i}").alias("failing_rows"),
-        )
-        for i, (name, check, column, _) in enumerate(lines)
-    ]
-    return sums.select(F.inline(F.array(*report)))
+        conditions = _row_conditions(name, kinds)
+        seen = [(name, check, column) for check, column, _ in conditions if (name, check, column) in (watched or {})]
+        known += [(*line, watched[line]) for line in seen]
+        left = [c for c in conditions if (name, *c[:2]) not in seen]
+        if left:
+            parts.append(_counted_rows(name, table, left))
+    if known:
+        schema = "table_name string, check_name string, column_name string, failing_rows bigint"
+        parts.append(next(iter(tables.values())).sparkSession.createDataFrame(known, schema))
+    keyed = _key_domains(tables, kinds)
+    if keyed:
+        parts.append(_counted_keys(tables, keyed))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def row_report(name: str, table: DataFrame, kinds: Iterable[str] = ROW_CHECKS) -> DataFrame:
