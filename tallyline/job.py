@@ -51,7 +51,7 @@ def parse(arguments: Sequence[str]) -> argparse.Namespace:
         "--input-gib", type=int, help="size of the input to size tasks by, if not the measured one"
     )
     parser.add_argument(
-        "--multi-line", action="store_true", help="quoted line breaks in CSV; one task per file"
+        "--multi-line", action="store_true", help="quoted line breaks in CSV are data"
     )
     return parser.parse_args(arguments)
 

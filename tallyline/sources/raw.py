@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tallyline.operators.golden import Golden
 from tallyline.operators.rules import FLAGS
 from tallyline.schemas import RAW_COLUMNS, Inputs, raw_schema
+from tallyline.sources.records import read_records
 
 
 BAD_LINE = "bad_line"
@@ -29,7 +30,8 @@ def read_csv(spark: SparkSession, path: str, table: str, multi_line: bool = Fals
     """UTF-8 with a header line. A line with too few or too many fields fails the read.
 
     Lines are not joined, so that large files stay splittable; a quoted line break then makes two
-    bad lines. With multi_line they are joined, and each file is read by one task.
+    bad lines. With multi_line they are joined, and each file is read by one task;
+    records.read_records gives the same rows by many.
     """
     reader = _csv(spark, multi_line).schema(raw_schema(table))
     return reader.option("mode", "FAILFAST").csv(path)
@@ -55,16 +57,21 @@ def bad_lines(lines: DataFrame) -> DataFrame:
     return lines.where(F.col(BAD_LINE).isNotNull()).select(BAD_LINE)
 
 
-def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = False) -> Inputs:
+def read_csv_folder(
+    spark: SparkSession, folder: str, multi_line: bool = False, whole_files: bool = False
+) -> Inputs:
     """`folder` holds merchants.csv, orders.csv, payments.csv and settlements.csv.
 
-    Each may be one file or a folder of part files.
+    Each may be one file or a folder of part files. With multi_line, quoted line breaks are data, and
+    files are still split over tasks; with whole_files too, Spark reads each by one task.
     """
-    return Inputs(
-        **{
-            name: read_csv(spark, f"{folder}/{name}.csv", name, multi_line) for name in RAW_COLUMNS
-        }
-    )
+
+    def read(name: str) -> DataFrame:
+        path = f"{folder}/{name}.csv"
+        split = multi_line and not whole_files
+        return read_records(spark, path, name) if split else read_csv(spark, path, name, multi_line)
+
+    return Inputs(**{name: read(name) for name in RAW_COLUMNS})
 
 
 def read_parquet_folder(spark: SparkSession, folder: str) -> Inputs:
