@@ -35,7 +35,7 @@ from tallyline.operators.joins import (  # noqa: E402
 )
 from tallyline.operators.rules import FLAGS, RULES, Rule  # noqa: E402
 from tallyline.operators.staging import STAGES, stage  # noqa: E402
-from tallyline.plans.build import build_marts  # noqa: E402
+from tallyline.plans.build import build_marts, load_raw  # noqa: E402
 from tallyline.plans.quality import (  # noqa: E402
     ACCEPTED_VALUES,
     ORDER_MART,
@@ -62,7 +62,11 @@ from tallyline.sources.raw import (  # noqa: E402
     good_lines,
     read_csv,
     read_csv_lines,
+    read_golden_folder,
+    read_namespace,
+    read_parquet_folder,
 )
+from tallyline.sources.records import read_records  # noqa: E402
 from tallyline.sources.warehouse import (  # noqa: E402
     CatalogWarehouse,
     FolderWarehouse,
@@ -203,6 +207,56 @@ def _catalog_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(spark.table(f"spark_catalog.{prefix}marts.{ORDER_MART}"))
 
 
+def _reload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write merchants whose names have line breaks, quotes and commas, and read them by records."""
+    location = scratch_path(spark, "records.csv")
+    merchants = derived_inputs(spark, sf_dir).merchants
+    broken = F.concat("merchant_name", F.lit('\n"'), "merchant_id", F.lit('",\n\n'))
+    written = merchants.select("merchant_id", broken.alias("merchant_name"), F.lit("0.1").alias("fee_rate"))
+    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+    written.write.csv(location, header=True, **plain)
+    return read_records(spark, location, "merchants")
+
+
+def _reload_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the raw tables as a folder of parquet and stage its payments."""
+    folder = scratch_path(spark, "raw")
+    for name, table in derived_inputs(spark, sf_dir).items():
+        table.write.parquet(f"{folder}/{name}.parquet")
+    return _zoneless(stage(read_parquet_folder(spark, folder)).payments)
+
+
+def _reload_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep the raw tables in the catalog, publish them and stage the orders by their names."""
+    prefix = f"raw_{uuid4().hex}_"
+    warehouse = CatalogWarehouse(spark, prefix, scratch_path(spark, "catalog"))
+    load_raw(warehouse, derived_inputs(spark, sf_dir))
+    warehouse.publish()
+    return _zoneless(stage(read_namespace(spark, f"{prefix}raw")).orders)
+
+
+def _reload_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write expected results as CSV and read them typed."""
+    folder = scratch_path(spark, "golden")
+    expected_verdicts(spark, sf_dir).write.csv(f"{folder}/orders.csv", header=True)
+    metrics = spark.createDataFrame([("total_orders", 1)], "metric string, expected_value bigint")
+    metrics.write.csv(f"{folder}/metrics.csv", header=True)
+    return read_golden_folder(spark, folder).orders
+
+
+def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish settlements, hold that version, and read it after two later publications."""
+    root = scratch_path(spark, "held")
+    held = None
+    for rows in ("true", "false", "gross_amount > 0"):
+        warehouse = FolderWarehouse(spark, root, keep=0.0)
+        settlements = stage(derived_inputs(spark, sf_dir)).settlements
+        warehouse.write("staging", "stg_settlements", settlements.where(rows))
+        warehouse.publish()
+        held = held or warehouse.snapshot()
+    return _zoneless(held.read("staging", "stg_settlements"))
+
+
 def _damaged_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of a file of merchants, of which some are too short, too long or broken in two."""
     location = scratch_path(spark, "damaged.csv")
@@ -304,6 +358,11 @@ def queries() -> dict[str, Query]:
         "quality_report": partial(_whole_report, derived_inputs),
         "rebuild_warehouse": _rebuild,
         "catalog_round_trip": _catalog_round_trip,
+        "reload_records_merchants": _reload_records,
+        "reload_parquet_payments": _reload_parquet,
+        "reload_namespace_orders": _reload_namespace,
+        "reload_golden_orders": _reload_golden,
+        "snapshot_settlements": _snapshot,
         "csv_good_lines": lambda spark, sf_dir: good_lines(_damaged_csv(spark, sf_dir)),
         "csv_bad_lines": lambda spark, sf_dir: bad_lines(_damaged_csv(spark, sf_dir)),
         "messy_fct_payment_reconciliation": _from_mart(lambda mart: mart, messy),

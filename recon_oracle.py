@@ -403,6 +403,13 @@ def oracles() -> dict[str, str]:
         **{f"check_{name}": _checks(name) for name in CHECKS},
         "quality_report": _checks(*CHECKS),
         "catalog_round_trip": "SELECT * FROM fct",
+        "reload_records_merchants":
+            "SELECT merchant_id, concat(merchant_name, chr(10), '\"', merchant_id, '\",', chr(10), chr(10)) "
+            "AS merchant_name, '0.1' AS fee_rate FROM raw_merchants",
+        "reload_parquet_payments": "SELECT * FROM stg_payments",
+        "reload_namespace_orders": "SELECT * FROM stg_orders",
+        "reload_golden_orders": "SELECT * FROM expected",
+        "snapshot_settlements": "SELECT * FROM stg_settlements",
         "csv_good_lines": """
             SELECT concat('M', c_custkey) AS merchant_id, concat(c_name, ', "x"') AS merchant_name,
                    '0.03' AS fee_rate

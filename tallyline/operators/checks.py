@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators.rules import raised_flags, verdict
+from tallyline.sources.warehouse import materialize
 
 
 def missing_value(column: str) -> Column:
@@ -33,9 +34,27 @@ def key_counts(table: DataFrame, key: str) -> DataFrame:
     return table.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_records"))
 
 
-def duplicate_keys(table: DataFrame, key: str) -> DataFrame:
-    """Key values that occur more than once, with their number of rows."""
-    return key_counts(table, key).where(F.col("n_records") > 1)
+def suspect_hashes(table: DataFrame, key: str) -> DataFrame:
+    """Hashes that more than one row's key has. Eight bytes and a count stand for a key here, added up
+    in each task first, so keys themselves stay where they are."""
+    hashes = table.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"))
+    return hashes.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("h")
+
+
+def duplicate_keys(table: DataFrame, key: str, broadcast_hashes: int = 1_000_000) -> DataFrame:
+    """Key values that occur more than once, with their number of rows.
+
+    Two passes: the first finds the hashes that occur more than once, the second counts the keys that
+    have one of these, exactly. So of keys that occur once only hashes are shuffled, apart from the
+    very few whose hash another key shares. Up to `broadcast_hashes` hashes (16 MB) are broadcast, as
+    counted; more are joined.
+    """
+    suspects = materialize(suspect_hashes(table, key), "suspect_hashes")
+    if suspects.count() <= broadcast_hashes:
+        suspects = F.broadcast(suspects)
+    hashed = F.xxhash64(table[key]) == suspects["h"]
+    keys = table.join(suspects, hashed, "left_semi")
+    return key_counts(keys, key).where(F.col("n_records") > 1)
 
 
 def unexpected_values(table: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:

@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators.rules import FLAGS
+from tallyline.session import planned_bytes
+
+#: Expected orders of up to this planned size are broadcast.
+SHORT_LIST_BYTES = 32 * 1024 * 1024
 
 COMPARED = [*FLAGS, "error_count", "reconciliation_status"]
 
@@ -26,26 +30,38 @@ def _expected(name: str) -> str:
     return f"expected_{name}"
 
 
-def _any_difference() -> Column:
-    return reduce(or_, [~F.col(name).eqNullSafe(F.col(_expected(name))) for name in COMPARED])
-
-
 def order_differences(expected: DataFrame, mart: DataFrame) -> DataFrame:
-    """Expected orders whose flags, count or status differ, or that the mart lacks.
+    """Expected orders whose flags, count or status differ, or that the mart lacks: a full outer join
+    limited to expected orders.
 
-    The mart is limited to expected orders, so a full outer join of both is the matching rows plus
-    the expected orders without a match. Written as these two parts, a short list of expected
-    orders is broadcast and the mart is not shuffled, and a long one splits on either side.
+    Rows of both are put together and counted by order and values, in each task first, so that an
+    order that is very often in the mart is one row for each verdict that it has; then each order's
+    verdicts are gathered and compared. The mart is read once, and no join can be crowded. Expected
+    orders that Spark plans to be small are broadcast first, and the others of the mart stay out.
     """
-    actual = mart.select("order_id", *COMPARED)
-    differing = expected.join(actual, "order_id", "inner").where(_any_difference())
-    present = mart.select("order_id").join(expected, "order_id", "left_semi").distinct()
-    absent = expected.join(present, "order_id", "left_anti").select(
-        *expected.columns,
-        *[F.lit(None).cast(mart.schema[name].dataType).alias(name) for name in COMPARED],
+    wanted_type = expected.select(F.struct(*map(_expected, COMPARED)).alias("w")).schema["w"].dataType
+    found_type = mart.select(F.struct(*COMPARED).alias("f")).schema["f"].dataType
+    actual = mart.where(F.col("order_id").isNotNull())
+    size = planned_bytes(expected)
+    if size is not None and size <= SHORT_LIST_BYTES:
+        actual = actual.join(F.broadcast(expected.select("order_id")), "order_id", "left_semi")
+    wanted = F.struct(*map(_expected, COMPARED)).alias("wanted")
+    found = F.struct(*COMPARED).alias("found")
+    tagged = expected.select("order_id", wanted, F.lit(None).cast(found_type).alias("found")).unionAll(
+        actual.select("order_id", F.lit(None).cast(wanted_type).alias("wanted"), found)
     )
-    columns = ["order_id", *map(_expected, COMPARED), *COMPARED]
-    return differing.select(columns).unionByName(absent.select(columns))
+    counted = tagged.groupBy("order_id", "wanted", "found").agg(F.count("*").alias("times"))
+
+    def gathered(name: str) -> Column:
+        return F.collect_list(F.when(F.col(name).isNotNull(), F.struct(name, "times")))
+
+    orders = counted.groupBy("order_id").agg(gathered("wanted").alias("w"), gathered("found").alias("f"))
+    sides = orders.where(F.size("w") > 0).select("order_id", "f", F.inline("w"))
+    sides = sides.select("order_id", "wanted", F.col("times").alias("n"), F.inline_outer("f"))
+    differ = reduce(or_, [~F.col(f"found.{c}").eqNullSafe(F.col(f"wanted.{_expected(c)}")) for c in COMPARED])
+    rows = sides.where(F.col("found").isNull() | differ)
+    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n") * F.coalesce("times", F.lit(1).cast("bigint"))))
+    return rows.select("order_id", "wanted", "found", again.alias("time")).select("order_id", "wanted.*", "found.*")
 
 
 def metric_distribution(mart: DataFrame, errors: DataFrame) -> DataFrame:
