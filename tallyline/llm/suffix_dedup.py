@@ -1,10 +1,14 @@
 """Dedup of passages: bytes that repeat a passage of an earlier document are removed.
 
-A suffix array with longest previous factors would tell which suffixes share at least LENGTH bytes with
-one of an earlier document. It is not built, and neither are previous and next smaller positions: only
-whether LENGTH bytes are shared matters, so every LENGTH-byte string is looked up by its hash, and it
-has an earlier match just if the smallest doc_id of equal strings is smaller. A suffix array over the
-corpus does not split into parts; hashes do, and the removed bytes are the same.
+A string of LENGTH bytes goes if it starts in an earlier document too. That is read off suffix order:
+longest previous factors tell how much each suffix shares with one of an earlier document. In suffix
+order the best such match lies at the previous or the next place whose document is smaller, and what is
+shared with it is the least of what neighbours share in between. Places whose factor reaches LENGTH
+bytes mark the bytes that go, so the first copy stays. A longer match is the sum of those that begin one
+byte on, so suffixes are compared for LENGTH bytes, eight at a time, and no further.
+
+One suffix order of a whole corpus does not split into parts. But only suffixes that share LENGTH bytes
+must meet, so the order is built for parts in which these are together.
 
 The work is done in parts that never need the whole corpus. Each string belongs to its anchor, the
 smallest hash among its ANCHOR-byte substrings, so equal strings have equal anchors, and neighbouring
@@ -14,16 +18,18 @@ belong to it. Then
 1. documents are dealt to groups; every group sends the distinct anchors it has, by hash bucket,
 2. every bucket tells each group which of its anchors other groups have too,
 3. every group sends the distinct segments of repeated anchors, each with its smallest doc_id,
-4. every bucket sorts the strings of its segments by hash and answers, for every segment sent, which of its
-   strings have an earlier match,
+4. every bucket puts the suffixes of its segments that are long enough in order, finds their longest
+   previous factors and answers, for every segment sent, which of its strings have an earlier match,
 5. every group marks the bytes of those strings.
 
 An anchor of more than HOT_SEGMENTS segments in all is split: its strings are not sent as segments to the
 bucket of the anchor, but one by one, as hashes with their smallest doc_id in the group, to the buckets
-of the hashes. Equal strings have equal anchors, so either all of them take this way or none.
+of the hashes, whose bytes are put in order there. Equal strings have equal anchors, so either all of
+them take this way or none.
 
 A group sends an anchor, segment or string once, however many of its documents have it, so a passage that a
-third of all documents share is a few rows for each group. Strings are told apart by 64-bit hashes.
+third of all documents share is a few rows for each group. Anchors and segments are told apart by 64-bit
+hashes.
 
 Null texts are empty. Strings of the same doc_id do not remove each other, so repeated rows of a
 document are treated alike; rows without doc_id are kept whole and remove nothing.
@@ -44,7 +50,7 @@ from tallyline.llm.bpe import added
 from tallyline.llm.textbytes import ROOT, blocks, eights, mix, release_memory, string_hashes, utf8
 
 LENGTH, ANCHOR = 50, 24
-GROUP_BYTES, GROUPS_PER_TASK, BUCKET_BYTES = 4_000_000, 4, 6_000_000
+GROUP_BYTES, GROUPS_PER_TASK, BUCKET_BYTES = 4_000_000, 4, 4_000_000
 MESSAGE = "group long, bucket long, kind int, body binary"
 ANCHORS, SEGMENTS, STRINGS = 1, 3, 4
 HOT_SEGMENTS = 50_000
@@ -299,20 +305,68 @@ class Repeats:
         return np.cumsum(edge[:-1]) > 0
 
 
-def earlier_matches(doc: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """Whether each string has an equal one of a smaller document.
-
-    Sorted by code, equal strings are a run, and one has an earlier match if the run's smallest is smaller.
-    """
-    order = np.argsort(code, kind="stable")
-    ordered = code[order]
-    heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    smallest = np.minimum.reduceat(doc[order], heads)
-    out = np.empty(len(doc), bool)
-    out[order] = np.repeat(smallest, np.diff(np.append(heads, len(doc)))) < doc[order]
+Words = Callable[[np.ndarray, int], np.ndarray]
+
+
+def suffix_order(n: int, word: Words, steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of n suffixes by their first words, and of how many words each, but the first, shares
+    with the one before it. word gives the k-th word of some suffixes; ties alone are read further."""
+    order = np.argsort(word(np.arange(n), 0), kind="stable")
+    own = word(order, 0)
+    same = np.zeros(n, bool)
+    same[1:] = own[1:] == own[:-1]
+    shared = np.zeros(n, np.int16)
+    for step in range(1, steps):
+        shared[same] = step
+        tied = same.copy()
+        tied[:-1] |= same[1:]
+        at = np.flatnonzero(tied)
+        if not len(at):
+            break
+        run = np.cumsum(~same)[at]
+        own = word(order[at], step)
+        turn = np.lexsort((own, run))
+        order[at], own = order[at][turn], own[turn]
+        same = np.zeros(n, bool)
+        same[at[1:]] = (own[1:] == own[:-1]) & (run[1:] == run[:-1])
+    shared[same] = steps
+    return order, shared
+
+
+def previous_smaller(doc: np.ndarray, shared: np.ndarray, enough: int) -> np.ndarray:
+    """How many words each place shares with the nearest one before it of a smaller document; 0 if fewer
+    than enough. Everybody looks on from where the one before has got to, so steps double."""
+    before, least = np.arange(len(doc)) - 1, shared.copy()
+    live = np.flatnonzero(least >= enough)
+    live = live[doc[before[live]] >= doc[live]]
+    while len(live):
+        at = before[live]
+        least[live], before[live] = np.minimum(least[live], least[at]), before[at]
+        live = live[least[live] >= enough]
+        live = live[doc[before[live]] >= doc[live]]
+    return np.where(least >= enough, least, 0)
+
+
+def longest_previous(doc: np.ndarray, word: Words, steps: int, enough: int = 1) -> np.ndarray:
+    """How many words each suffix shares with one of an earlier document, if enough; else 0."""
+    order, shared = suffix_order(len(doc), word, steps)
+    ordered = doc[order]
+    back = np.zeros(len(doc), shared.dtype)
+    back[1:] = shared[:0:-1]
+    left = previous_smaller(ordered, shared, enough)
+    right = previous_smaller(ordered[::-1], back, enough)[::-1]
+    out = np.empty(len(doc), shared.dtype)
+    out[order] = np.maximum(left, right)
     return out
 
 
+def words_at(data: np.ndarray, place: np.ndarray, length: int) -> tuple[Words, int]:
+    """The words of the strings of length bytes that begin at some places; the last one overlaps."""
+    every = np.ndarray((max(0, len(data) - 7),), ">u8", buffer=np.ascontiguousarray(data), strides=(1,))
+    starts = [*range(0, length - 8, 8), length - 8]
+    return lambda which, step: every[place[which] + starts[step]].astype(np.uint64), len(starts)
+
+
 def answered_segments(length: int) -> Callable:
     """For every group of a bucket, a mask for each segment: which of its strings have an earlier match;
     and a bit for each string that was sent alone."""
@@ -322,7 +376,7 @@ def answered_segments(length: int) -> Callable:
         sizes = [len(b) // 16 for b in bodies]
         docs = np.concatenate([np.frombuffer(b, "<i8", n) for b, n in zip(bodies, sizes, strict=True)])
         codes = np.concatenate([np.frombuffer(b, "<u8", n, 8 * n) for b, n in zip(bodies, sizes, strict=True)])
-        earlier = np.split(earlier_matches(docs, codes), np.cumsum(sizes)[:-1])
+        earlier = np.split(longest_previous(docs, lambda which, _: codes[which], 1) > 0, np.cumsum(sizes)[:-1])
         groups = rows.column("group").to_pylist()
         return messages([(g, bucket, STRINGS, np.packbits(x).tobytes()) for g, x in zip(groups, earlier, strict=True)])
 
@@ -335,20 +389,18 @@ def answered_segments(length: int) -> Callable:
             rows = rows.filter(pa.array(~alone))
             if not rows.num_rows:
                 return
-        docs, counts, codes = [], [], []
+        docs, counts, parts = [], [], []
         for body in rows.column("body").to_pylist():
             n = int(np.frombuffer(body, "<i8", 1)[0])
             docs.append(np.frombuffer(body, "<i8", n, 8))
             count = np.frombuffer(body, np.uint8, n, 8 + 8 * n).astype(np.int64)
-            data = np.frombuffer(body, np.uint8, offset=8 + 9 * n)
+            parts.append(np.frombuffer(body, np.uint8, offset=8 + 9 * n))
             counts.append(count)
-            at = np.concatenate([[0], np.cumsum(count - 1 + length)])
-            for a, b in blocks(at):
-                own = count[a:b]
-                first = np.repeat(at[a:b] - at[a], own) + within(own)
-                codes.append(string_hashes(eights(data[at[a] : at[b]]), length)[first])
-        count = np.concatenate(counts)
-        earlier = earlier_matches(np.repeat(np.concatenate(docs), count), np.concatenate(codes))
+        count, data = np.concatenate(counts), np.concatenate(parts)
+        size = count - 1 + length
+        place = np.repeat(np.cumsum(size) - size, count) + within(count)
+        word, steps = words_at(data, place, length)
+        earlier = longest_previous(np.repeat(np.concatenate(docs), count), word, steps, steps) >= steps
         kind = mask_type(length)
         masks = np.add.reduceat(earlier.astype(kind) << within(count).astype(kind), np.cumsum(count) - count).astype(kind)
         ends = np.cumsum([0, *map(len, counts)])

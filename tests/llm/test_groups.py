@@ -169,6 +169,32 @@ def test_a_hot_anchor_is_spread_over_buckets():
     assert 0 < size.max() < 2 * size.mean()
 
 
+@pytest.mark.parametrize(("length", "alphabet", "enough"), [(8, 2, 1), (50, 2, 1), (50, 2, 7), (21, 1, 1)])
+def test_longest_previous_factors(length, alphabet, enough):
+    """Against comparing every suffix with every one of an earlier document."""
+    rng = np.random.default_rng(length)
+    data = rng.integers(97, 97 + alphabet, 700).astype(np.uint8)
+    data[300:420] = data[100:220]
+    data[500:640] = data[90:230]
+    place = rng.permutation(len(data) - length + 1)
+    doc = rng.integers(0, 9, len(place)) + place // 100
+    word, steps = suffix_dedup.words_at(data, place, length)
+    starts = [*range(0, length - 8, 8), length - 8]
+    texts = [[data[p + a : p + a + 8].tobytes() for a in starts] for p in place]
+    got = suffix_dedup.longest_previous(doc, word, steps, enough)
+    for k in range(0, len(place), 3):
+        best = 0
+        for j in range(len(place)):
+            if doc[j] < doc[k]:
+                same = next((n for n, (x, y) in enumerate(zip(texts[k], texts[j], strict=True)) if x != y), steps)
+                best = max(best, same)
+        assert got[k] == (best if best >= enough else 0)
+    assert (got == steps).any()
+    order, _ = suffix_dedup.suffix_order(len(place), word, steps)
+    ordered = [data[place[k] : place[k] + length].tobytes() for k in order]
+    assert ordered == sorted(ordered)
+
+
 def test_whole_characters_stay(spark):
     rows = passages()
     expected = {}
