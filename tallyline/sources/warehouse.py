@@ -15,7 +15,8 @@ import shutil
 import tempfile
 import time
 import warnings
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import cache
 from threading import Lock
@@ -401,6 +402,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}"
 
 
+@contextmanager
+def scratch_of_its_own() -> Iterator[list[str]]:
+    """The folders that scratch_path() gives out within the block, in order. Those that are removed
+    early need not be told: removing a missing folder is fine."""
+    before, used = len(_scratch), []
+    yield used
+    used += _scratch[before:]
+
+
 def clear_scratch() -> None:
     """Remove what scratch_path() has given out. Tables that read from there must be done with."""
     while _scratch:
