@@ -111,6 +111,10 @@ def grams(data: np.ndarray, at: np.ndarray, order: int) -> tuple[np.ndarray, np.
     return code[within[pad:]], owner[within[pad:]]
 
 
+#: N-grams that a task holds, of all languages together.
+HELD_GRAMS = 1_000_000
+
+
 def base_failed(n_words, n_repeat_words):
     """The base rules, of columns or of arrays."""
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
@@ -144,6 +148,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, list] = {}
+        held = 0  # n-grams of all languages together
         for batch in batches:
             for lang, rows in by_language(batch):
                 texts = batch.column(batch.schema.names.index("text")).take(pa.array(rows))
@@ -155,14 +160,16 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
                     codes, _ = grams(data[at[first] : at[last]], at[first : last + 1] - at[first], order)
                     parts = kept.setdefault(lang, [])
                     parts.append(np.unique(codes, return_counts=True))
-                    if sum(len(p[0]) for p in parts) > 2_000_000:
-                        kept[lang] = parts = [merged(parts)]
-                        if len(parts[0][0]) > 1_000_000:  # bounded memory; Spark adds the rows up
-                            yield as_rows(lang, *parts[0])
-                            kept[lang] = []
+                    held += len(parts[-1][0])
+                    if held > 2 * HELD_GRAMS:
+                        kept = {k: [merged(own)] for k, own in kept.items()}
+                        held = sum(len(own[0][0]) for own in kept.values())
+                    while held > HELD_GRAMS and all(len(own) == 1 for own in kept.values()):
+                        most_held = max(kept, key=lambda k: len(kept[k][0][0]))  # Spark adds its rows up
+                        held -= len(kept[most_held][0][0])
+                        yield as_rows(most_held, *kept.pop(most_held)[0])
         for lang, parts in kept.items():
-            if parts:
-                yield as_rows(lang, *merged(parts))
+            yield as_rows(lang, *merged(parts))
 
     def as_rows(lang: str, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         langs = pa.array(np.zeros(len(codes), np.int32))
@@ -181,7 +188,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     levels = {order: counts}
     for size in range(order - 1, 0, -1):  # the number of different bytes before it
         shorter = (F.col("gram").bitwiseAND((1 << 8 * size) - 1)).alias("gram")
-        levels[size] = levels[size + 1].groupBy("lang", shorter).agg(F.count("*").alias("n"))
+        levels[size] = stored(levels[size + 1].groupBy("lang", shorter).agg(F.count("*").alias("n")), "level")
     few = counts.select("lang").distinct().count() <= BROADCAST_LANGUAGES
 
     def narrow(table: DataFrame) -> DataFrame:
@@ -213,7 +220,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
             below = lower.select("lang", F.col("gram").alias("tail"), F.col("p").alias("p_below"))
             chance = rows.withColumn("tail", tail).join(below, ["lang", "tail"])
             chance = chance.select("lang", "gram", "context", "weight", (F.col("share") + F.col("weight") * F.col("p_below")).alias("p"))
-        lower = chance
+        lower = chance = stored(chance, "chances")  # read by its own rows, its contexts and the next size
         out.append(chance.select("lang", F.lit(size).alias("size"), F.lit(0).alias("kind"), "gram", F.log2("p").alias("value")))
         contexts = chance.groupBy("lang", "context").agg(F.first("weight").alias("weight"))
         out.append(contexts.select("lang", F.lit(size).alias("size"), F.lit(1), F.col("context"), F.log2(F.greatest("weight", F.lit(1e-12)))))
@@ -389,7 +396,8 @@ def assess(docs: DataFrame, keep: list[str], order: int = ORDER, reach: float =
     source = source.withColumn("band_lang", language).join(symbols, "band_lang", "left").fillna(0.0, ["most_symbols"])
     source = source.withColumns({"scored_by": F.concat_ws("\n", "band_lang", half), "teaches": F.concat_ws("\n", "band_lang", 1 - half)})
     taught = source.select(F.col("teaches").alias("lang"), "text", "most_symbols")
-    model = stored(kneser_ney(stored(count_grams(taught, order), "grams"), order), "model")
+    model = kneser_ney(stored(count_grams(taught, order), "grams"), order)
+    model = stored(model.withColumn("value", F.col("value").cast("float")), "model")
     if model.count() <= model_rows:
         scored = measured(source, arrays_of(model), order, "scored_by")
     else:

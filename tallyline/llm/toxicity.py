@@ -43,6 +43,10 @@ WINDOW, STRIDE = 32, 24
 WORD_DIM = CHAR_DIM = HIDDEN = 8
 GRAMS, GRAM_SIZES = 1 << 16, (3, 4, 5)
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1000, 1500, 16_000_000
+#: The share of clean windows whose evidence counts for nothing, and the neighbouring windows that make
+#: up the score of a text.
+CLEAN_WINDOWS, RUN = 0.99, 8
+
 LEAST_DOCS, SHRINK, STEPS, BATCH, RATE = 5, 5.0, 250, 32, 0.015
 CACHE_WORDS = 100_000
 THRESHOLD = 0.7
@@ -285,8 +289,12 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 net[k] = net[k] - (rate * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
-    model = {"net": net, "vocabulary": vocabulary, "scale": 1.0, "move": 0.0}
+    model = {"net": net, "vocabulary": vocabulary, "floor": 0.0, "scale": 1.0, "move": 0.0}
     scorer = Scorer(model)
+    clean = [t for t, y in zip(texts, toxic, strict=True) if not y]
+    found = [scorer.windows(clean[k : k + 100])[1] for k in range(0, len(clean), 100)]
+    if sum(map(len, found)):
+        model["floor"] = scorer.floor = float(np.quantile(np.concatenate(found), CLEAN_WINDOWS))
     odds = np.concatenate([scorer.log_odds(texts[k : k + 100]) for k in range(0, len(texts), 100)])
     model["scale"], model["move"] = calibrated(odds, toxic, weights)
     return model
@@ -297,7 +305,7 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.net, self.vocabulary, self.known = model["net"], model["vocabulary"], {}
-        self.scale, self.move = model["scale"], model["move"]
+        self.floor, self.scale, self.move = model["floor"], model["scale"], model["move"]
         self.table = np.zeros((2, 0, 3 * HIDDEN), np.float32)
         self.room = 0
 
@@ -319,6 +327,17 @@ class Scorer:
         return 1 / (1 + np.exp(-(self.scale * self.log_odds(texts) + self.move)))
 
     def log_odds(self, texts: list[str | None]) -> np.ndarray:
+        """What the windows of each text say beyond what nearly all clean windows say, added up over the
+        RUN neighbouring ones that say most. So a text is no worse for being long."""
+        doc, said = self.windows(texts)
+        beyond = np.cumsum(np.maximum(0, said.astype(float) - self.floor), dtype=float)
+        first = np.maximum(np.arange(len(doc)) - RUN + 1, np.searchsorted(doc, doc))
+        most = np.zeros(len(texts))
+        np.maximum.at(most, doc, beyond - np.where(first > 0, beyond[first - 1], 0.0))
+        return float(self.net["base"][0]) + most
+
+    def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The text of each window, and its evidence, which is never below zero."""
         split = [WORD.findall(t.lower()) if t else [] for t in texts]
         known = self.known
         every = set().union(*split)
@@ -332,7 +351,7 @@ class Scorer:
             cut = slice(a, a + 2000)
             rows, there = both_ways(doc[cut], first[cut], size[cut], words)
             evidence[cut] = forward(self.net, self.table, rows, there, False)[0]
-        return (self.net["base"] + np.bincount(doc, softplus(evidence), len(texts))).astype(float)
+        return doc, softplus(evidence)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict | float:

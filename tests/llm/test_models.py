@@ -52,6 +52,36 @@ def test_toxicity_on_held_out_rows(spark, monkeypatch):
     assert len({round(r["score"], 9) for r in rows if r["doc_id"] == 5003}) == 1
 
 
+def test_clean_texts_are_clean_however_long(spark, monkeypatch):
+    """Joined clean documents of 16,000 words stay clean; one toxic document among them shows."""
+    monkeypatch.setattr(toxicity, "STEPS", 250)
+    docs, labels = toxic_rows(700)
+    texts, toxic = [t for _, t in docs], np.array([y for *_, y in labels], float)
+    scorer = toxicity.Scorer(toxicity.train(texts, toxic, np.ones(len(texts))))
+    clean = [t for t, y in zip(texts, toxic, strict=True) if not y and scorer.score([t])[0] < 0.2]
+    rude = max((t for t, y in zip(texts, toxic, strict=True) if y), key=lambda t: scorer.score([t])[0])
+    joined = " ".join(clean[:200])
+    assert len(joined.split()) > 15_000
+    assert scorer.score([joined])[0] < 0.7 <= scorer.score([joined + " " + rude + " " + joined])[0]
+
+
+def plain_log_odds(scorer, text: str) -> float:
+    """Window by window, and run by run."""
+    doc, said = scorer.windows([text])
+    beyond = [max(0.0, float(x) - scorer.floor) for x in said]
+    runs = [sum(beyond[max(0, k - toxicity.RUN + 1) : k + 1]) for k in range(len(beyond))]
+    return float(scorer.net["base"][0]) + max(runs, default=0.0)
+
+
+def test_scores_of_texts_do_not_depend_on_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 30)
+    docs, labels = toxic_rows(120)
+    texts = [t for _, t in docs]
+    scorer = toxicity.Scorer(toxicity.train(texts, np.array([y for *_, y in labels], float), np.ones(len(texts))))
+    some = ["", texts[0], " ".join(texts[1:9]), "", texts[4], " "]
+    assert scorer.log_odds(some) == pytest.approx([plain_log_odds(scorer, t) for t in some], abs=1e-4)
+
+
 def test_toxicity_without_both_classes(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     for rows, score in (([], 0.0), ([(k, 1) for k in range(20)], 1.0)):
@@ -304,8 +334,8 @@ def test_run_on_an_empty_table(spark, corpus, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
-def test_queries_are_numbered_from_one_to_ten():
+def test_queries_are_numbered_from_one_to_thirteen():
     names = sorted(llm_queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(llm_oracles()) <= set(names)
     assert corpus_pipeline.ORACLE_SQL is None
