@@ -11,13 +11,14 @@ nothing is left after the fourth stage stays as an empty text, one id long in it
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import lsh_forest, packing, quality_rules, suffix_dedup, toxicity
-from tallyline.llm.storage import stored
+from tallyline.llm.storage import small_batches, stored, stored_alone
 
 #: The rows cannot be told in SQL: stages fit models and hash texts.
 ORACLE_SQL = None
@@ -25,6 +26,17 @@ ORACLE_SQL = None
 USED = ("doc_id", "text", "lang")
 
 
+def small(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, with small batches for what of it runs only when its rows are written."""
+
+    @wraps(stage)
+    def limited(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return limited
+
+
 def plain(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """docs with neutral names for the columns that no stage uses, and the way back."""
     names = {c: c if c in USED else f"other_{k}" for k, c in enumerate(docs.columns)}
@@ -68,11 +80,11 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality_rules", good_quality),
-    ("toxicity", not_toxic),
-    ("near_duplicates", one_of_each),
-    ("suffix_dedup", without_passages),
-    ("packing", sequences),
+    ("quality_rules", small(good_quality)),
+    ("toxicity", small(not_toxic)),
+    ("near_duplicates", small(one_of_each)),
+    ("suffix_dedup", small(without_passages)),
+    ("packing", small(sequences)),
 ]
 
 
@@ -80,5 +92,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from documents on."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored_alone(partial(stage, spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
