@@ -4,7 +4,9 @@ A text's words are hashed in rolling windows of K words, and every hash is joine
 positions that have it. A hit votes for the diagonal (place in the text less place in the template)
 of its template. Votes are added up by diagonal; neighbouring diagonals (an inserted or lost word
 moves the rest of a text to the next one) are merged while their places stay close; a merged span is
-verified by the share of the template's windows that it has met.
+verified by the share of the template that it has met. Each part of a template counts once for that,
+however often a text repeats it: templates of up to SECTIONS windows are met window by window, longer
+ones by as many sections of equal length.
 
 Phrases are templates too. A place of a phrase is one diagonal with all windows of the phrase, at the
 window numbers one after another, so its words stand consecutively; that gives the base labels. Base
@@ -26,6 +28,7 @@ K = 3
 LEAST_SHARE = 0.6
 NEAR = 4  # diagonals apart
 CLOSE = 60  # words apart
+SECTIONS = 62  # parts of a template that are told apart; they are the bits of a long
 
 #: The phrases and their labels.
 PHRASES = {
@@ -89,10 +92,14 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str
     of_text = F.col("place") < 0
     met = entries.join(known.withColumnRenamed("hash", "own"), (F.col("hash") == F.col("own")) & ~of_text, "left")
     met = met.filter(of_text | F.col("template").isNotNull())
+    sections = F.least(F.lit(SECTIONS), F.col("windows"))
+    section = F.floor(F.col("at") * sections / F.col("windows")).cast("int")
+    met = met.withColumn("section", F.call_function("shiftleft", F.lit(1).cast("long"), section))
     diagonals = met.groupBy(
         "row_id", "doc_id", "template", "label", "is_phrase", "windows", (F.col("place") - F.col("at")).alias("diagonal")
     ).agg(
         F.count("at").alias("votes"),
+        F.bit_or("section").alias("sections"),
         F.min("place").alias("first"),
         F.max("place").alias("last"),
         F.max(F.when(of_text, F.col("hash"))).alias("n_words"),
@@ -103,12 +110,13 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str
     fresh = F.when(F.col("is_phrase") | F.lag("diagonal").over(line).isNull() | apart, 1).otherwise(0)
     spans = diagonals.withColumn("fresh", fresh).withColumn("span", F.sum("fresh").over(line))
     spans = spans.groupBy("row_id", "doc_id", "template", "label", "is_phrase", "windows", "span").agg(
-        F.least(F.lit(1.0), F.sum("votes") / F.col("windows")).alias("share"),
+        (F.bit_count(F.bit_or("sections")) / sections).alias("share"),
+        F.sum("votes").alias("votes"),
         F.min("first").cast("long").alias("first"),
         (F.max("last") + K - 1).cast("long").alias("last"),
         F.max("n_words").alias("n_words"),
     )
-    base = F.col("is_phrase") & (F.col("share") >= 1)
+    base = F.col("is_phrase") & (F.col("votes") >= F.col("windows"))  # a diagonal has each window once
     counts = base | (~F.col("is_phrase") & (F.col("share") >= least_share))
     labels = F.array_join(F.sort_array(F.collect_set(F.when(counts, F.col("label")))), ",")
     return spans.groupBy("row_id", "doc_id").agg(

@@ -321,3 +321,27 @@ def test_license_scan(spark):
 
 def test_license_scan_of_nothing(spark):
     assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_repeated_phrases_of_a_license_are_no_license(spark):
+    """Parts of a template count once, however often a text has them."""
+    whole = next(iter(license_scan.TEMPLATES))
+    rows = [
+        (1, "the terms of " * 14),
+        (2, "this software and associated " * 9),
+        (3, "the terms of " * 5000),
+        (4, whole),
+        (5, whole.replace("charge", "any charge") + " the terms of" * 20),
+        (6, " ".join(reversed(whole.split()))),
+    ]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k][0] for k in sorted(got)] == ["", "", "", "mit", "mit", ""]
+    assert all(got[k][1] < 0.5 for k in (1, 2, 3, 6)) and got[4][1] == 1.0 and got[5][1] > 0.8
+
+
+def test_long_templates_are_met_by_sections(spark):
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words), " ".join(words[:100]), " ".join([*words[:150], "x", *words[150:]]), " ".join(words[:60] * 9)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in license_scan.scan(table, {}, {" ".join(words): "own"}).collect()}
+    assert got[0] == 1.0 and got[1] == pytest.approx(0.25, abs=0.03) and got[2] > 0.95 and got[3] < 0.2
