@@ -311,8 +311,9 @@ Words = Callable[[np.ndarray, int], np.ndarray]
 def suffix_order(n: int, word: Words, steps: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of n suffixes by their first words, and of how many words each, but the first, shares
     with the one before it. word gives the k-th word of some suffixes; ties alone are read further."""
-    order = np.argsort(word(np.arange(n), 0), kind="stable")
-    own = word(order, 0)
+    own = word(np.arange(n), 0)
+    order = np.argsort(own)
+    own = own[order]
     same = np.zeros(n, bool)
     same[1:] = own[1:] == own[:-1]
     shared = np.zeros(n, np.int16)
@@ -325,8 +326,13 @@ def suffix_order(n: int, word: Words, steps: int) -> tuple[np.ndarray, np.ndarra
             break
         run = np.cumsum(~same)[at]
         own = word(order[at], step)
-        turn = np.lexsort((own, run))
-        order[at], own = order[at][turn], own[turn]
+        turn = np.argsort(own)
+        own = own[turn]
+        rank = np.empty(len(own), np.int64)
+        rank[turn] = np.cumsum(np.concatenate([[0], own[1:] != own[:-1]]))
+        key = run * (len(own) + 1) + rank  # ties stay together, and are told apart by this word
+        turn = np.argsort(key)
+        order[at], own, run = order[at][turn], rank[turn], run[turn]
         same = np.zeros(n, bool)
         same[at[1:]] = (own[1:] == own[:-1]) & (run[1:] == run[:-1])
     shared[same] = steps
