@@ -4,16 +4,25 @@ A page becomes a stream of elements and text slots. Equal neighbours, and equal
 elements, become a repeated group; aligning two pages' expressions turns what only one of them has
 into optional groups, and texts that differ into slots. A task folds its pages into one expression
 for each host, and the tasks' expressions are folded in two further steps, by (host, salt) and by
-host, so a host that a third of all pages belong to is a few small rows. An expression grows with
-the variety of the host's markup, not with its pages.
-
-Elements of mostly links, and texts that are the same on all of three or more pages of different text, are marked on the
-finished expression. Every page is aligned with its host's expression. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are dropped by their names,
-but not an element that a page's text is in (`Page.layout`). The main element is that of the page, whatever other pages of the host have: article, else main, else one named
-like them, the first of these that has text; on a page without one the marked elements are dropped too,
-but texts of the host only where at least half of the page's text is left, so that copies with a small
-difference do not remove their own text.
+host, so a host that a third of all pages belong to is a few small rows. Neighbours of a tag without
+meaning (div, section) are a repetition only if they hold like elements. An expression grows with the
+variety of the host's markup, not with its pages: an element of more than WIDEST children folds
+those of one label into one group, and beyond that labels that one page alone has (generated
+class names) into one of their tag.
+
+On the finished expression, slots that vary over pages are content; elements of mostly links, and texts
+that are the same on all of three or more pages of different text, are not. The region of a host is the
+innermost element that holds DOMINANT of the varying text, not beyond a repetition, an article, or a
+varying heading beside it. Every page is aligned with its host's expression, and what is aligned with
+the region is its main element, if it holds at least half of the page's text; of main elements by name
+in the region, those with most of its text take its place. Names alone decide only where
+the expression does not: on hosts of fewer pages or of templates too different, and where an article or
+main element lies apart from the region. They are then article, else main, else one named like them, the first that has
+text on the page. Menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments are also dropped by their names,
+but not an element that a page's text is in (`Page.layout`). Without a main element by name the marked elements
+are dropped too, but texts of the host only where at least half of the page's text is left, so that copies
+with a small difference do not remove their own text.
 The texts of the elements that stay are the main text: references decoded, white space in a block made
 one space, blocks joined by line ends. A header or heading within the article belongs to it.
 
@@ -45,6 +54,7 @@ from tallyline.llm.storage import stored
 
 LONGEST_RUN, PAGES_SEEN, SALTS, HOSTS_PER_TASK = 3, 3, 16, 2_000
 BROADCAST_BYTES = 32_000_000
+WIDEST, DOMINANT = 48, 0.8
 
 #: Names of the HTML standard.
 RAW = frozenset("script style noscript template iframe textarea title select option svg math object canvas video audio".split())
@@ -53,6 +63,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES_LIKE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 SCOPES = frozenset("ul ol dl table body article div section".split())
+GENERIC = frozenset("div section".split())
+REGIONS = GENERIC | frozenset("article main table tbody tr td center".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 DROPPED_TAGS = frozenset("head nav footer aside form button dialog menu".split()) | RAW
 DROPPED_NAMES = re.compile(
@@ -71,7 +84,10 @@ DIGITS = re.compile(r"\d+")
 # A node of a page: [label, children]; a text: (text, is it in a link).
 # An element of an expression: [label, optional, repeated, seen, letters, letters in links, texts, children],
 # where seen has the digests of up to PAGES_SEEN pages, and texts is the checksum of its own text, 0 before there is one and -1 for several.
+# Its label is the page's, with HOLDER at its end if it is of a generic tag and has elements, or ANY for the names of those of one page each.
 LABEL, OPTIONAL, REPEATED, SEEN, LETTERS, LINKED, TEXTS, CHILDREN = range(8)
+HOLDER, ANY = "\n", " *"
+REGION = 4
 
 
 def label_of(tag: str, attributes: str) -> str:
@@ -196,6 +212,24 @@ def digest(root: list) -> int:
     return int.from_bytes(out.digest())
 
 
+def key_of(node: list) -> str:
+    """The label of a page's element in an expression."""
+    holder = node[0].partition(" ")[0] in GENERIC and any(isinstance(c, list) and c[0] != "hr" for c in node[1])
+    return node[0] + HOLDER if holder else node[0]
+
+
+def any_of(label: str) -> str:
+    """The label of elements of this tag with names of one page each."""
+    return label.partition(" ")[0].strip() + ANY + (HOLDER if label.endswith(HOLDER) else "")
+
+
+def alike(one: list, two: list) -> bool:
+    """Whether two neighbours are a repetition."""
+    if one[LABEL] != two[LABEL]:
+        return False
+    return not one[LABEL].endswith(HOLDER) or not {c[LABEL] for c in one[CHILDREN]}.isdisjoint(c[LABEL] for c in two[CHILDREN])
+
+
 def expression(node: list, page: int) -> list:
     """The expression of one page's element; page is the page's digest."""
     letters = linked = check = 0
@@ -207,12 +241,41 @@ def expression(node: list, page: int) -> list:
                 letters += size
                 linked += size if child[1] else 0
                 check = zlib.crc32(child[0].strip().encode(), check)
-        elif children and children[-1][LABEL] == child[0]:
-            children[-1] = folded(children[-1], expression(child, page))
-            children[-1][REPEATED] = 1
         else:
-            children.append(expression(child, page))
-    return [node[0], 0, 0, [page], letters, linked, check, runs_folded(children)]
+            add_to(children, expression(child, page))
+    return [key_of(node), 0, 0, [page], letters, linked, check, bounded(runs_folded(children))]
+
+
+def add_to(children: list, child: list) -> None:
+    """Puts an element behind the others; with one like it before it becomes a repetition."""
+    if children and alike(children[-1], child):
+        children[-1] = folded(children[-1], child)
+        children[-1][REPEATED] = 1
+    else:
+        children.append(child)
+
+
+def bounded(children: list) -> list:
+    """With more than WIDEST children, one of each label, then one of each tag for labels that one page alone has."""
+    if len(children) <= WIDEST:
+        return children
+    children = grouped(children, [c[LABEL] for c in children])
+    if len(children) <= WIDEST:
+        return children
+    return grouped(children, [any_of(c[LABEL]) if len(c[SEEN]) == 1 and " " in c[LABEL] else c[LABEL] for c in children])
+
+
+def grouped(children: list, labels: list[str]) -> list:
+    """One child of each label, where its first was."""
+    found: dict[str, list] = {}
+    for child, label in zip(children, labels, strict=True):
+        child = [label, *child[1:]]
+        if label in found:
+            found[label] = folded(found[label], child)
+            found[label][OPTIONAL] = found[label][REPEATED] = 1
+        else:
+            found[label] = child
+    return list(found.values())
 
 
 def runs_folded(children: list) -> list:
@@ -220,7 +283,7 @@ def runs_folded(children: list) -> list:
     for size in range(2, LONGEST_RUN + 1):
         k = 0
         while k + 2 * size <= len(children):
-            if [c[LABEL] for c in children[k : k + size]] == [c[LABEL] for c in children[k + size : k + 2 * size]]:
+            if all(map(alike, children[k : k + size], children[k + size : k + 2 * size])):
                 for i in range(size):
                     children[k + i] = folded(children[k + i], children[k + size + i])
                     children[k + i][REPEATED] = 1
@@ -245,12 +308,8 @@ def folded(one: list, two: list) -> list:
                 children += [[x[0], 1, *x[2:]] for x in left[a:b] + right[c:d]]
         joined = []
         for child in children:
-            if joined and joined[-1][LABEL] == child[LABEL]:
-                joined[-1] = folded(joined[-1], child)
-                joined[-1][REPEATED] = 1
-            else:
-                joined.append(child)
-        children = runs_folded(joined)
+            add_to(joined, child)
+        children = bounded(runs_folded(joined))
     texts = one[TEXTS] if one[TEXTS] == two[TEXTS] else -1
     seen = one[SEEN] if one[SEEN] == two[SEEN] else sorted({*one[SEEN], *two[SEEN]})[:PAGES_SEEN]
     return [one[0], one[1] | two[1], one[2] | two[2], seen, one[4] + two[4], one[5] + two[5], texts, children]
@@ -261,13 +320,13 @@ def shown(element: list) -> str:
     if isinstance(element[0], list):
         element = unpacked(element)
     inner = ("#" if element[TEXTS] == -1 else "text" if element[TEXTS] else "") + "".join(map(shown, element[CHILDREN]))
-    body = f"<{element[LABEL]}>{inner}</>"
+    body = f"<{element[LABEL].strip()}>{inner}</>"
     mark = "*" if element[OPTIONAL] and element[REPEATED] else "?" if element[OPTIONAL] else "+" if element[REPEATED] else ""
     return f"({body}){mark}" if mark else body
 
 
 def names_of(label: str) -> tuple[str, str]:
-    tag, _, names = label.partition(" ")
+    tag, _, names = label.strip().partition(" ")
     return tag, names
 
 
@@ -293,28 +352,54 @@ def main_kind(label: str) -> int | None:
 
 
 def rules(root: list) -> list:
-    """The expression as [label, marks, children], for extraction: 1 mostly links, 2 the same text on all pages."""
+    """The expression as [label, marks, children]: 1 mostly links, 2 the same text on all pages, REGION the host's region."""
     made = [root[LABEL], 0, []]
-    order, stack = [], [(root, made, -1)]
+    order, stack, inner = [], [(root, made, -1)], []
     while stack:
         element, rule, parent = stack.pop()
         number = len(order)
         order.append((element, rule, parent))
+        inner.append([])
+        if number:
+            inner[parent].append(number)
         for child in element[CHILDREN]:
             rule[2].append([child[LABEL], 0, []])
             stack.append((child, rule[2][-1], number))
     totals = [[e[LETTERS], e[LINKED]] for e, _, _ in order]
+    slots = [e[LETTERS] - e[LINKED] if e[TEXTS] == -1 else 0 for e, _, _ in order]
+    heads = [names_of(e[LABEL])[0] in HEADINGS and slots[n] > 0 for n, (e, _, _) in enumerate(order)]
     for number in range(len(order) - 1, -1, -1):
         element, rule, parent = order[number]
         letters, linked = totals[number]
         links = element[LABEL] != "html" and letters > 0 and 2 * linked > letters
         rule[1] = int(links) | 2 * int(len(element[SEEN]) >= PAGES_SEEN and element[TEXTS] > 0)
+        if links or dropped_anyhow(element[LABEL]):
+            slots[number], heads[number] = 0, False
         if number:
             totals[parent][0] += letters
             totals[parent][1] += linked
+            slots[parent] += slots[number]
+            heads[parent] = heads[parent] or heads[number]
+    at = 0
+    while len(root[SEEN]) >= PAGES_SEEN and inner[at] and slots[at]:
+        best = max(inner[at], key=slots.__getitem__)
+        element, tag = order[best][0], names_of(order[best][0][LABEL])[0]
+        beside = any(heads[n] for n in inner[at] if n != best)
+        if tag not in REGIONS or element[REPEATED] or beside or slots[best] < DOMINANT * slots[at]:
+            break
+        at = best
+        if tag == "article":
+            break
+    if at:
+        order[at][1][1] |= REGION
     return made
 
 
+def dropped_anyhow(label: str) -> bool:
+    """Whether its tag or name drops it, and it is no layout."""
+    return dropped_by_tag(label) or dropped_outside(label) or (dropped_by_name(label) and not LAYOUT_NAMES.search(names_of(label)[1]))
+
+
 class Page:
     """The elements of a page in order, aligned with its host's expression, and its texts between block ends."""
 
@@ -330,9 +415,11 @@ class Page:
                     self.texts.append((number, *child))
                     continue
                 self.texts.append(None)
-                if not (k < len(children) and children[k][0] == child[0]):
-                    k = next((i for i in [*range(k, len(children)), *range(k)] if children[i][0] == child[0]), k)
-                same = k < len(children) and children[k][0] == child[0]
+                key = key_of(child)
+                if not (k < len(children) and children[k][0] == key):
+                    order = [*range(k, len(children)), *range(k)]
+                    k = next((i for x in (key, any_of(key)) for i in order if children[i][0] == x), k)
+                same = k < len(children) and children[k][0] in (key, any_of(key))
                 top[3] = k
                 self.labels.append(child[0])
                 self.parents.append(number)
@@ -410,14 +497,48 @@ class Page:
                 return found
         return []
 
-    def kept(self, chosen: list[int], constant: bool) -> list[bool]:
-        """Whether the own text of each element stays; without a main element, constant texts are dropped."""
+    def region(self) -> list[int]:
+        """The elements aligned with the host's region, if they hold at least half of the page's text."""
+        dropped = self.dropped()
+        letters = self.sums(False, dropped)
+        found, closed = [], [False] * len(letters)
+        for number, parent in enumerate(self.parents):
+            closed[number] = (number > 0 and closed[parent]) or dropped[number] or self.outside[number]
+            if not closed[number] and self.marks[number] & REGION:
+                found.append(number)
+                closed[number] = True
+        return found if 2 * sum(letters[n] for n in found) >= letters[0] else []
+
+    def main_elements(self) -> tuple[list[int], bool]:
+        """The elements that the text is in, by the expression, else by names; and whether they have such names."""
+        named, region = self.mains(), self.region()
+        if not region:
+            return named, bool(named)
+        within = self.inside(region)
+        own = [n for n in named if within[n]]
+        letters = self.sums(True, self.dropped())
+        if 2 * sum(letters[n] for n in own) >= sum(letters[n] for n in region):
+            return own, True
+        apart = self.inside(named)
+        if named and not own and self.kinds[named[0]] in (0, 1) and not any(apart[n] for n in region):
+            return named, True
+        return region, False
+
+    def inside(self, chosen: list[int]) -> list[bool]:
+        """Whether each element is one of these or in one."""
+        out, those = [], set(chosen)
+        for number, parent in enumerate(self.parents):
+            out.append(number in those or (number > 0 and out[parent]))
+        return out
+
+    def kept(self, chosen: list[int], named: bool, constant: bool) -> list[bool]:
+        """Whether the own text of each element stays; without a main element by name, constant texts are dropped."""
         dropped, mains = self.dropped(), set(chosen)
         inside, gone, out = [False] * len(dropped), [False] * len(dropped), []
         for number, parent in enumerate(self.parents):
             inside[number] = number in mains or (number > 0 and inside[parent])
             gone[number] = (number > 0 and gone[parent]) or dropped[number] or (self.outside[number] and not inside[number])
-            marks = 0 if chosen else self.marks[number]
+            marks = 0 if named else self.marks[number]
             gone[number] = gone[number] or marks & 1 > 0
             out.append(not gone[number] and not (constant and marks & 2) and (inside[number] or not chosen))
         return out
@@ -426,8 +547,8 @@ class Page:
 def main_text(html: str, rule: list) -> str:
     """The texts of the kept elements of a page that is aligned with its host's expression."""
     page = Page(html, rule)
-    chosen = page.mains()
-    keep, every = (page.kept(chosen, constant) for constant in (True, False))
+    chosen, named = page.main_elements()
+    keep, every = (page.kept(chosen, named, constant) for constant in (True, False))
     if 2 * page.letters(keep) < page.letters(every):
         keep = every
     out, piece = [], []

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import random
+import re
 import zlib
 
 import numpy as np
@@ -229,8 +231,6 @@ def test_texts_of_no_pages(spark):
 def test_wrapper_of_a_host(spark):
     rows = [(k, "http://h.example/", f"<h1>t{k}</h1>" + "<p>a</p>" * (k + 1) + ("<hr>" if k else "") + "<h2>s</h2><p>x" * 2) for k in range(3)]
     pages = wrappers.with_host(spark.createDataFrame(rows, "page_id long, url string, html string"))
-    import json
-
     text = wrappers.shown(json.loads(wrappers.infer(pages).first()["wrapper"]))
     assert "<h1>#</>" in text and "(<p>" in text and "(<hr></>)?" in text and ")+" in text
 
@@ -281,6 +281,50 @@ def test_texts_at_any_depth(spark):
     assert [texts_of(spark, [p]) for p in pages] == [["before\nin\nafter"], ["one\ntwo"], ["a\nb"]]
 
 
+def without_names(html: str, tags: str) -> str:
+    """The page with these tags made div, and without class, id and role."""
+    html = re.sub(rf"<(/?)(?:{tags})\b", r"<\1div", html)
+    return re.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", html)
+
+
+@pytest.mark.parametrize("tags, least", [("article|main", 0.98), ("article|main|nav|header|footer|aside", 0.95)])
+def test_wrappers_find_the_text_of_pages_without_names(spark, tags, least):
+    """By the expressions 0.99 and 0.98 of the pages of sf0.1 are exact, without them none is."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    rows = pages.select("page_id", "url", "html").collect()
+    bare = spark.createDataFrame([(r[0], r[1], without_names(r[2] or "", tags)) for r in rows], "page_id long, url string, html string")
+    named = {r["page_id"]: r["text"] for r in wrappers.extract(pages).select("page_id", "text").collect()}
+    found = wrappers.extract(bare).select("page_id", "text").collect()
+    assert sum(r["text"] == named[r["page_id"]] for r in found) >= least * len(rows)
+    plain = [wrappers.main_text(without_names(r[2] or "", tags), ["html", 0, []]) == named[r[0]] for r in rows]
+    assert sum(plain) < 0.1 * len(rows)
+
+
+def test_the_region_keeps_headings_and_cards(spark):
+    """A varying heading beside the text, and repeated elements, are not cut off."""
+    text = [prose(k, 60) for k in range(4)]
+    bodies = [f"<div>advert {k}</div><div><div><h1>Head {k}</h1></div><div><p>{t}</p><p>{t}</p></div></div>" for k, t in enumerate(text)]
+    assert texts_of(spark, bodies) == [f"Head {k}\n{t}\n{t}" for k, t in enumerate(text)]
+    cards = [f"<div>advert {k}</div><section>" + f"<div><p>{t}</p></div>" * 3 + "</section>" for k, t in enumerate(text)]
+    assert texts_of(spark, cards) == ["\n".join([t] * 3) for t in text]
+
+
+def test_an_article_apart_from_the_region_is_the_text(spark):
+    rows = [f"<article><p>short {k}</p></article><div><p>{prose(k, 60)}</p><p>{prose(k + 9, 60)}</p></div>" for k in range(4)]
+    assert texts_of(spark, rows) == [f"short {k}" for k in range(4)]
+
+
+@pytest.mark.parametrize("pages", [200, 800])
+def test_expressions_of_generated_names_are_bounded(pages):
+    made = None
+    for k in range(pages):
+        name = "".join(chr(97 + k // 26**i % 26) for i in range(3))
+        tree = wrappers.parsed(f"<div class=a{name}><h1>t{k}</h1><div class=b{name}><p>{prose(k, 5)}</p></div><ul><li>x</ul></div>" + f"<p class=c{name}>q</p>")
+        one = wrappers.expression(tree, wrappers.digest(tree))
+        made = wrappers.folded(made, one) if made else one
+    assert len(wrappers.packed(made)) < 25_000 and wrappers.unpacked(json.loads(wrappers.packed(made))) == made
+
+
 def test_copies_of_a_page_keep_their_text(spark):
     text = prose(1, 40)
     copy = f"<div class=top><h1>Head</h1></div><div class=real>{text}</div>"
