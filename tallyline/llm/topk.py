@@ -10,9 +10,14 @@ scores equal to the k-th those of the smallest ids, each task first cutting its
 All intervals have one width, a power of the number of bins, so that they divide without remainder.
 The histograms are summed by (query block, slice of bins), so no task sees more than its slice.
 
+A task holds the histograms of HELD_BLOCKS query blocks at most, and scores QUERY_STEP queries at a time.
+
 Vectors that are null, empty, or hold null or non-finite components take no part, nor do those whose
 id is null. A query meets only vectors of its own dimension. Repeated rows are candidates each; rows
-with the query's own id are not. Scores must fit 63 bits: larger components are refused.
+with the query's own id are not. An id is one query, however often it occurs; of different vectors of one
+id the smallest, compared component by component, is the query. Scores must fit 63 bits: a vector
+with a component beyond 2^30 / sqrt(dimension), once scaled, takes no part. An empty table gives no rows, and
+columns other than the id and the vector are not read.
 """
 
 from __future__ import annotations
@@ -27,8 +32,8 @@ from pyspark.sql.window import Window
 
 from tallyline.llm.storage import stored
 
-QUERY_BLOCK, CANDIDATE_BLOCK, BINS, SLICES = 512, 4096, 256, 8
-EXACT = 2.0**53
+QUERY_BLOCK, QUERY_STEP, CANDIDATE_BLOCK, BINS, SLICES, HELD_BLOCKS = 4096, 512, 4096, 256, 8, 8
+EXACT, LARGEST_SCORE = 2.0**53, 2.0**60
 
 STATE = "dim int, qb long, ids binary, vectors binary, low binary, need binary"
 
@@ -36,7 +41,9 @@ STATE = "dim int, qb long, ids binary, vectors binary, low binary, need binary"
 def whole_vectors(table: DataFrame, vector_id: str, vector: str, scale: int) -> DataFrame:
     """id, v (integers) and dim of the vectors that take part."""
     parts = F.col(vector)
-    valid = F.col(vector_id).isNotNull() & (F.size(parts) > 0) & F.forall(parts, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    most = F.sqrt(F.lit(LARGEST_SCORE) / F.size(parts)) - 1
+    fits = F.forall(parts, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) <= most))
+    valid = F.col(vector_id).isNotNull() & (F.size(parts) > 0) & fits
     return table.filter(valid).select(
         F.col(vector_id).cast("long").alias("id"),
         F.transform(parts, lambda x: F.floor(x.cast("double") * scale)).alias("v"),
@@ -87,6 +94,17 @@ def unpacked(dim: int, ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarr
     return own, np.frombuffer(vectors, f"<i{size}").reshape(len(own), dim).astype(np.int64)
 
 
+def steps(row: dict) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Queries of a block, their ids, and their scores with the candidates beside them; -1 << 62 with their own id."""
+    own, vectors = unpacked(row["dim"], row["c_ids"], row["c_vectors"])
+    ids, queries = unpacked(row["dim"], row["ids"], row["vectors"])
+    for a in range(0, len(ids), QUERY_STEP):
+        cut = slice(a, a + QUERY_STEP)
+        score = scores(queries[cut], vectors)
+        score[ids[cut][:, None] == own[None]] = -1 << 62
+        yield cut, own, score
+
+
 def columns(batch: pa.RecordBatch) -> Iterator[dict]:
     for k in range(batch.num_rows):
         yield {n: batch.column(n)[k].as_py() for n in batch.schema.names}
@@ -128,14 +146,22 @@ def histograms(met: DataFrame, width: int) -> DataFrame:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for row in columns(batch):
-                own, vectors = unpacked(row["dim"], row["c_ids"], row["c_vectors"])
-                ids, queries = unpacked(row["dim"], row["ids"], row["vectors"])
                 low = np.frombuffer(row["low"], "<i8")[:, None]
-                place = (scores(queries, vectors) - low) // width
-                ok = (place >= 0) & (place < BINS) & (ids[:, None] != own[None])
-                place += np.arange(len(ids))[:, None] * BINS
-                counts = np.bincount(place[ok], minlength=len(ids) * BINS).reshape(len(ids), BINS)
-                total[row["qb"]] = total.get(row["qb"], 0) + counts
+                if row["qb"] not in total:
+                    if len(total) == HELD_BLOCKS:
+                        yield from given(total)
+                        total.clear()
+                    total[row["qb"]] = np.zeros((len(low), BINS), np.int64)
+                counts = total[row["qb"]]
+                for cut, _, score in steps(row):
+                    place = (score - low[cut]) // width
+                    ok = (score >= low[cut]) & (place < BINS)
+                    n = len(score)
+                    place += np.arange(n)[:, None] * BINS
+                    counts[cut] += np.bincount(place[ok], minlength=n * BINS).reshape(n, BINS)
+        yield from given(total)
+
+    def given(total: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for qb, counts in total.items():
             for k, part in enumerate(np.split(counts, SLICES, axis=1)):
                 yield pa.RecordBatch.from_arrays(
@@ -189,16 +215,14 @@ def finished(met: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in columns(batch):
-                own, vectors = unpacked(row["dim"], row["c_ids"], row["c_vectors"])
-                ids, queries = unpacked(row["dim"], row["ids"], row["vectors"])
-                score = scores(queries, vectors)
-                ok = (score >= np.frombuffer(row["low"], "<i8")[:, None]) & (ids[:, None] != own[None])
-                q, c = np.nonzero(ok)
-                order = np.lexsort((own[c], -score[q, c], q))
-                q, c = q[order], c[order]
-                rank = np.arange(len(q)) - np.searchsorted(q, q)
-                q, c = q[rank < k], c[rank < k]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(own[c]), pa.array(score[q, c])], names=["query_id", "vec_id", "score"])
+                low, ids = (np.frombuffer(row[n], "<i8") for n in ("low", "ids"))
+                for cut, own, score in steps(row):
+                    q, c = np.nonzero(score >= low[cut][:, None])
+                    order = np.lexsort((own[c], -score[q, c], q))
+                    q, c = q[order], c[order]
+                    rank = np.arange(len(q)) - np.searchsorted(q, q)
+                    q, c = q[rank < k], c[rank < k]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[cut][q]), pa.array(own[c]), pa.array(score[q, c])], names=["query_id", "vec_id", "score"])
 
     return met.mapInArrow(run, "query_id long, vec_id long, score long")
 
@@ -215,14 +239,12 @@ def search(
     tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = whole_vectors(table, vector_id, vector, scale)
     largest = rows.select("dim", F.array_max(F.transform("v", lambda x: F.abs(x))).alias("most"))
-    found = largest.agg(F.max("dim"), F.max("most")).first()
-    dim, most = (int(x or 0) for x in found)
-    reach = dim * most * most
-    if reach >= 2**61:
-        raise ValueError("a score would not fit 63 bits")
+    found = largest.agg(F.max(F.col("dim") * F.col("most") * F.col("most")), F.max("most")).first()
+    reach, most = (int(x or 0) for x in found)
     kind = "<i2" if most < 2**15 else "<i4" if most < 2**31 else "<i8"
     candidates = stored(packed(rows, CANDIDATE_BLOCK, "cb", kind), "candidates")
-    asked = rows.filter(is_query(F.col("id"))).coalesce(max(1, tasks // 4))
+    asked = rows.filter(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v")).select("id", "v", F.size("v").alias("dim"))
+    asked = asked.coalesce(max(1, tasks // 4))
     blocks = stored(packed(asked, QUERY_BLOCK, "qb", kind), "queries")
     state = stored(started(blocks, -reach, k), "state")
     width = 1
@@ -243,10 +265,12 @@ WITH vectors AS (
   SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF abs(256 * CAST(x AS DOUBLE)) > sqrt(power(2.0, 60) / len(embedding)) - 1]) = 0
+), queries AS (
+  SELECT vec_id, min(v) AS v FROM vectors WHERE vec_id % 50 = 0 GROUP BY vec_id
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
-  WHERE q.vec_id % 50 = 0
+  FROM queries q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
 )
