@@ -28,7 +28,7 @@ from tokenizers import Tokenizer, decoders, models, pre_tokenizers
 from tallyline.llm.matcher import Matcher
 from tallyline.llm.textbytes import tidy
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES, CACHE_CHARACTERS = 300_000, 8_000_000
 TEXTS_AT_ONCE = 200
 
 
@@ -63,10 +63,10 @@ def tokenizer_of(ranks: dict[bytes, int]) -> Tokenizer:
 
 
 class PieceCache:
-    """Ids of distinct matches as int32 bytes; emptied when it has too many."""
+    """Ids of distinct matches as int32 bytes; emptied when it has too many, or too long ones."""
 
-    def __init__(self, tokenizer: Tokenizer, entries: int = CACHE_ENTRIES):
-        self.tokenizer, self.entries, self.known = tokenizer, entries, {}
+    def __init__(self, tokenizer: Tokenizer, entries: int = CACHE_ENTRIES, characters: int = CACHE_CHARACTERS):
+        self.tokenizer, self.entries, self.characters, self.known, self.size = tokenizer, entries, characters, {}, 0
 
     def join(self, pieces: list[str]) -> bytes:
         known = self.known
@@ -83,12 +83,14 @@ class PieceCache:
         for word in new:
             shown = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(SHOWN)
             self.known[word] = array("i", [t.id for t in split(shown)]).tobytes()
+            self.size += len(word)
 
     def prepare(self, pieces: list[list[str]]) -> None:
         """Make room for, and encode, what is new in several texts."""
         known = self.known
-        if len(known) > self.entries:
+        if len(known) > self.entries or self.size > self.characters:
             known.clear()
+            self.size = 0
         self.learn(set().union(*pieces).difference(known))
 
 
