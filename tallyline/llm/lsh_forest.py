@@ -9,14 +9,17 @@
 3. Candidates are confirmed on the full sets, and links joined to components.
 4. What is left are pairs of classes that share a region of some tree and are still apart. Regions of
    up to SMALL classes are compared by signature first and the likely pairs confirmed; larger ones
-   are cut into blocks, and the pairs of different components in each two blocks are counted exactly
-   inside a task, which returns no more links than there are components. So no pair that shares a
-   region goes unseen, and no task gets a whole region.
+   are cut by the sizes of sets, STEPS steps to each factor of the threshold, and then into blocks. The
+   pairs of different components in each two blocks not more than STEPS steps apart are counted exactly
+   inside a task, which returns no more links than there are components; sets of blocks further apart
+   differ too much in size. So no pair that shares a region and can be similar goes unseen, and no task
+   gets a whole region.
 
 Two sets of Jaccard similarity s share no region with probability (1 - s ** DEPTH) ** TREES, which is
 3e-5 at 0.8, 4e-7 at 0.85 and 6e-10 at 0.9. A pair of a small region is not confirmed if its
 signatures agree in under LIKELY of all places, over five deviations below 0.8.
 
+Very long texts are read whole, each in memory once. An empty table gives no rows.
 Null texts and texts without words have no shingles and are linked with nothing. Rows of one doc_id
 are one document; a null doc_id is linked with nothing and kept. Columns other than doc_id and text
 pass through `deduplicated` unchanged, whatever their names.
@@ -38,7 +41,7 @@ from tallyline.llm.textbytes import SPACES, Spans, blocks, mix, runs, tidy, utf8
 SHINGLE, THRESHOLD = 5, 80
 TREES, DEPTH, DEEP = 20, 4, 8
 LIKELY = 0.57
-SMALL, BLOCK = 64, 256
+SMALL, BLOCK, STEPS = 64, 256, 4
 BROADCAST_IDS = 4_000_000
 PAIRS_PER_TASK = 2_000
 CLASSES_PER_TASK = 12_000
@@ -199,24 +202,44 @@ def likely_pairs(members: DataFrame, tasks: int, threshold: int) -> DataFrame:
     return sharded.groupBy("shard").applyInArrow(run, "a long, b long").distinct()
 
 
+def met_blocks(members: DataFrame, threshold: int) -> DataFrame:
+    """h, id, component and block of the members (with their set size n), once for each two blocks i and j that meet.
+
+    A block is a step of sizes and a number in it; steps of a factor a little wider than the
+    STEPS-th root of the threshold, so that rounding never parts two sets that can be similar.
+    """
+    width = max(float(np.log(100 / threshold)) / STEPS * 1.000001, 1e-7)
+    rows = members.withColumn("step", F.floor(F.log(F.col("n")) / width).cast("int"))
+    cells = stored(rows.groupBy("h", "step").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("count")), "cells")
+    reach = F.explode(F.sequence(F.col("step") - STEPS, F.col("step") + STEPS))
+    near = cells.select("h", F.col("step").alias("other"), F.col("count").alias("others"), reach.alias("step"))
+    near = near.groupBy("h", "step").agg(F.collect_list(F.struct("other", "others")).alias("near"))  # 2 * STEPS + 1 at most
+    cells = stored(cells.join(near, ["h", "step"]), "near")
+    rows = rows.join(cells, ["h", "step"])
+    rows = rows.withColumn("block", F.struct("step", F.pmod(F.xxhash64("id"), F.col("count")).cast("int").alias("number")))
+    rows = rows.select("h", "id", "component", "block", F.explode("near").alias("near"))
+    number = F.explode(F.sequence(F.lit(0), F.col("near.others") - 1)).alias("number")
+    rows = rows.select("h", "id", "component", "block", F.col("near.other").alias("step"), number)
+    other = F.struct("step", "number")
+    return rows.select("h", "id", "component", "block", F.least("block", other).alias("i"), F.greatest("block", other).alias("j"))
+
+
 def block_links(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links between different components within large regions, counted block against block."""
-    count = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = members.withColumn("count", count).withColumn("block", F.pmod(F.xxhash64("id"), F.col("count")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("other")
-    rows = rows.select("h", "id", "component", "block", other)
-    rows = rows.select("h", "id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    rows = met_blocks(members, threshold)
+    first = F.col("block") == F.col("i")
+    same = F.col("i") == F.col("j")
+    rows = rows.withColumn("side", F.when(same, 2).when(first, 0).otherwise(1)).drop("block")
     rows = rows.join(sets.select("id", "shingles"), "id")
 
     def run(key: tuple, groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(groups))  # two blocks at most
-        ids, comp, block = (table.column(c).to_numpy() for c in ("id", "component", "block"))
+        ids, comp, side = (table.column(c).to_numpy() for c in ("id", "component", "side"))
         links = []
         if len(np.unique(comp)) > 1:
             sets_of = [np.frombuffer(s, "<u8") for s in table.column("shingles").to_pylist()]
             size = np.array([len(s) for s in sets_of])
-            i, j = key[1].as_py(), key[2].as_py()
-            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
             _, code = np.unique(np.concatenate(sets_of), return_inverse=True)
             owner = np.repeat(np.arange(len(ids)), size)
             order = np.lexsort((owner, code))
@@ -259,20 +282,25 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
     told = stored(forest(classes, tasks), "forest")
     shared = told.filter("kind = 1").select("h", F.col("a").alias("id"))
     ends = told.filter("kind = 2").select("h", "a")
-    first = ends.groupBy("h").agg(F.min("a").alias("b"))
+    # What a region is joined with is stored first, so that the rows of a hot one can be split at run time.
+    first = stored(ends.groupBy("h").agg(F.min("a").alias("b")), "first")
     pairs = told.filter("kind = 0").select("a", "b").unionAll(ends.join(first, "h").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     pairs = stored(pairs.filter("a <> b").distinct(), "pairs")
-    crowded = shared.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1")
+    crowded = stored(shared.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1"), "crowded")
     shared = stored(shared.join(crowded, "h"), "shared")
     sets = full_sets(docs, shared.select("id").distinct(), size)
     links = stored(confirmed(pairs.repartition(max(partitions, 1), "a"), sets, threshold), "links")
     joined = components(links)
     members = shared.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    members = stored(members, "members")
     apart = members.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("h")
+    apart = stored(apart, "apart")
     members = stored(members.join(apart, "h"), "members")
-    small = members.filter(F.col("size") <= SMALL).join(classes.select("id", F.col("n_shingles").alias("n"), "signature"), "id")
+    of_class = classes.select("id", F.col("n_shingles").alias("n"), "signature")
+    small = members.filter(F.col("size") <= SMALL).join(of_class, "id")
+    large = members.filter(F.col("size") > SMALL).join(of_class.drop("signature"), "id")
     more = confirmed(likely_pairs(small, tasks, threshold), sets, threshold)
-    more = more.unionAll(block_links(members.filter(F.col("size") > SMALL), sets, threshold))
+    more = more.unionAll(block_links(large, sets, threshold))
     joined = components(links.unionAll(more))
     class_ids = classes.select("id", *own).join(joined, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
     # A set that is in many documents is one row of the right side; the left side is split if it is hot.
