@@ -9,13 +9,15 @@ Windows overlap, cover whole texts, and all are scored: the log odds of a docume
 the softplus of the evidence of each window.
 
 Training runs on the driver over a bounded sample of labelled rows: at most SAMPLE_TOXIC toxic and
-SAMPLE_CLEAN clean ones, those with the smallest hash of doc_id, and at most SAMPLE_BYTES of text. At
+SAMPLE_CLEAN clean ones, those with the smallest hash of doc_id, and at most SAMPLE_BYTES of text; texts
+of more than SAMPLE_TEXT bytes teach nothing, so that none of them can fill the sample. At
 the end the log odds are scaled and moved so that they fit the shares that the classes have among all
 labelled rows. Scoring is a single pass
 over the documents with a small broadcast network; the inputs of distinct words are projected once a
 task, in a bounded cache.
 
-Null and empty texts are one window without words. Labels that are null or of unknown documents are
+Null and empty texts are one window without words; very long texts are scored whole, their windows 2,000 at
+a time. An empty table gives no rows; extra columns pass through, those named like a new one are replaced. Labels that are null or of unknown documents are
 not used; without both classes the score is the share of toxic labels (0 without labels). Repeated
 documents are scored once each.
 """
@@ -42,7 +44,7 @@ from tallyline.llm.textbytes import mix, tidy, utf8
 WINDOW, STRIDE = 32, 24
 WORD_DIM = CHAR_DIM = HIDDEN = 8
 GRAMS, GRAM_SIZES = 1 << 16, (3, 4, 5)
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1000, 1500, 16_000_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES, SAMPLE_TEXT = 1000, 1500, 16_000_000, 500_000
 #: The share of clean windows whose evidence counts for nothing, and the neighbouring windows that make
 #: up the score of a text.
 CLEAN_WINDOWS, RUN = 0.99, 8
@@ -365,13 +367,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | float:
     limits = {1: SAMPLE_TOXIC, 0: SAMPLE_CLEAN}
     chosen = [known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in limits.items()]
     ids = spark.createDataFrame(chosen[0].unionAll(chosen[1]).collect(), known.schema)  # bounded by limits
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id").dropna(subset=["text"])
+    rows = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id").filter(F.octet_length("text") <= SAMPLE_TEXT)
     # One row a document, however often it is given, so no more rows than the limits.
     rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("first")).select("doc_id", "first.*")
     rows = stored(rows, "sample")
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "text").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(F.octet_length("text")).over(order), F.lit(0))
-    sample = rows.withColumn("before", before).filter(F.col("before") < SAMPLE_BYTES).collect()
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(order), F.lit(0))
+    sizes = rows.select("doc_id", F.octet_length("text").alias("size")).withColumn("before", before)
+    taken = sizes.filter(F.col("before") < SAMPLE_BYTES).select("doc_id", "before")
+    sample = rows.join(F.broadcast(taken), "doc_id").orderBy("before").collect()
     texts, y = [r["text"] for r in sample], np.array([r["toxic"] for r in sample], float)
     if len(np.unique(y)) < 2:
         return shares[1] / sum(shares.values())

@@ -54,6 +54,17 @@ def test_toxicity_on_held_out_rows(spark, monkeypatch):
     assert len({round(r["score"], 9) for r in rows if r["doc_id"] == 5003}) == 1
 
 
+def test_a_very_long_text_does_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 20)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 60_000)
+    monkeypatch.setattr(toxicity, "SAMPLE_TEXT", 20_000)
+    docs, labels = toxic_rows(100)
+    long = [(k, "word " * 20_000) for k in range(1000, 1040)]  # some come first by their hash
+    table = spark.createDataFrame(docs + long, "doc_id long, text string")
+    known = spark.createDataFrame(labels + [(k, 1, 0) for k, _ in long], "doc_id long, quality int, toxic int")
+    assert isinstance(toxicity.fit(table, known), dict)
+
+
 def test_clean_texts_are_clean_however_long(spark, monkeypatch):
     """Joined clean documents of 16,000 words stay clean; one toxic document among them shows."""
     monkeypatch.setattr(toxicity, "STEPS", 250)
