@@ -79,29 +79,6 @@ def test_blocks_alone_find_all_links(spark, monkeypatch):
     assert got == near_components(rows, 3, 85)
 
 
-def test_blocks_of_a_region_meet_only_where_sizes_allow(spark, monkeypatch):
-    """Every pair that can be similar meets once; few others do."""
-    monkeypatch.setattr(lsh_forest, "BLOCK", 8)
-    rng = random.Random(4)
-    rows = [(h, k, k, rng.choice([80, 100, *(rng.randint(1, 3000) for _ in range(4))])) for h in (1, 2) for k in range(300)]
-    met = lsh_forest.met_blocks(spark.createDataFrame(rows, "h long, id long, component long, n int"), 85)
-    groups: dict = {}
-    for r in met.collect():
-        assert r["block"] in (r["i"], r["j"])
-        groups.setdefault((r["h"], r["i"], r["j"]), []).append((r["id"], r["block"] == r["i"], r["block"] == r["j"]))
-    seen: dict = {}
-    for (h, i, j), own in groups.items():
-        for x, left, _ in own:
-            for y, _, right in own:
-                if left and right and (i != j or x < y):
-                    key = (h, min(x, y), max(x, y))
-                    seen[key] = seen.get(key, 0) + 1
-    size = {(h, k): n for h, k, _, n in rows}
-    may = {(h, x, y) for h in (1, 2) for x in range(300) for y in range(x + 1, 300) if 100 * min(size[h, x], size[h, y]) >= 85 * max(size[h, x], size[h, y])}
-    assert may <= set(seen) and set(seen.values()) == {1}
-    assert len(seen) < 1.5 * len(may) < 0.4 * 2 * 300 * 299 / 2
-
-
 def test_deduplicated_keeps_columns_and_one_row_of_each(docs):
     out = lsh_forest.deduplicated(docs.withColumn("gone_id", F.lit(1)), 3, 85)
     expected = near_components(documents(), 3, 85)
