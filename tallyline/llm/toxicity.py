@@ -5,8 +5,11 @@ embedding of its character n-grams, three to five bytes long and within marks fo
 number of an embedding starts as the log odds of toxic documents that have the word or n-gram, drawn
 towards zero where few documents have it; training goes on from there. Two recurrent passes read each window of WINDOW words; attention
 gates choose the states, and their mean and their total weight give the evidence of the window.
-Windows overlap, cover whole texts, and all are scored: the log odds of a document are a constant plus
-the softplus of the evidence of each window.
+Windows overlap, cover whole texts, and all are scored. In training the log odds of a document are a
+constant plus the softplus of the evidence of each window. In a score, only what lies above a floor
+counts, and of that the best run of RUN neighbouring windows. The floor is the evidence that CLEAN_PASSES
+windows of a clean text of that length pass on average, so it rises with the length of the text: clean text
+stays clean however much of it there is. Beyond the sampled windows the floor follows an exponential tail.
 
 Training runs on the driver over a bounded sample of labelled rows: at most SAMPLE_TOXIC toxic and
 SAMPLE_CLEAN clean ones, those with the smallest hash of doc_id, and at most SAMPLE_BYTES of text; texts
@@ -45,9 +48,10 @@ WINDOW, STRIDE = 32, 24
 WORD_DIM = CHAR_DIM = HIDDEN = 8
 GRAMS, GRAM_SIZES = 1 << 16, (3, 4, 5)
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES, SAMPLE_TEXT = 1000, 1500, 16_000_000, 500_000
-#: The share of clean windows whose evidence counts for nothing, and the neighbouring windows that make
-#: up the score of a text.
-CLEAN_WINDOWS, RUN = 0.99, 8
+#: The clean windows whose evidence counts, on average over clean texts of any one length; the least
+#: number and share of clean windows that the tail of their evidence is fitted to; and the neighbouring
+#: windows that make up the score of a text.
+CLEAN_PASSES, TAIL_LEAST, TAIL_SHARE, RUN = 0.1, 10, 0.001, 8
 
 LEAST_DOCS, SHRINK, STEPS, BATCH, RATE = 5, 5.0, 250, 32, 0.015
 CACHE_WORDS = 100_000
@@ -223,6 +227,30 @@ def log_odds(rows_of_texts: Iterator[np.ndarray], toxic: np.ndarray, rows: int)
     return np.where(n >= LEAST_DOCS, odds * n / (n + SHRINK), 0.0).astype(np.float32)
 
 
+class Floors(NamedTuple):
+    """Evidence that clean windows rarely pass: what so many of the sampled ones pass, and beyond them an
+    exponential tail."""
+
+    largest: np.ndarray
+    sampled: int
+    tail: float
+    mean: float
+
+    @classmethod
+    def of(cls, clean: np.ndarray) -> Floors:
+        falling = -np.sort(-clean.astype(float))
+        tail = min(len(falling), max(TAIL_LEAST, int(TAIL_SHARE * len(falling))))
+        over = falling[:tail] - falling[tail - 1]
+        return cls(falling[: max(tail, int(CLEAN_PASSES * len(falling)))], len(falling), tail, float(over.mean()))
+
+    def at(self, windows: np.ndarray) -> np.ndarray:
+        """For texts of so many windows, the evidence that CLEAN_PASSES of them pass if all are clean."""
+        passing = CLEAN_PASSES / np.maximum(1, windows) * self.sampled
+        within = np.interp(passing, np.arange(1, len(self.largest) + 1), self.largest)
+        beyond = self.largest[self.tail - 1] + self.mean * np.log(self.tail / passing)
+        return np.where(passing < self.tail, beyond, within)
+
+
 def calibrated(logit: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
     """Scale and move of the log odds that fit the weighted rows best, by Newton steps."""
     x = np.stack([logit, np.ones_like(logit)], 1)
@@ -291,12 +319,12 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 net[k] = net[k] - (rate * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
-    model = {"net": net, "vocabulary": vocabulary, "floor": 0.0, "scale": 1.0, "move": 0.0}
+    model = {"net": net, "vocabulary": vocabulary, "floors": Floors(np.zeros(1), 1, 1, 0.0), "scale": 1.0, "move": 0.0}
     scorer = Scorer(model)
     clean = [t for t, y in zip(texts, toxic, strict=True) if not y]
     found = [scorer.windows(clean[k : k + 100])[1] for k in range(0, len(clean), 100)]
-    if sum(map(len, found)):
-        model["floor"] = scorer.floor = float(np.quantile(np.concatenate(found), CLEAN_WINDOWS))
+    if found:
+        model["floors"] = scorer.floors = Floors.of(np.concatenate(found))
     odds = np.concatenate([scorer.log_odds(texts[k : k + 100]) for k in range(0, len(texts), 100)])
     model["scale"], model["move"] = calibrated(odds, toxic, weights)
     return model
@@ -307,7 +335,7 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.net, self.vocabulary, self.known = model["net"], model["vocabulary"], {}
-        self.floor, self.scale, self.move = model["floor"], model["scale"], model["move"]
+        self.floors, self.scale, self.move = model["floors"], model["scale"], model["move"]
         self.table = np.zeros((2, 0, 3 * HIDDEN), np.float32)
         self.room = 0
 
@@ -329,10 +357,12 @@ class Scorer:
         return 1 / (1 + np.exp(-(self.scale * self.log_odds(texts) + self.move)))
 
     def log_odds(self, texts: list[str | None]) -> np.ndarray:
-        """What the windows of each text say beyond what nearly all clean windows say, added up over the
-        RUN neighbouring ones that say most. So a text is no worse for being long."""
+        """What the windows of each text say beyond what clean windows say, added up over the RUN
+        neighbouring ones that say most. Of more windows, the most clean one says more, so the floor
+        rises with their number, and a text is no worse for being long."""
         doc, said = self.windows(texts)
-        beyond = np.cumsum(np.maximum(0, said.astype(float) - self.floor), dtype=float)
+        floor = self.floors.at(np.bincount(doc, minlength=len(texts)))
+        beyond = np.cumsum(np.maximum(0, said.astype(float) - floor[doc]), dtype=float)
         first = np.maximum(np.arange(len(doc)) - RUN + 1, np.searchsorted(doc, doc))
         most = np.zeros(len(texts))
         np.maximum.at(most, doc, beyond - np.where(first > 0, beyond[first - 1], 0.0))

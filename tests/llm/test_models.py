@@ -76,12 +76,28 @@ def test_clean_texts_are_clean_however_long(spark, monkeypatch):
     joined = " ".join(clean[:200])
     assert len(joined.split()) > 15_000
     assert scorer.score([joined])[0] < 0.7 <= scorer.score([joined + " " + rude + " " + joined])[0]
+    assert scorer.score([" ".join([joined] * 4)])[0] < 0.3  # 60,000 words
+
+
+def test_the_floor_rises_with_the_number_of_windows():
+    """Of texts of any length about as many clean windows pass, within the sample and beyond it."""
+    rng = np.random.default_rng(3)
+    floors = toxicity.Floors.of(rng.exponential(0.5, 20_000))
+    windows = np.array([1, 10, 100, 1_000, 10_000, 1_000_000])
+    levels = floors.at(windows)
+    assert (np.diff(levels) > 0).all()
+    assert np.exp(-levels / 0.5) * windows == pytest.approx(np.full(6, toxicity.CLEAN_PASSES), rel=0.6)
+    assert (np.diff(floors.at(np.arange(1, 5_000))) >= 0).all()
+    few = toxicity.Floors.of(np.array([0.2, 0.1]))  # fewer than TAIL_LEAST
+    assert (np.diff(few.at(windows)) >= 0).all() and np.isfinite(few.at(windows)).all()
+    assert (toxicity.Floors.of(np.zeros(1)).at(np.array([0, 1, 50])) == 0).all()
 
 
 def plain_log_odds(scorer, text: str) -> float:
     """Window by window, and run by run."""
     doc, said = scorer.windows([text])
-    beyond = [max(0.0, float(x) - scorer.floor) for x in said]
+    floor = float(scorer.floors.at(np.array([len(said)]))[0])
+    beyond = [max(0.0, float(x) - floor) for x in said]
     runs = [sum(beyond[max(0, k - toxicity.RUN + 1) : k + 1]) for k in range(len(beyond))]
     return float(scorer.net["base"][0]) + max(runs, default=0.0)
 
