@@ -129,3 +129,34 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str
         F.coalesce(F.max(F.when(base | ~F.col("is_phrase"), F.col("share"))), F.lit(0.0)).alias("score"),
         F.sort_array(F.collect_list(F.when(counts, F.struct("first", "last", "label", "share")))).alias("spans"),
     ).drop("row_id")
+
+
+#: The places of the phrases, and their labels.
+BASE_ORACLE = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
+    ) AS w
+  FROM documents
+), words AS (
+  SELECT r, unnest(w) AS a, generate_subscripts(w, 1) - 1 AS i FROM texts
+), following AS (
+  SELECT r, i, a, lead(a) OVER line AS b, lead(a, 2) OVER line AS c, lead(a, 3) OVER line AS d
+  FROM words WINDOW line AS (PARTITION BY r ORDER BY i)
+), places AS (
+  SELECT r, i, CASE
+    WHEN a = 'under' AND b = 'the' AND c = 'mit' AND d = 'license' THEN 'mit'
+    WHEN a = 'apache' AND b = 'license' AND c = 'version' AND d = '2' THEN 'apache-2'
+    WHEN a = 'cc' AND b = 'by' AND c = 'nc' THEN 'cc-by-nc'
+  END AS label
+  FROM following
+), found AS (
+  SELECT r, count(*) AS n, min(i) AS low, max(i) AS high, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places WHERE label IS NOT NULL GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
+  CAST(low AS BIGINT) AS first_word, CAST(high AS BIGINT) AS last_word, coalesce(labels, '') AS base_labels
+FROM texts LEFT JOIN found USING (r)
+"""

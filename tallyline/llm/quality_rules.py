@@ -421,3 +421,33 @@ def assess(docs: DataFrame, keep: list[str], order: int = ORDER, reach: float =
         failed.alias("base_failed"),
         (~failed & F.coalesce(within, F.lit(False))).alias("kept"),
     )
+
+
+#: The base counts and the base rule of every document.
+BASE_ORACLE = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), words AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i
+  FROM (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts)
+), eights AS (
+  SELECT r, i, count(*) OVER line AS n, string_agg(word, ' ') OVER line AS eight
+  FROM words WINDOW line AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+), twice AS (
+  SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY r, eight) AS times FROM eights WHERE n = 8) WHERE times > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM twice, range(8) AS step(k) GROUP BY r
+), lines AS (
+  SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS line FROM texts
+), counted AS (
+  SELECT
+    doc_id,
+    CAST(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(line) - list_unique(line) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts JOIN lines USING (r) LEFT JOIN covered USING (r)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+"""

@@ -94,6 +94,22 @@ def op13_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shallot.cluster(_table(spark, sf_dir, "embeddings"))
 
 
+def base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of op4: the base counts and the base rule."""
+    return op4_quality_rules(spark, sf_dir).drop("kept", "perplexity")
+
+
+def base_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of op6: the places of the phrases, and their labels."""
+    return op6_license_scan(spark, sf_dir).drop("labels", "score")
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of op11: host, path, the rule, and the verdict where there is one."""
+    by_rule = F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("rule_verdict")
+    return op11_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule", by_rule)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -109,6 +125,9 @@ def llm_queries() -> dict[str, Query]:
         "op11_url_filter": op11_url_filter,
         "op12_variants": op12_variants,
         "op13_shallot": op13_shallot,
+        "base_counts": base_counts,
+        "base_licenses": base_licenses,
+        "url_rules": url_rules,
     }
 
 
@@ -119,4 +138,7 @@ def llm_oracles() -> dict[str, str]:
         "op7_lsh_forest": lsh_forest.ORACLE,
         "op12_variants": variants.ORACLE,
         "op13_shallot": shallot.oracle(),
+        "base_counts": quality_rules.BASE_ORACLE,
+        "base_licenses": license_scan.BASE_ORACLE,
+        "url_rules": url_filter.RULES_ORACLE,
     }

@@ -248,3 +248,23 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, order: int
         chance = 1 / (1 + F.exp(-(F.lit(slope) * F.col("difference") + F.lit(shift))))
     own = F.when(F.col("score") >= 0.5, "allow").otherwise("block")
     return judged.withColumn("score", chance).select("page_id", "host", "path", "rule", F.coalesce("label", own).alias("verdict"), "score")
+
+
+#: Host, path, the longest rule that fits, and what it says.
+RULES_ORACLE = r"""
+WITH rules(said, rule) AS (
+  VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'), ('allow', 'com/fr/'), ('block', 'com/de/')
+), parsed AS (
+  SELECT row_number() OVER () AS r, page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), fitting AS (
+  SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(said, length(rule)) AS rule_verdict
+  FROM parsed JOIN rules
+    ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+    AND starts_with(path, substr(rule, strpos(rule, '/')))
+  GROUP BY r
+)
+SELECT page_id, host, path, rule, rule_verdict FROM parsed LEFT JOIN fitting USING (r)
+"""

@@ -406,7 +406,7 @@ def test_run_on_an_empty_table(spark, corpus, tmp_path):
 
 
 def test_queries_are_numbered_from_one_to_thirteen():
-    names = sorted(llm_queries(), key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
-    assert set(llm_oracles()) <= set(names)
+    numbered = [int(found[1]) for name in llm_queries() if (found := re.match(r"op(\d+)_", name))]
+    assert sorted(numbered) == list(range(1, 14))
+    assert set(llm_oracles()) <= set(llm_queries())
     assert corpus_pipeline.ORACLE_SQL is None
