@@ -18,8 +18,9 @@ belong to it. Then
 1. documents are dealt to groups; every group sends the distinct anchors it has, by hash bucket,
 2. every bucket tells each group which of its anchors other groups have too,
 3. every group sends the distinct segments of repeated anchors, each with its smallest doc_id,
-4. every bucket puts the suffixes of its segments that are long enough in order, finds their longest
-   previous factors and answers, for every segment sent, which of its strings have an earlier match,
+4. every bucket takes each distinct segment once, with its smallest doc_id, puts the suffixes that are
+   long enough in order, finds their longest previous factors and answers, for every segment sent, which
+   of its strings have an earlier match: all, if the same segment has a smaller doc_id,
 5. every group marks the bytes of those strings.
 
 An anchor of more than HOT_SEGMENTS segments in all is split: its strings are not sent as segments to the
@@ -55,6 +56,7 @@ MESSAGE = "group long, bucket long, kind int, body binary"
 ANCHORS, SEGMENTS, STRINGS = 1, 3, 4
 HOT_SEGMENTS = 50_000
 ANCHOR_BYTES = 5
+CACHED_BYTES = 100_000  # texts whose hashes stay in a core's cache while their segments are cut
 
 
 class Segments(NamedTuple):
@@ -95,10 +97,17 @@ def segments(data: np.ndarray, at: np.ndarray, length: int) -> Segments:
     ends[:-1] &= apart | ~ends[1:]
     first, last = np.flatnonzero(begins), np.flatnonzero(ends)
     count = last - first + 1
-    # A segment is shorter than two strings, so its first and last string tell all of its bytes.
-    code = string_hashes(words, length, first) * np.uint64(ROOT) ^ string_hashes(words, length, last)
     text = np.searchsorted(at, first, "right") - 1
-    return Segments(hashes[chosen[first]], first, count, text, mix(code + count.astype(np.uint64)))
+    return Segments(hashes[chosen[first]], first, count, text, segment_codes(words, first, count, length))
+
+
+def segment_codes(words: np.ndarray, first: np.ndarray, count: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the bytes of segments of count strings, of which the first one begins at first.
+
+    A segment is shorter than two strings, so its first and last string tell all of its bytes.
+    """
+    code = string_hashes(words, length, first) * np.uint64(ROOT) ^ string_hashes(words, length, first + count - 1)
+    return mix(code + count.astype(np.uint64))
 
 
 class Group:
@@ -113,7 +122,7 @@ class Group:
         known = ids.is_valid().to_numpy(zero_copy_only=False)
         self.ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
         parts = []
-        for a, b in blocks(self.at):
+        for a, b in blocks(self.at, CACHED_BYTES):
             s = segments(self.data[self.at[a] : self.at[b]], self.at[a : b + 1] - self.at[a], length)
             s = s._replace(first=s.first + self.at[a], text=s.text + a)
             keep = known[s.text]
@@ -206,6 +215,17 @@ def shared_anchors(hot: int = HOT_SEGMENTS) -> Callable:
     return run
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and which of them each value is."""
+    order = np.argsort(values)
+    ordered = values[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    place = np.empty(len(values), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], place
+
+
 class Strings:
     """The strings of some segments of a group, one by one."""
 
@@ -250,13 +270,12 @@ class Repeats:
     def __init__(self, group: Group, answers: dict[int, bytes], buckets: int):
         own = group.segments
         key = keys_of(own.anchor, buckets)
-        keys = np.unique(key)
+        keys, place = distinct(key)
         flags = [np.zeros((2, 0), np.uint8)]
         for b, s in split_by((keys >> np.uint64(8 * ANCHOR_BYTES)).astype(np.int64)):
             flags.append(np.unpackbits(np.frombuffer(answers[b], np.uint8).reshape(2, -1), axis=1, count=s.stop - s.start))
         elsewhere, hot = np.concatenate(flags, axis=1).astype(bool)
         doc = group.ids[own.text]
-        place = np.searchsorted(keys, key)
         low, high = np.full(len(keys), np.iinfo(np.int64).max), np.full(len(keys), np.iinfo(np.int64).min)
         np.minimum.at(low, place, doc)
         np.maximum.at(high, place, doc)
@@ -402,13 +421,18 @@ def answered_segments(length: int) -> Callable:
             count = np.frombuffer(body, np.uint8, n, 8 + 8 * n).astype(np.int64)
             parts.append(np.frombuffer(body, np.uint8, offset=8 + 9 * n))
             counts.append(count)
-        count, data = np.concatenate(counts), np.concatenate(parts)
-        size = count - 1 + length
-        place = np.repeat(np.cumsum(size) - size, count) + within(count)
-        word, steps = words_at(data, place, length)
-        earlier = longest_previous(np.repeat(np.concatenate(docs), count), word, steps, steps) >= steps
+        doc, count, data = np.concatenate(docs), np.concatenate(counts), np.concatenate(parts)
+        first = np.cumsum(count - 1 + length) - (count - 1 + length)
+        # Groups send the same segments; of each, one of the smallest doc_id takes its place in the order.
+        same = distinct(segment_codes(eights(data), first, count, length))[1]
+        order = np.lexsort((doc, same))
+        chosen = order[np.flatnonzero(np.diff(same[order], prepend=-1))]
+        times = count[chosen]
+        word, steps = words_at(data, np.repeat(first[chosen], times) + within(times), length)
+        earlier = longest_previous(np.repeat(doc[chosen], times), word, steps, steps) >= steps
         kind = mask_type(length)
-        masks = np.add.reduceat(earlier.astype(kind) << within(count).astype(kind), np.cumsum(count) - count).astype(kind)
+        masks = np.add.reduceat(earlier.astype(kind) << within(times).astype(kind), np.cumsum(times) - times).astype(kind)
+        masks = np.where(doc > doc[chosen][same], np.iinfo(kind).max, masks[same]).astype(kind)
         ends = np.cumsum([0, *map(len, counts)])
         parts = [masks[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
         yield messages([(g, key[0].as_py(), SEGMENTS, p) for g, p in zip(rows.column("group").to_pylist(), parts, strict=True)])

@@ -169,6 +169,31 @@ def test_a_hot_anchor_is_spread_over_buckets():
     assert 0 < size.max() < 2 * size.mean()
 
 
+def test_segments_of_many_groups_are_put_in_order_once(monkeypatch):
+    """However many groups send a segment, its suffixes are ordered once; all but the first copy go."""
+    text, sizes = prose(70, 40), []
+    whole = suffix_dedup.longest_previous
+    monkeypatch.setattr(suffix_dedup, "longest_previous", lambda doc, *more: sizes.append(len(doc)) or whole(doc, *more))
+    parts = [[(9, text), (9, text)], [(4, text), (6, text[7:])], [(4, text)], [(5, text + "!")]]
+    groups = [suffix_dedup.Group(pa.table({"doc_id": [i for i, _ in part], "text": [t for _, t in part]}), 50) for part in parts]
+
+    def answered(sent: list[tuple], step) -> list[dict[int, bytes]]:
+        rows = [r for b in {m[1] for m in sent} for out in step((pa.scalar(b),), iter([suffix_dedup.messages([m for m in sent if m[1] == b])])) for r in out.to_pylist()]
+        return [{r["bucket"]: r["body"] for r in rows if r["group"] == g} for g in range(len(groups))]
+
+    shared = answered([m for g, group in enumerate(groups) for m in suffix_dedup.anchor_messages(g, group, 3)], suffix_dedup.shared_anchors())
+    repeats = [suffix_dedup.Repeats(group, known, 3) for group, known in zip(groups, shared, strict=True)]
+    masks = answered([m for g, r in enumerate(repeats) for m in r.sent(g, groups[g])], suffix_dedup.answered_segments(50))
+    covered = [r.covered(group, known, {}) for r, group, known in zip(repeats, groups, masks, strict=True)]
+    expected = removed_bytes([row for part in parts for row in part], 50)
+    assert sorted((i, raw, list(map(bool, flags))) for i, raw, flags in expected) == sorted(
+        (group.ids[k], group.data[a:b].tobytes(), c[a:b].tolist())
+        for group, c in zip(groups, covered, strict=True)
+        for k, (a, b) in enumerate(zip(group.at[:-1], group.at[1:], strict=True))
+    )
+    assert sum(sizes) < 2 * (len(text) - 49)
+
+
 @pytest.mark.parametrize(("length", "alphabet", "enough"), [(8, 2, 1), (50, 2, 1), (50, 2, 7), (21, 1, 1)])
 def test_longest_previous_factors(length, alphabet, enough):
     """Against comparing every suffix with every one of an earlier document."""
