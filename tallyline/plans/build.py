@@ -23,6 +23,7 @@ from tallyline.plans.quality import (
 from tallyline.plans.reconcile import reconcile
 from tallyline.plans.reports import error_details, error_type_summary
 from tallyline.schemas import Inputs
+from tallyline.session import finer_tasks
 from tallyline.sources.warehouse import CatalogWarehouse, FolderWarehouse
 
 Warehouse = FolderWarehouse | CatalogWarehouse
@@ -74,8 +75,9 @@ def build_marts(warehouse: Warehouse, raw: Inputs, policy: JoinPolicy = JoinPoli
         done = [warehouse.read_version("marts", name, warehouse.version) for name in (ORDER_MART, ERROR_MART)]
         return Marts(staged, *done, watched)
     mart = reconcile(staged, measure_joins(staged, policy))
-    orders = _write(warehouse, "marts", ORDER_MART, mart, watched)
-    errors = _write(warehouse, "marts", ERROR_MART, error_rows(orders), watched)
+    with finer_tasks(warehouse.spark):
+        orders = _write(warehouse, "marts", ORDER_MART, mart, watched)
+        errors = _write(warehouse, "marts", ERROR_MART, error_rows(orders), watched)
     warehouse.mark("marts")
     return Marts(staged, orders, errors, watched)
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +79,25 @@ def size_tasks(tables: Iterable[DataFrame], input_bytes: int | None = None) -> d
     return settings
 
 
+@contextmanager
+def finer_tasks(spark: SparkSession, parts: int = 4) -> Iterator[None]:
+    """Cut splits and merged shuffle partitions so many times smaller within the block.
+
+    For steps whose tasks compute or write far more than they read. Of these, a few tasks more than
+    there are cores would take twice as long as one a core.
+    """
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {key: spark.conf.get(key) for key in keys}
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, size in before.items():
+        spark.conf.set(key, str(max(1, in_bytes(size) // parts)))
+    try:
+        yield
+    finally:
+        for key, size in before.items():
+            spark.conf.set(key, size)
+
+
 def open_session(
     name: str = "tallyline",
     master: str | None = None,

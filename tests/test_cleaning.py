@@ -30,6 +30,15 @@ def test_text_loses_whitespace_at_one_end_only(spark):
         assert values(spark, rows, cleaning.clean_text(F.col("v"))) == expected
 
 
+def test_text_is_cleaned_without_a_pattern(spark):
+    """Also where the first or last character is next to the printable ones."""
+    rows = ["!", "~", "\x7f", "é", " !é~ ", "\tM1", "é ", "\x1fM1\x1f", "M1\x7f\u3000", "a\nb ", "😀\t"]
+    clean = cleaning.clean_text(F.col("v"))
+    assert values(spark, rows, clean) == [r.strip("".join(cleaning.WHITESPACE)) for r in rows]
+    plan = spark.createDataFrame([("x",)], "v string").select(clean)._jdf.queryExecution().toString()
+    assert "RLIKE" not in plan
+
+
 def test_typed_fractions_are_rounded(spark):
     rows = [12.7, 12.5, -12.5, 12.4, None, float("nan"), 1e30]
     amount = cleaning.safe_amount(F.col("v"), T.DoubleType())

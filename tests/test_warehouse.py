@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from compare import spark_rows
 from sample import EXPECTED_ERRORS, EXPECTED_METRICS, make_inputs, sample_rows
@@ -19,8 +20,9 @@ from tallyline.plans.quality import ERROR_MART, ORDER_MART
 from tallyline.plans.reconcile import reconcile
 from tallyline.plans.reports import error_details, error_type_summary
 from tallyline.schemas import RAW_COLUMNS
-from tallyline.session import planned_bytes, settings_for, size_tasks
+from tallyline.session import finer_tasks, planned_bytes, settings_for, size_tasks
 from tallyline.sources import raw as sources
+from tallyline.sources import warehouse as stores
 from tallyline.sources.warehouse import (
     CatalogWarehouse,
     FolderWarehouse,
@@ -404,3 +406,29 @@ def test_tasks_follow_the_input(size, task, partitions):
         "spark.sql.files.maxPartitionBytes": str(task),
         "spark.sql.shuffle.partitions": str(partitions),
     }
+
+
+def test_stored_tables_are_cheap_to_write(spark, tmp_path, monkeypatch):
+    """No 12-byte moments, no dictionaries of ids, and files that are dealt evenly to tasks."""
+    monkeypatch.setitem(stores.PARQUET, "maxRecordsPerFile", "40")
+    rows = spark.range(0, 100, 1, 1).selectExpr("'O' || id as order_id", "timestamp_micros(id) as paid_at")
+    folder = FolderWarehouse(spark, str(tmp_path))
+    catalog = CatalogWarehouse(spark, "cheap_", str(tmp_path / "catalog"))
+    catalog_rows = catalog.write("staging", "rows", rows)
+    for stored in (folder.write("staging", "rows", rows), materialize(rows, "rows"), catalog_rows):
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
+        files = [pq.ParquetFile(f.removeprefix("file://").removeprefix("file:")).metadata for f in stored.inputFiles()]
+        assert sorted(f.num_rows for f in files) == [20, 40, 40]
+        for column in (f.row_group(0).column(k) for f in files for k in range(2)):
+            assert column.compression == "ZSTD"
+            assert not column.has_dictionary_page
+            assert column.physical_type in ("BYTE_ARRAY", "INT64")
+
+
+def test_finer_tasks_for_a_while(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(key) for key in keys]
+    with pytest.raises(ZeroDivisionError), finer_tasks(spark):
+        assert [spark.conf.get(key) for key in keys] == [str(32 << 20), str(16 << 20)]
+        raise ZeroDivisionError
+    assert [spark.conf.get(key) for key in keys] == before
