@@ -21,15 +21,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The rows written as Parquet in the shared folder and read again; cuts the lineage.
 
-    warehouse.clear_scratch() removes what was written, at the latest at exit.
+    compression is the session's unless given. warehouse.clear_scratch() removes what was written, at the latest at exit.
     """
     spark = df.sparkSession
     small_batches(spark)
     path = warehouse.scratch_path(spark, name)
-    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path, compression=compression)
     gc.collect()  # models and plans of earlier steps
     release_memory()
     return spark.read.schema(df.schema).parquet(path)

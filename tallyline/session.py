@@ -98,6 +98,19 @@ def finer_tasks(spark: SparkSession, parts: int = 4) -> Iterator[None]:
             spark.conf.set(key, size)
 
 
+@contextmanager
+def splits_of(spark: SparkSession, most: int) -> Iterator[None]:
+    """Read files in splits of so many bytes at most within the block, for steps that hold a split in memory."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    spark.conf.set(key, str(min(most, in_bytes(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def open_session(
     name: str = "tallyline",
     master: str | None = None,

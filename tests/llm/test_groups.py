@@ -269,6 +269,49 @@ def test_topk(spark, monkeypatch, block, step, held):
     assert got == best_by_loops(vectors())
 
 
+def test_topk_of_many_parts(spark, monkeypatch):
+    """Queries in several parts, blocks dealt by several tasks, a floor that rises early."""
+    for name, value in {"QUERY_BLOCK": 2, "CANDIDATE_BLOCK": 16, "PART_QUERIES": 2, "DEALT": 2, "FIRST": 3, "BINS": 4, "HELD_BLOCKS": 1}.items():
+        monkeypatch.setattr(topk, name, value)
+    table = spark.createDataFrame(vectors(), "vec_id long, embedding array<double>, score string")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.search(table, lambda i: i % 50 == 0).collect())
+    assert got == best_by_loops(vectors())
+
+
+def test_topk_holds_no_vectors_on_the_driver(spark, monkeypatch):
+    """No step is planned with a broadcast, though the tables of this test are small enough for one."""
+    plans, store = [], topk.stored
+
+    def planned(df, *args, **more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, *args, **more)
+
+    monkeypatch.setattr(topk, "stored", planned)
+    table = spark.createDataFrame(vectors(), "vec_id long, embedding array<double>, score string")
+    assert topk.search(table, lambda i: i % 50 == 0).count() == len(best_by_loops(vectors()))
+    assert plans and not [p for p in plans if "Broadcast" in p]
+
+
+@pytest.mark.parametrize("most", [100, 2**15, 2**24, 2**28])
+def test_scores_are_exact(most):
+    """Whatever numbers the scores are held in; sorted by query and id, without the query's own id."""
+    rng = np.random.default_rng(most)
+    ids, own = np.array([3, 5]), np.arange(300)
+    queries, vectors = rng.integers(-most, most + 1, (2, 8)), rng.integers(-most, most + 1, (300, 8))
+    row = {"dim": 8, "ids": ids.astype("<i8").tobytes(), "vectors": queries.astype("<i8").tobytes(), "c_ids": own.astype("<i8").tobytes(), "c_vectors": vectors.astype("<i8").tobytes()}
+    expected = [[sum(int(x) * int(y) for x, y in zip(q, v, strict=True)) for v in vectors] for q in queries]
+    floor = np.array([sorted(e)[150] for e in expected])
+    got = [(int(q), int(c), int(x)) for _, q, c, score in topk.hits(row, floor) for q, c, x in zip(q, c, score, strict=True)]
+    assert sorted(got) == [(q, c, x) for q, e in enumerate(expected) for c, x in enumerate(e) if x >= floor[q] and c != ids[q]]
+
+
+def test_counts_that_a_task_sends():
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 3, (7, topk.BINS)) * rng.integers(0, 2, (7, topk.BINS)) * 2**40
+    counts[3] = 0
+    assert (topk.dense(topk.sparse(counts), 7) == counts).all()
+
+
 def test_the_sql_of_topk_on_clashing_rows(spark, tmp_path):
     import duckdb
 
